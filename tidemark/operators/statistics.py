@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_col, safe_ratio
@@ -92,11 +92,29 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: Column, name: str
     return grouped.withColumn("share", safe_ratio(F.col(name), grand))
 
 
-def spread_over_days(df: DataFrame, start: str, end: str, amount: str, name: str = "day") -> DataFrame:
-    """Each amount split evenly over the days it spans (both ends count)."""
-    first, last = F.col(start).cast("date"), F.greatest(F.col(start).cast("date"), F.col(end).cast("date"))
-    days = F.date_diff(last, first) + 1
-    return df.withColumn("__part", F.col(amount) / days).withColumn(name, F.explode(F.sequence(first, last)))
+def spread_over_days(
+    df: DataFrame, start: str, end: str, amount: Column, keys: Sequence[str] = (), name: str = "day"
+) -> DataFrame:
+    """Amounts split evenly over the days they span (both ends count), summed per day and key.
+
+    No row is multiplied by its days: each adds its daily rate at its first day and takes it back
+    after its last, and a running sum over the calendar gives the daily totals.
+    """
+    first = F.col(start).cast("date")
+    last = F.greatest(first, F.col(end).cast("date"))
+    rate = amount.cast("decimal(18,2)") / (F.date_diff(last, first) + 1)
+    rated = df.select(*keys, first.alias("__first"), last.alias("__last"), rate.alias("__rate"))
+    opening = F.struct(F.col("__first").alias(name), F.col("__rate").alias("r"), F.lit(1).alias("n"))
+    closing = F.struct(F.date_add("__last", 1).alias(name), (-F.col("__rate")).alias("r"), F.lit(-1).alias("n"))
+    steps = rated.select(*keys, F.explode(F.array(opening, closing)).alias("s")).select(*keys, "s.*")
+    daily = steps.groupBy(*keys, name).agg(F.sum("r").alias("r"), F.sum("n").alias("n"))
+    bounds = daily.groupBy(*keys).agg(F.min(name).alias("lo"), F.max(name).alias("hi"))
+    calendar = bounds.select(*keys, F.explode(F.sequence("lo", "hi")).alias(name))
+    running = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
+    totals = calendar.join(daily, [*keys, name], "left").select(
+        *keys, name, F.sum("r").over(running).alias("amount"), F.sum("n").over(running).alias("n_active")
+    )
+    return totals.filter("n_active > 0")
 
 
 def hierarchy_closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:

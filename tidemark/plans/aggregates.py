@@ -262,13 +262,13 @@ def _(t):
 @query("a25_spread_over_days", """
     WITH s AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d1, GREATEST(CAST(o_orderdate AS DATE), MAX(CAST(l_shipdate AS DATE))) AS d2, MAX(o_totalprice) AS amount
                FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2),
-    e AS (SELECT unnest(generate_series(d1, d2, INTERVAL 1 DAY)) AS d, CAST(amount / (date_diff('day', d1, d2) + 1) AS DECIMAL(18,6)) AS part FROM s)
-    SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS day, CAST(SUM(part) AS DOUBLE) AS amount FROM e GROUP BY 1""")
+    e AS (SELECT unnest(generate_series(d1, d2, INTERVAL 1 DAY)) AS d, amount / (date_diff('day', d1, d2) + 1) AS part FROM s)
+    SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS day, ROUND(SUM(part), 2) AS amount, COUNT(*) AS n_active FROM e GROUP BY 1""")
 def _(t):
     last = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
     spans = t.orders.join(last, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderdate", "last_ship", "o_totalprice")
-    spread = S.spread_over_days(spans, "o_orderdate", "last_ship", "o_totalprice")
-    return spread.groupBy("day").agg(F.sum(F.col("__part").cast("decimal(18,6)")).alias("amount"))
+    spread = S.spread_over_days(spans, "o_orderdate", "last_ship", F.col("o_totalprice"))
+    return spread.withColumn("amount", F.round(F.col("amount").cast("double"), 2))
 
 
 @query("a26_hierarchy_closure", """
