@@ -1 +1,114 @@
-"""Placeholder."""
+"""Streaming queries (R01-R08). Each runs what is available and returns the sink's rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions import columns as C
+from tidemark.operators import statistics as S
+from tidemark.operators.changes import parse_metadata, route, split_null_payload
+from tidemark.plans.columns import DATA_DDL, OPERATION_SQL, TABLE_SQL, envelopes, operation
+from tidemark.plans.loaders import event_records
+from tidemark.plans.registry import query
+from tidemark.session import scratch_dir
+from tidemark.streaming import streams as ST
+
+
+@query("r01_bronze_stream", """
+    SELECT 'clicks' AS stream, CAST(user_id AS VARCHAR) AS partition_key, lpad(CAST(event_id AS VARCHAR), 20, '0') AS sequence_number, CAST(ts AS VARCHAR) AS arrival,
+           event_id FROM events""")
+def _(t):
+    base = scratch_dir(t.spark, "bronze")
+    ST.run_available(ST.bronze(event_records(t, f"{base}/in")), f"{base}/out", f"{base}/checkpoint")
+    rows = t.spark.read.schema(f"{ST.RECORD_DDL}, data_str string").parquet(f"{base}/out")
+    return rows.select("stream", F.col("partitionKey").alias("partition_key"), F.col("sequenceNumber").alias("sequence_number"),
+                       F.col("approximateArrivalTimestamp").alias("arrival"), C.json_field("data_str", "$.event_id", "bigint").alias("event_id"))
+
+
+@query("r02_silver_stream", f"""
+    SELECT event_id, CAST(user_id AS VARCHAR) AS id, CAST(ts AS VARCHAR) AS created_on, {OPERATION_SQL} AS operation FROM events
+    WHERE {TABLE_SQL} = 'activity' AND event_type <> 'purchase'""")
+def _(t):
+    base = scratch_dir(t.spark, "silver")
+    envelopes(t.events).repartition(4).write.parquet(f"{base}/in")
+    stream = ST.stream_files(t.spark, f"{base}/in", "event_id bigint, data_str string")
+    accepted, _ = split_null_payload(route(stream, "shop", "activity", DATA_DDL))
+    silver = accepted.select("event_id", F.col("data.ID").alias("id"), C.to_timestamp_or_null("data.CREATED_ON").alias("created_on"), "operation")
+    ST.run_available(silver, f"{base}/out", f"{base}/checkpoint")
+    return t.spark.read.schema(silver.schema).parquet(f"{base}/out")
+
+
+@query("r03_streaming_merge", f"""
+    WITH l AS (SELECT user_id, event_type, event_id, {OPERATION_SQL} AS op FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+    SELECT user_id, event_type, event_id FROM l WHERE op <> 'delete'""")
+def _(t):
+    base = scratch_dir(t.spark, "merge")
+    feed = t.events.select("user_id", "event_type", "event_id", "ts", operation().alias("operation"))
+    # Rows are dealt over the files by hash, so batches arrive out of order.
+    feed.repartition(6, F.xxhash64("event_id")).write.parquet(f"{base}/in")
+    stream = ST.stream_files(t.spark, f"{base}/in", "user_id bigint, event_type string, event_id bigint, ts timestamp_ntz, operation string", files_per_batch=2)
+    table = ST.MergedTable(t.spark, f"{base}/state", ["user_id"], ["ts", "event_id"], F.col("operation") == "delete")
+    return ST.merge_stream(stream, table, f"{base}/checkpoint", compact_every=2).select("user_id", "event_type", "event_id")
+
+
+@query("r04_stream_throughput", """
+    SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS window_start, COUNT(*) AS n_rows, CAST(SUM(strlen(props)) AS BIGINT) AS n_bytes FROM events GROUP BY 1""")
+def _(t):
+    base = scratch_dir(t.spark, "throughput")
+    t.events.select(F.col("ts").cast("timestamp").alias("ts"), "props").repartitionByRange(4, "ts").write.parquet(f"{base}/in")
+    stream = ST.stream_files(t.spark, f"{base}/in", "ts timestamp, props string")
+    counted = ST.throughput(stream, "ts", "props", late="40 days")
+    # Update mode reports open windows too; the greatest row count of a window is its newest state.
+    table = ST.MergedTable(t.spark, f"{base}/state", ["window_start"], ["n_rows"], F.lit(False))
+    rows = ST.merge_stream(counted, table, f"{base}/checkpoint", mode="update")
+    return rows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n_rows", "n_bytes")
+
+
+@query("r05_layer_latency", """
+    WITH l AS (SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS ms FROM events)
+    SELECT 'min' AS measure, CAST(MIN(ms) AS DOUBLE) AS value FROM l UNION ALL SELECT 'max', MAX(ms) FROM l UNION ALL SELECT 'avg', CAST(SUM(ms) AS DOUBLE) / COUNT(ms) FROM l""")
+def _(t):
+    base = scratch_dir(t.spark, "latency")
+    delay = C.json_field("props", "$.k", "bigint")
+    t.events.select(F.col("ts").alias("arrival"), F.timestamp_add("MILLISECOND", delay, "ts").alias("silver_at")).repartition(4).write.parquet(f"{base}/in")
+    stream = ST.stream_files(t.spark, f"{base}/in", "arrival timestamp_ntz, silver_at timestamp_ntz")
+    latency = stream.select(F.timestamp_diff("MILLISECOND", F.col("arrival"), F.col("silver_at")).alias("ms"))
+    ST.run_available(latency, f"{base}/out", f"{base}/checkpoint")
+    return S.labelled_extremes(t.spark.read.schema("ms bigint").parquet(f"{base}/out"), "ms")
+
+
+@query("r06_progress_report")
+def _(t):
+    base = scratch_dir(t.spark, "progress")
+    envelopes(t.events).repartition(6).write.parquet(f"{base}/in")
+    stream = ST.stream_files(t.spark, f"{base}/in", "event_id bigint, data_str string", files_per_batch=2)
+    run = ST.run_available(parse_metadata(stream).select("event_id", "operation"), f"{base}/out", f"{base}/checkpoint")
+    progress = ST.progress_rows(t.spark, run).filter("input_rows > 0")
+    return progress.agg(F.count(F.lit(1)).alias("n_batches"), F.sum("input_rows").alias("input_rows"),
+                        F.min("duration_ms").alias("min_ms"), F.max("duration_ms").alias("max_ms"))
+
+
+@query("r07_keyed_pass_through", """
+    SELECT CAST(user_id AS VARCHAR) AS partition_key, COUNT(*) AS n_rows, CAST(SUM(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1""")
+def _(t):
+    base = scratch_dir(t.spark, "keyed")
+    keyed = event_records(t, f"{base}/in").select(F.col("partitionKey").alias("partition_key"), F.col("data").cast("string").alias("value"))
+    ST.run_available(keyed.repartition("partition_key"), f"{base}/out", f"{base}/checkpoint")
+    rows = t.spark.read.schema("partition_key string, value string").parquet(f"{base}/out")
+    return rows.groupBy("partition_key").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(C.json_field("value", "$.event_id", "bigint")).alias("id_sum"))
+
+
+@query("r08_consume_changes", """
+    SELECT 1 AS run, COUNT(*) FILTER (event_type <> 'signup') AS n_rows FROM events UNION ALL SELECT 2, COUNT(*) FILTER (event_type = 'signup') FROM events UNION ALL SELECT 3, 0""")
+def _(t):
+    base = scratch_dir(t.spark, "consume")
+    first = F.col("event_type") != "signup"
+    for run, part in ((1, t.events.filter(first)), (2, t.events.filter(~first)), (3, None)):
+        if part is not None:
+            part.select("event_id", "event_type").write.mode("append").parquet(f"{base}/in")
+        stream = ST.stream_files(t.spark, f"{base}/in", "event_id bigint, event_type string", glob="*.parquet")
+        ST.run_available(stream.withColumn("run", F.lit(run)), f"{base}/out", f"{base}/checkpoint")
+    rows = t.spark.read.schema("event_id bigint, event_type string, run int").parquet(f"{base}/out")
+    runs = t.spark.range(1, 4).select(F.col("id").cast("int").alias("run"))
+    counts = rows.groupBy("run").agg(F.count_distinct("event_id").alias("n"))
+    return runs.join(counts, "run", "left").select("run", F.coalesce("n", F.lit(0)).alias("n_rows"))

@@ -48,10 +48,12 @@ def land_json(spark: SparkSession, path: str, landed_at: str, glob: str = "*.jso
 
 def read_skipping_bad_files(spark: SparkSession, path: str, ddl: str) -> tuple[DataFrame, DataFrame]:
     """(rows of clean files, bad files with their bad record counts): one bad record drops its file."""
-    reader = spark.read.schema(f"{ddl}, _bad string").option("columnNameOfCorruptRecord", "_bad")
-    rows = reader.option("recursiveFileLookup", "true").json(path).select("*", F.col("_metadata.file_path").alias("file_name"))
-    bad = rows.filter(F.col("_bad").isNotNull()).groupBy("file_name").agg(F.count(F.lit(1)).alias("bad_records"))
-    return rows.join(bad, "file_name", "left_anti").drop("_bad"), bad
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    record = F.from_json("value", f"{ddl}, _bad string", options)
+    rows = lines.select(F.col("_metadata.file_path").alias("file_name"), record.alias("r"))
+    bad = rows.filter(F.col("r._bad").isNotNull()).groupBy("file_name").agg(F.count(F.lit(1)).alias("bad_records"))
+    return rows.join(bad, "file_name", "left_anti").select("file_name", "r.*").drop("_bad"), bad
 
 
 def read_json_array(spark: SparkSession, path: str, ddl: str, document_per_file: bool = False) -> DataFrame:

@@ -86,10 +86,11 @@ def run_available(
     return query
 
 
-def run_each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    query = (
-        df.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+def run_each_batch(
+    df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
+    writer = df.writeStream.foreachBatch(work).outputMode(mode).option("checkpointLocation", checkpoint)
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -128,15 +129,20 @@ class MergedTable:
         return current_rows(self.state())
 
 
-def merge_stream(feed: DataFrame, table: MergedTable, checkpoint: str, compact_every: int = 50) -> DataFrame:
-    """Type-1 merge of a stream: deletes, late rows and replays give the batch result."""
+def merge_stream(
+    feed: DataFrame, table: MergedTable, checkpoint: str, compact_every: int = 50, mode: str = "append"
+) -> DataFrame:
+    """Type-1 merge of a stream: deletes, late rows and replays give the batch result.
+
+    With ``mode="update"`` the feed may be a windowed aggregate whose open windows still grow.
+    """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         table.add(batch, batch_id)
         if (batch_id + 1) % compact_every == 0:
             table.compact(batch_id)
 
-    run_each_batch(feed, work, checkpoint)
+    run_each_batch(feed, work, checkpoint, mode)
     return table.current()
 
 
