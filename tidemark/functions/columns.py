@@ -212,6 +212,11 @@ def role_mask(value: Column | str, role: Column | str, open_roles: Sequence[str]
     return F.when(role.isin(*open_roles), as_col(value)).otherwise(mask_keep_last(value, keep))
 
 
+def whole_part(value: Column | str, size: int) -> Column:
+    """Integer division, exact for every bigint."""
+    return F.call_function("div", as_col(value), F.lit(size))
+
+
 def safe_ratio(top: Column | str, bottom: Column | str) -> Column:
     """Double division, null on a zero or null base (plain ``/`` throws in ANSI mode)."""
     return F.try_divide(as_col(top).cast("double"), as_col(bottom).cast("double"))

@@ -14,15 +14,21 @@ SEQUENCE = "__sequence"
 DELETED = "__deleted"
 
 
+def _parse_once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """Adds a parsed column through a generator: later filters on it cannot repeat the parse."""
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def parse_metadata(df: DataFrame, payload: str = "data_str") -> DataFrame:
     """Adds ``schema_name``, ``table_name``, ``operation`` from the envelope's metadata block."""
-    meta = F.from_json(F.col(payload), f"struct<metadata:{METADATA_DDL}>")["metadata"]
-    return df.select(
+    rows = _parse_once(df, F.from_json(F.col(payload), f"struct<metadata:{METADATA_DDL}>"), "__m")
+    meta = F.col("__m.metadata")
+    return rows.select(
         "*",
         meta["schema-name"].alias("schema_name"),
         meta["table-name"].alias("table_name"),
         meta["operation"].alias("operation"),
-    )
+    ).drop("__m")
 
 
 def route(df: DataFrame, schema: str, table: str, data_ddl: str, payload: str = "data_str") -> DataFrame:
@@ -31,8 +37,8 @@ def route(df: DataFrame, schema: str, table: str, data_ddl: str, payload: str =
     The cheap metadata filter comes first, so only the routed rows pay for the full parse.
     """
     routed = parse_metadata(df, payload).filter((F.col("schema_name") == schema) & (F.col("table_name") == table))
-    parsed = F.from_json(F.col(payload), f"struct<data:{data_ddl}>")
-    return routed.withColumn("data", parsed["data"])
+    parsed = _parse_once(routed, F.from_json(F.col(payload), f"struct<data:{data_ddl}>"), "__d")
+    return parsed.withColumn("data", F.col("__d.data")).drop("__d")
 
 
 def split_null_payload(df: DataFrame, data: str = "data") -> tuple[DataFrame, DataFrame]:

@@ -13,8 +13,12 @@ PERIODS = ["day", "mtd", "mtd_ly", "ytd", "ytd_ly"]
 
 
 def latest_day(fact: DataFrame, date_col: str) -> Column:
-    """The report date when none is given: last date in the fact, as a scalar sub-query."""
-    return fact.agg(F.max(F.col(date_col)).cast("date")).scalar()
+    """The report date when none is given: the fact's last day, read by one small job.
+
+    It comes back as a literal, so filters built on it are constants that prune partitions, files
+    and row groups at planning time. A sub-query could not.
+    """
+    return F.lit(fact.agg(F.max(F.col(date_col)).cast("date")).first()[0]).cast("date")
 
 
 def period_conditions(date: Column, asof: Column) -> dict[str, Column]:
@@ -37,12 +41,11 @@ def period_totals(
     periods: Sequence[str] = PERIODS,
 ) -> DataFrame:
     """``{measure}_{period}`` sums per group from one scan limited to the dates any period needs."""
-    date = F.col(date_col).cast("date")
-    wanted = period_conditions(date, asof)
     oldest = F.trunc(F.add_months(asof, -12), "year")
     rows = fact.filter((F.col(date_col) >= oldest) & (F.col(date_col) < F.date_add(asof, 1)))
     # Each row is reduced to its group and day first: few rows remain for the period sums.
-    daily = rows.groupBy(*group, date.alias("__day")).agg(*[F.sum(m).alias(n) for n, m in measures.items()])
+    daily = rows.groupBy(*group, F.col(date_col).cast("date").alias("__day"))
+    daily = daily.agg(*[F.sum(m).alias(n) for n, m in measures.items()])
     wanted = period_conditions(F.col("__day"), asof)
     sums = [F.sum(F.when(wanted[p], F.col(n))).alias(f"{n}_{p}") for n in measures for p in periods]
     return daily.groupBy(*group).agg(*sums)

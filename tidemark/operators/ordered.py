@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_GROUP = "__group"
 _BUCKET = "__bucket"
 
 
@@ -20,43 +21,50 @@ def _key_order(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def _attach(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join per-bucket state back; null keys match null keys."""
-    names = [*keys, _BUCKET]
-    renamed = edges.select(*[F.col(k).alias(f"__e_{k}") for k in names], *[c for c in edges.columns if c not in names])
-    condition = F.lit(True)
-    for k in names:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"__e_{k}"))
-    return rows.join(renamed, condition, "left").drop(*[f"__e_{k}" for k in names], _BUCKET)
+def _group(keys: Sequence[str], *more: str) -> Column:
+    """Keys as one struct: null keys equal null keys, and windows, aggregates and joins on it
+    share one shuffle."""
+    return F.struct(*[F.col(k) for k in keys], *[F.col(m) for m in more])
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    return df.withColumn(_BUCKET, bucket).withColumn(_GROUP, _group(keys, _BUCKET)).drop(_BUCKET)
+
+
+def _per_bucket(rows: DataFrame, keys: Sequence[str], aggregate: Column):
+    """One row per (keys, bucket), and the window that walks the buckets of a key in order."""
+    edges = rows.groupBy(_GROUP).agg(aggregate)
+    walk = Window.partitionBy(*[F.col(f"{_GROUP}.{k}") for k in keys]).orderBy(f"{_GROUP}.{_BUCKET}")
+    return edges, walk
 
 
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "row_number"
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)``; ``order`` is ascending and total."""
-    rows = df.withColumn(_BUCKET, bucket)
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    edges = rows.groupBy(*keys, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    edges = edges.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    numbered = rows.withColumn("__rn", F.row_number().over(inside))
-    return _attach(numbered, edges, keys).withColumn(name, F.col("__rn") + F.col("__offset")).drop("__rn", "__offset")
+    rows = _bucketed(df, keys, bucket)
+    edges, walk = _per_bucket(rows, keys, F.count(F.lit(1)).alias("__n"))
+    before = walk.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = edges.select(_GROUP, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    inside = F.row_number().over(Window.partitionBy(_GROUP).orderBy(*order))
+    numbered = rows.withColumn("__rn", inside).join(offsets, _GROUP)
+    return numbered.withColumn(name, F.col("__rn") + F.col("__offset")).drop("__rn", "__offset", _GROUP)
 
 
 def running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: str, name: str
 ) -> DataFrame:
     """``sum(value) over (partition by keys order by order rows unbounded preceding)``."""
-    rows = df.withColumn(_BUCKET, bucket)
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    edges = rows.groupBy(*keys, _BUCKET).agg(F.sum(value).alias("__s"))
-    edges = edges.withColumn("__offset", F.sum("__s").over(before)).drop("__s")
-    summed = rows.withColumn("__rs", F.sum(value).over(inside))
+    rows = _bucketed(df, keys, bucket)
+    edges, walk = _per_bucket(rows, keys, F.sum(value).alias("__s"))
+    before = walk.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = edges.select(_GROUP, F.sum("__s").over(before).alias("__offset"))
+    inside = Window.partitionBy(_GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumn("__rs", F.sum(value).over(inside)).join(offsets, _GROUP)
     total = F.when(F.col("__offset").isNull(), F.col("__rs")).otherwise(
         F.col("__offset") + F.coalesce(F.col("__rs"), F.lit(0))
     )
-    return _attach(summed, edges, keys).withColumn(name, total).drop("__rs", "__offset")
+    return summed.withColumn(name, total).drop("__rs", "__offset", _GROUP)
 
 
 def neighbour_row(
@@ -69,35 +77,30 @@ def neighbour_row(
     forward: bool = False,
 ) -> DataFrame:
     """Values of the previous (or next) row in order: ``lag`` / ``lead`` by one row."""
-    rows = df.withColumn(_BUCKET, bucket).withColumn("__v", F.struct(*values))
-    step = F.lead if forward else F.lag
-    edge_of = F.min_by if forward else F.max_by
-    inside = step("__v").over(Window.partitionBy(*keys, _BUCKET).orderBy(*order))
-    edges = rows.groupBy(*keys, _BUCKET).agg(edge_of(F.col("__v"), _key_order(order)).alias("__edge"))
-    edges = edges.withColumn("__carry", step("__edge").over(Window.partitionBy(*keys).orderBy(_BUCKET))).drop("__edge")
-    out = _attach(rows.withColumn("__in", inside), edges, keys)
+    step, edge_of = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
+    rows = _bucketed(df, keys, bucket).withColumn("__v", F.struct(*values))
+    edges, walk = _per_bucket(rows, keys, edge_of(F.col("__v"), _key_order(order)).alias("__edge"))
+    carried = edges.select(_GROUP, step("__edge").over(walk).alias("__carry"))
+    inside = step("__v").over(Window.partitionBy(_GROUP).orderBy(*order))
+    out = rows.withColumn("__in", inside).join(carried, _GROUP)
     hit = F.coalesce(F.col("__in"), F.col("__carry"))
     for v in values:
         out = out.withColumn(f"{prefix}{v}", hit[v])
-    return out.drop("__v", "__in", "__carry")
+    return out.drop("__v", "__in", "__carry", _GROUP)
 
 
 def last_marked(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: Column, name: str
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row (forward fill)."""
-    rows = df.withColumn(_BUCKET, bucket).withColumn("__m", value)
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    rows = _bucketed(df, keys, bucket).withColumn("__m", value)
     marked = F.when(F.col("__m").isNotNull(), _key_order(order))
-    edges = rows.groupBy(*keys, _BUCKET).agg(F.max_by(F.col("__m"), marked).alias("__last"))
-    edges = edges.withColumn("__carry", F.last("__last", ignorenulls=True).over(before)).drop("__last")
-    filled = rows.withColumn("__in", F.last("__m", ignorenulls=True).over(inside))
-    return (
-        _attach(filled, edges, keys)
-        .withColumn(name, F.coalesce(F.col("__in"), F.col("__carry")))
-        .drop("__m", "__in", "__carry")
-    )
+    edges, walk = _per_bucket(rows, keys, F.max_by(F.col("__m"), marked).alias("__last"))
+    before = walk.rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(_GROUP, F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    inside = Window.partitionBy(_GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = rows.withColumn("__in", F.last("__m", ignorenulls=True).over(inside)).join(carried, _GROUP)
+    return filled.withColumn(name, F.coalesce(F.col("__in"), F.col("__carry"))).drop("__m", "__in", "__carry", _GROUP)
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
@@ -106,13 +109,8 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], *aggregates: Column) -
     Aggregates shrink before the shuffle and the join back can be split by AQE when a key is
     hot; ``agg() over (partition by ...)`` could not.
     """
-    totals = df.groupBy(*keys).agg(*aggregates)
-    extra = [c for c in totals.columns if c not in keys]
-    renamed = totals.select(*[F.col(k).alias(f"__g_{k}") for k in keys], *extra)
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
-    return df.join(renamed, condition, "left").drop(*[f"__g_{k}" for k in keys])
+    rows = df.withColumn(_GROUP, _group(keys))
+    return rows.join(rows.groupBy(_GROUP).agg(*aggregates), _GROUP).drop(_GROUP)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -134,9 +132,6 @@ def latest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFram
 
     Greatest value by pre-aggregation, then an equi-join: tied rows of a hot key stay spread.
     """
-    top = df.groupBy(*keys).agg(F.max(order).alias("__top"))
-    renamed = top.select(*[F.col(k).alias(f"__g_{k}") for k in keys], "__top")
-    condition = F.col(order) == F.col("__top")
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
-    return df.join(renamed, condition, "left_semi")
+    rows = df.withColumn(_GROUP, _group(keys))
+    top = rows.groupBy(_GROUP).agg(F.max(order).alias(order))
+    return rows.join(top, [_GROUP, order], "left_semi").drop(_GROUP)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,25 +88,34 @@ def gate(summary: DataFrame) -> list[str]:
     return [f"{r['check']}({r['column']}): {r['failures']}" for r in failed]
 
 
-# Detector patterns of the personal-data scan, valid in both Java and RE2 syntax.
+# Detector patterns of the personal-data scan, valid in both Java and RE2 syntax,
+# each with a text that every hit contains (a cheap test before the pattern runs).
 DETECTORS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "phone": r"\+?[0-9]{1,3}[ -]?\(?[0-9]{3}\)?[ -][0-9]{3}[ -][0-9]{4}",
-    "card": r"\b[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}\b",
-    "ip_address": r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b",
-    "national_id": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "@"),
+    "phone": (r"\+?[0-9]{1,3}[ -]?\(?[0-9]{3}\)?[ -][0-9]{3}[ -][0-9]{4}", ""),
+    "card": (r"(?:^|[^0-9])[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}(?:[^0-9]|$)", ""),
+    "ip_address": (r"(?:^|[^0-9])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?:[^0-9]|$)", "."),
+    "national_id": (r"(?:^|[^0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?:[^0-9]|$)", "-"),
 }
 
 
+def _hits(column: str, pattern: str, needle: str) -> Column:
+    found = F.col(column).rlike(pattern)
+    return F.contains(F.col(column), F.lit(needle)) & found if needle else found
+
+
 def scan_personal_data(
-    objects: dict[str, DataFrame], detectors: dict[str, str] | None = None, sample: int = 0, key: str | None = None
+    objects: dict[str, DataFrame],
+    detectors: dict[str, tuple[str, str]] | None = None,
+    sample: int = 0,
+    key: str | None = None,
 ) -> DataFrame:
     """Hits per object, text column and detector. ``sample`` = 0 scans every row.
 
     One pass per object: every (column, detector) pair is a conditional count of the same scan.
     """
     detectors = detectors or DETECTORS
-    out = None
+    parts = []
     for name, df in objects.items():
         texts = [c for c, t in df.dtypes if t == "string"]
         if not texts:
@@ -113,20 +123,20 @@ def scan_personal_data(
         if sample:
             df = df.orderBy(F.md5(F.col(key or texts[0]).cast("string")), *texts).limit(sample)
         pairs = [(c, d) for c in texts for d in detectors]
-        counted = df.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *[F.count_if(F.col(c).rlike(detectors[d])).alias(f"h{i}") for i, (c, d) in enumerate(pairs)],
-        )
-        rows = F.array(
-            *[
-                F.struct(F.lit(name).alias("object"), F.lit(c).alias("column"), F.lit(d).alias("detector"),
-                         F.col(f"h{i}").alias("hits"), F.col("n_rows"))
-                for i, (c, d) in enumerate(pairs)
-            ]
-        )
-        part = counted.select(F.explode(rows).alias("r")).select("r.*")
-        out = part if out is None else out.unionByName(part)
-    return out
+        counts = [F.count_if(_hits(c, *detectors[d])).alias(f"h{i}") for i, (c, d) in enumerate(pairs)]
+        counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *counts)
+        rows = [
+            F.struct(
+                F.lit(name).alias("object"),
+                F.lit(c).alias("column"),
+                F.lit(d).alias("detector"),
+                F.col(f"h{i}").alias("hits"),
+                F.col("n_rows"),
+            )
+            for i, (c, d) in enumerate(pairs)
+        ]
+        parts.append(counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_delta(scan: DataFrame, previous: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_col
+from tidemark.functions.columns import as_col, whole_part
 from tidemark.operators.ordered import last_marked
 
 
@@ -95,7 +95,7 @@ def stitch_records(
     """
     continues = F.startswith(F.col(line), F.lit(marker))
     body = F.when(continues, F.trim(F.substr(F.col(line), F.lit(cut + 1)))).otherwise(F.col(line))
-    bucket = F.floor(F.col(line_no) / lines_per_bucket)
+    bucket = whole_part(line_no, lines_per_bucket)
     rows = lines.select(file, line_no, body.alias("__body"), (~continues).alias("__starts"))
     starts = F.when(F.col("__starts"), F.col(line_no))
     rows = last_marked(rows, [file], [line_no], bucket, starts, "__start")

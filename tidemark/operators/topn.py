@@ -14,9 +14,10 @@ from tidemark.operators.ordered import number_rows
 def top_members(df: DataFrame, member: str, measure: Column, n: int) -> DataFrame:
     """Members whose total is among the n greatest; ties with the n-th stay in.
 
-    The n-th total comes from a limited sort (no single-task ranking of all members).
+    The n-th total comes from a limited sort (no single-task ranking of all members). Both uses
+    of the totals read the same shuffle.
     """
-    totals = df.groupBy(member).agg(measure.alias("__total"))
+    totals = df.filter(F.col(member).isNotNull()).groupBy(member).agg(measure.alias("__total"))
     floor = totals.select("__total").orderBy(F.col("__total").desc()).limit(n).agg(F.min("__total")).scalar()
     return totals.filter(F.col("__total") >= floor)
 
@@ -36,13 +37,15 @@ def sample_percent(df: DataFrame, percent: float, key: Sequence[str], salt: str
     return df.filter(hash_number(*key, salt=salt) < F.lit(int(percent / 100 * 2**32)))
 
 
-def sample_blocks(df: DataFrame, percent: float, salt: str = "") -> DataFrame:
-    """Repeatable block sample: whole file splits are in or out."""
+def sample_blocks(df: DataFrame, percent: float, block: Column | None = None, salt: str = "") -> DataFrame:
+    """Repeatable block sample: whole file splits are in or out.
+
+    ``block`` names a row's block; by default its file name and the split's offset in the file.
+    """
     meta = F.col("_metadata")
-    name = F.substring_index(meta["file_path"], "/", -1)
-    return df.filter(
-        hash_number(name, meta["file_block_start"], salt=salt) < F.lit(int(percent / 100 * 2**32))
-    )
+    if block is None:
+        block = F.concat_ws(":", F.substring_index(meta["file_path"], "/", -1), meta["file_block_start"].cast("string"))
+    return df.filter(hash_number(block, salt=salt) < F.lit(int(percent / 100 * 2**32)))
 
 
 def sequence_ids(

@@ -246,8 +246,7 @@ def _(t):
 @query("a23_average_of_last_member", """
     SELECT CAST(SUM(CAST(value AS DECIMAL(10,2))) AS DOUBLE) / COUNT(*) AS mean_value FROM events WHERE CAST(ts AS DATE) = (SELECT MAX(CAST(ts AS DATE)) FROM events)""")
 def _(t):
-    newest = latest_day(t.events, "ts")
-    day = t.events.filter((F.col("ts") >= newest) & (F.col("ts") < F.date_add(newest, 1)))
+    day = t.events.filter(F.col("ts") >= latest_day(t.events, "ts"))
     return day.agg(C.safe_ratio(F.sum(F.col("value").cast("decimal(10,2)")), F.count("value")).alias("mean_value"))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.functions import dates as D
 from tidemark.operators import measures as M
-from tidemark.operators.topn import top_members
 from tidemark.plans.joins import NET, net
 from tidemark.plans.registry import query
 
@@ -17,9 +16,12 @@ CALENDAR_SQL = """bounds AS (SELECT date_trunc('year', MIN(o_orderdate)) AS lo,
 ASOF_SQL = "a AS (SELECT MAX(CAST(o_orderdate AS DATE)) AS d FROM orders)"
 
 
-def nation_sales(t):
-    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderdate", "c_nationkey", C.money("o_totalprice").alias("price"))
+def nation_periods(t, periods):
+    """Period sums per nation: summed per customer first, so the join carries one row per buyer."""
+    per_buyer = M.period_totals(
+        t.orders, "o_orderdate", {"nsv": C.money("o_totalprice")}, M.latest_day(t.orders, "o_orderdate"), ["o_custkey"], periods)
+    sums = [F.sum(f"nsv_{p}").alias(f"nsv_{p}") for p in periods]
+    return per_buyer.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_nationkey").agg(*sums)
 
 
 @query("t01_calendar", f"WITH {CALENDAR_SQL} SELECT CAST(d AS VARCHAR) AS date FROM cal")
@@ -70,8 +72,7 @@ def period_query(name: str, periods: dict[str, str]):
     @query(name, f"""
         WITH {ASOF_SQL} SELECT c_nationkey, {sums} FROM orders JOIN customer ON o_custkey = c_custkey, a WHERE {any_of} GROUP BY c_nationkey""")
     def _(t):
-        asof = M.latest_day(t.orders, "o_orderdate")
-        return M.period_totals(nation_sales(t), "o_orderdate", {"nsv": F.col("price")}, asof, ["c_nationkey"], list(periods))
+        return nation_periods(t, list(periods))
 
 
 period_query("t05_month_to_date", {"mtd": "o_orderdate >= date_trunc('month', d)"})
@@ -99,8 +100,7 @@ KPI_SQL = f"""WITH {ASOF_SQL}, s AS (SELECT c_nationkey,
 
 
 def kpi(t):
-    asof = M.latest_day(t.orders, "o_orderdate")
-    return M.period_totals(nation_sales(t), "o_orderdate", {"nsv": F.col("price")}, asof, ["c_nationkey"], M.PERIODS[1:])
+    return nation_periods(t, M.PERIODS[1:])
 
 
 @query("t10_growth", KPI_SQL + """ SELECT c_nationkey, nsv_mtd - nsv_mtd_ly AS mtd_change,
@@ -185,7 +185,7 @@ def _(t):
 def executive_kpi(t):
     """Top five nations by year-to-date sales with growth on last year."""
     wide = kpi(t)
-    best = wide.join(top_members(wide, "c_nationkey", F.sum("nsv_ytd"), 5).select("c_nationkey"), "c_nationkey", "left_semi")
+    best = wide.orderBy(F.col("nsv_ytd").desc_nulls_last(), "c_nationkey").limit(5)
     d = {n: F.col(n).cast("double") for n in wide.columns}
     return best.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "n_name", *[d[f"nsv_{p}"].alias(f"nsv_{p}") for p in M.PERIODS[1:]],

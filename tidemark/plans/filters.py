@@ -13,8 +13,7 @@ from tidemark.plans.registry import query
     SELECT event_id, event_type FROM events WHERE CAST(ts AS DATE) = (SELECT MAX(CAST(ts AS DATE)) FROM events)""")
 def _(t):
     events = t.events
-    newest = latest_day(events, "ts")
-    return events.filter((F.col("ts") >= newest) & (F.col("ts") < F.date_add(newest, 1))).select("event_id", "event_type")
+    return events.filter(F.col("ts") >= latest_day(events, "ts")).select("event_id", "event_type")
 
 
 @query("f02_relative_dates", """

@@ -9,6 +9,7 @@ from tidemark.operators import changes as X
 from tidemark.operators import incremental as I
 from tidemark.operators import snapshots as H
 from tidemark.operators.governance import registry_upsert
+from tidemark.operators.measures import latest_day
 from tidemark.plans.columns import DATA_DDL, OPERATION_SQL, operation
 from tidemark.plans.registry import query
 from tidemark.session import scratch_dir
@@ -99,8 +100,7 @@ def _(t):
     WITH a AS (SELECT MAX(o_orderdate) AS d FROM orders) SELECT o_orderkey FROM orders, a
     WHERE NOT (o_orderstatus = 'F' AND o_orderdate < d - INTERVAL 90 DAY)""")
 def _(t):
-    newest = t.orders.agg(F.max("o_orderdate")).scalar()
-    expired = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < newest - F.expr("interval 90 days"))
+    expired = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.date_sub(latest_day(t.orders, "o_orderdate"), 90))
     return I.retain(t.orders, expired).select("o_orderkey")
 
 

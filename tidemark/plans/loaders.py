@@ -68,7 +68,7 @@ def _(t):
     path = scratch_dir(t.spark, "arrays")
     # Documents of at most 500 consecutive ids, so no document grows with the table.
     item = F.struct(*EVENT_COLUMNS)
-    documents = t.events.groupBy(F.floor(F.col("event_id") / 500)).agg(F.to_json(F.collect_list(item), NTZ).alias("value"))
+    documents = t.events.groupBy(C.whole_part("event_id", 500)).agg(F.to_json(F.collect_list(item), NTZ).alias("value"))
     documents.select("value").write.text(path)
     return S.read_json_array(t.spark, path, EVENT_DDL).select("event_id", "user_id", "event_type")
 
@@ -247,7 +247,7 @@ def _(t):
     SELECT c.doc, c.name, c.unit, h.head FROM c JOIN (SELECT doc, unit, MIN(name) AS head FROM c GROUP BY ALL) h ON c.doc = h.doc AND c.unit = h.unit""")
 def _(t):
     # One nested document per block of 1000 customer numbers: documents stay small.
-    rows = t.customer.select(F.floor(F.col("c_custkey") / 1000).alias("doc"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("unit"))
+    rows = t.customer.select(C.whole_part("c_custkey", 1000).alias("doc"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("unit"))
     heads = rows.groupBy("doc", "unit").agg(F.min("name").alias("head"))
     people = rows.groupBy("doc").agg(F.collect_list(F.struct("name", "unit")).alias("employees"))
     units = heads.groupBy("doc").agg(F.collect_list(F.struct("unit", "head")).alias("departments"))

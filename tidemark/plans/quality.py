@@ -102,7 +102,7 @@ SCAN_COLUMNS = {"documents": ["text", "lang", "source"], "conversations": ["role
 
 @query("q12_personal_data_scan", " UNION ALL ".join(
     f"SELECT '{o}' AS object, '{c}' AS \"column\", '{d}' AS detector, COUNT(*) FILTER (regexp_matches({c}, '{p}')) AS hits, COUNT(*) AS n_rows FROM {o}"
-    for o, columns in SCAN_COLUMNS.items() for c in columns for d, p in Q.DETECTORS.items()))
+    for o, columns in SCAN_COLUMNS.items() for c in columns for d, (p, _) in Q.DETECTORS.items()))
 def _(t):
     return Q.scan_personal_data({o: getattr(t, o) for o in SCAN_COLUMNS})
 

@@ -62,7 +62,9 @@ def _(t):
     # Several files, so that there are blocks to choose from.
     path = scratch_dir(t.spark, "blocks")
     t.lineitem.repartition(16, "l_orderkey").write.parquet(path)
-    sample = N.sample_blocks(t.spark.read.parquet(path), 25)
+    # Written part files carry a random id; their part number repeats.
+    part = F.regexp_extract(F.col("_metadata.file_path"), "part-([0-9]+)", 1)
+    sample = N.sample_blocks(t.spark.read.parquet(path), 25, F.concat(part, F.lit(":"), F.col("_metadata.file_block_start").cast("string")))
     return sample.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -77,7 +79,7 @@ def _(t):
 
 @query("k09_sequence_ids", "SELECT o_orderkey, 1000 + (row_number() OVER (ORDER BY o_orderkey) - 1) * 10 AS seq_id FROM orders")
 def _(t):
-    bucket = F.floor(F.col("o_orderkey") / 100_000)
+    bucket = C.whole_part("o_orderkey", 100_000)
     return N.sequence_ids(t.orders.select("o_orderkey"), ["o_orderkey"], bucket, start=1000, increment=10, name="seq_id")
 
 

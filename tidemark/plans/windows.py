@@ -18,10 +18,6 @@ def day_bucket(ts="ts"):
     return F.to_date(ts)
 
 
-def seconds_between(start, end):
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
-
-
 @query("w01_latest_by_key", """
     SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def _(t):
@@ -124,7 +120,7 @@ def _(t):
              WHERE daily.d >= date_trunc('month', a.d - INTERVAL 12 MONTH) AND daily.d < date_trunc('month', a.d - INTERVAL 12 MONTH) + INTERVAL 1 MONTH)
     SELECT COALESCE(cur.dom, prev.dom) AS day_of_month, this_year, last_year FROM cur FULL JOIN prev ON cur.dom = prev.dom""")
 def _(t):
-    asof = latest_day(t.orders, "o_orderdate")
+    this_month = F.trunc(latest_day(t.orders, "o_orderdate"), "month")
 
     def month_series(first, name):
         rows = t.orders.filter((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < F.add_months(first, 1)))
@@ -132,8 +128,8 @@ def _(t):
         running = Window.orderBy("day_of_month").rowsBetween(Window.unboundedPreceding, 0)  # at most 31 rows
         return daily.select("day_of_month", F.sum("v").over(running).alias(name))
 
-    this_month = F.trunc(asof, "month")
-    return month_series(this_month, "this_year").join(month_series(F.add_months(this_month, -12), "last_year"), "day_of_month", "full")
+    last_year = month_series(F.add_months(this_month, -12), "last_year")
+    return month_series(this_month, "this_year").join(last_year, "day_of_month", "full")
 
 
 @query("w13_new_today_flag", """
