@@ -121,8 +121,8 @@ def band(value: Column | str, edges: Sequence[float], labels: Sequence[str], nul
     position = F.lit(len(edges) + 1)
     for i in range(len(edges) - 1, -1, -1):
         position = F.when(value < F.lit(edges[i]), F.lit(i + 1)).otherwise(position)
-    position = F.when(value.isNotNull(), position)
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), position), position
+    label = F.element_at(F.array(*[F.lit(x) for x in labels]), position)
+    return F.when(value.isNotNull(), label), F.when(value.isNotNull(), position)
 
 
 def linear_score(value: Column | str, intercept: float, slope: float) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,13 +80,17 @@ class StateFolder:
         self._fs_path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def names(self, folder: str) -> list[str]:
+        where = self._fs_path(folder)
+        return [s.getPath().getName() for s in self._fs.listStatus(where)] if self._fs.exists(where) else []
+
+    def remove(self, paths: Iterable[str]) -> None:
+        for path in paths:
+            self._fs.delete(self._fs_path(path), True)
+
     def versions(self) -> dict[int, int]:
         """Committed versions to the batch that wrote each of them."""
-        folder = self._fs_path(f"{self.path}/_commits")
-        if not self._fs.exists(folder):
-            return {}
-        names = [str(s.getPath().getName()) for s in self._fs.listStatus(folder)]
-        found = [re.fullmatch(r"v=(\d+),batch=(-?\d+)", n) for n in names]
+        found = [re.fullmatch(r"v=(\d+),batch=(-?\d+)", n) for n in self.names(f"{self.path}/_commits")]
         return {int(m.group(1)): int(m.group(2)) for m in found if m}
 
     def read(self, version: int | None = None) -> DataFrame | None:
@@ -106,8 +110,7 @@ class StateFolder:
         self._fs.createNewFile(self._fs_path(f"{self.path}/_commits/v={version},batch={batch_id}"))
         if keep:
             for old in sorted(committed)[: max(0, len(committed) + 1 - keep)]:
-                self._fs.delete(self._fs_path(f"{self.path}/_commits/v={old},batch={committed[old]}"), False)
-                self._fs.delete(self._fs_path(f"{self.path}/v={old}"), True)
+                self.remove([f"{self.path}/_commits/v={old},batch={committed[old]}", f"{self.path}/v={old}"])
         return True
 
 

@@ -13,21 +13,31 @@ from pyspark.sql import types as T
 MAX_QUERY_VALUES = 4_000_000  # query numbers shipped to each task at once: at most 32 MB
 
 
+def _rows_to_matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype("float64")
+
+
 def cosine_to(vector: Column | str, query: Sequence[float]) -> Column:
-    """Cosine similarity of a vector column to one given vector, in double precision."""
-    vector = F.col(vector) if isinstance(vector, str) else vector
+    """Cosine similarity of a vector column to one given vector, in double precision.
+
+    Null for a missing or an all-zero vector.
+    """
     given = np.asarray(query, dtype="float64")
+    if not np.linalg.norm(given) > 0:
+        raise ValueError("the query vector has no direction")
     given = given / np.linalg.norm(given)
 
     @F.pandas_udf("double")
     def score(batch: pd.Series) -> pd.Series:
-        if batch.empty:
-            return pd.Series([], dtype="float64")
-        matrix = np.stack(batch.to_numpy()).astype("float64")
-        size = np.linalg.norm(matrix, axis=1)
-        return pd.Series(np.divide(matrix @ given, size, out=np.full(len(size), np.nan), where=size > 0))
+        out = np.full(len(batch), np.nan)
+        present = batch.notna().to_numpy()
+        if present.any():
+            matrix = _rows_to_matrix(batch[present])
+            size = np.linalg.norm(matrix, axis=1)
+            out[present] = np.divide(matrix @ given, size, out=np.full(len(size), np.nan), where=size > 0)
+        return pd.Series(out)
 
-    return score(vector)
+    return F.nanvl(score(F.col(vector) if isinstance(vector, str) else vector), F.lit(None).cast("double"))
 
 
 def similar_rows(df: DataFrame, vector: str, query: Sequence[float], at_least: float) -> DataFrame:
@@ -70,9 +80,10 @@ def batch_top_k(
 ) -> DataFrame:
     """Exact top-k for many queries: (query_id, key, similarity, rank).
 
-    No pair is ever emitted beyond a batch's own k best per query: each Arrow batch does one
-    matrix product with a bounded block of queries. More queries than one block make more scans
-    of the corpus. Ids are integers; equal scores fall to the smaller id.
+    No pair is ever emitted beyond a task's own k best per query: each Arrow batch does one
+    matrix product with a bounded block of queries and only scores that can still win are kept.
+    More queries than one block make more scans of the corpus. Ids are integers; equal scores
+    fall to the smaller id.
     """
     schema = T.StructType(
         [T.StructField("query_id", T.LongType()), T.StructField(key, T.LongType()), T.StructField("similarity", T.DoubleType())]
@@ -82,23 +93,29 @@ def batch_top_k(
         unit = block / np.linalg.norm(block, axis=1, keepdims=True)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            which, names, scores = np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0)
+            floor = np.full(len(ids), -np.inf)
             for batch in batches:
                 batch = batch[batch[vector].notna()]
                 if batch.empty:
                     continue
-                names = batch[key].to_numpy()
-                matrix = np.stack(batch[vector].to_numpy()).astype("float64")
-                matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
-                scores = matrix @ unit.T
-                order = np.lexsort((np.broadcast_to(names[:, None], scores.shape), -scores), axis=0)[:k]
-                kept = len(order)
-                yield pd.DataFrame(
-                    {
-                        "query_id": np.tile(ids, kept),
-                        key: names[order].ravel(),
-                        "similarity": np.take_along_axis(scores, order, axis=0).ravel(),
-                    }
-                )
+                matrix = _rows_to_matrix(batch[vector])
+                size = np.linalg.norm(matrix, axis=1)
+                fresh = np.divide(matrix @ unit.T, size[:, None], out=np.full((len(size), len(ids)), -np.inf), where=size[:, None] > 0)
+                limit = floor
+                if len(fresh) >= k:
+                    limit = np.maximum(floor, np.partition(fresh, len(fresh) - k, axis=0)[len(fresh) - k])
+                row, column = np.nonzero((fresh >= limit) & np.isfinite(fresh))
+                which = np.concatenate([which, column])
+                names = np.concatenate([names, batch[key].to_numpy()[row]])
+                scores = np.concatenate([scores, fresh[row, column]])
+                order = np.lexsort((names, -scores, which))
+                which, names, scores = which[order], names[order], scores[order]
+                place = np.arange(len(which)) - np.searchsorted(which, which, side="left")
+                last = place == k - 1
+                floor[which[last]] = scores[last]
+                which, names, scores = which[place < k], names[place < k], scores[place < k]
+            yield pd.DataFrame({"query_id": ids[which], key: names, "similarity": scores})
 
         return run
 

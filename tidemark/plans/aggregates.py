@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.operators import statistics as S
+from tidemark.operators.lookups import converted_total
 from tidemark.operators.measures import latest_day
 from tidemark.plans.joins import NET, net
 from tidemark.plans.registry import query
@@ -160,9 +161,8 @@ def _(t):
     )
     rates = sales.groupBy("day", "currency").agg((F.lit(1) + F.avg("n_nationkey") / 100).cast("decimal(6,2)").alias("rate"))
     keyed = lambda df: df.withColumn("currency_id", F.concat(F.col("day").cast("string"), F.col("currency")))
-    daily = keyed(sales.groupBy("day", "currency").agg(F.sum("amount").alias("amount")))
-    joined = daily.join(keyed(rates).select("currency_id", "rate"), "currency_id")
-    return joined.groupBy("currency").agg(F.sum(F.col("amount").cast("decimal(22,2)") * F.col("rate")).alias("converted"))
+    daily = sales.groupBy("day", "currency").agg(F.sum("amount").alias("amount"))
+    return converted_total(keyed(daily), keyed(rates), ["currency_id"], F.col("amount").cast("decimal(22,2)"), "rate", ["currency"])
 
 
 @query("a17_time_bucket_throughput", """

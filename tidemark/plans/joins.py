@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
+from tidemark.operators.lookups import default_key, filter_along, unique_lookup
 from tidemark.operators.ordered import latest_by_key
 from tidemark.plans.registry import query
 from tidemark.sources.files import inline_table
@@ -95,8 +96,7 @@ def _(t):
 def _(t):
     docs = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
     grades = inline_table(t.spark, [(None, "low or unknown"), (1, "high")], "q int, grade string")
-    on = F.coalesce("quality", F.lit(0)) == F.coalesce("q", F.lit(0))
-    return docs.join(grades, on).select("doc_id", "grade")
+    return docs.join(grades, default_key("quality", 0) == default_key("q", 0)).select("doc_id", "grade")
 
 
 @query("j07_one_row_relation", """
@@ -150,9 +150,7 @@ def _(t):
     WITH one AS (SELECT p_name, CASE WHEN COUNT(DISTINCT p_brand) = 1 THEN MIN(p_brand) END AS brand, COUNT(DISTINCT p_brand) AS n FROM part GROUP BY p_name)
     SELECT p.p_partkey, o.brand, o.n > 1 AS ambiguous FROM part p LEFT JOIN one o ON p.p_name = o.p_name""")
 def _(t):
-    found = t.part.groupBy("p_name").agg(F.min("p_brand").alias("lo"), F.max("p_brand").alias("hi"))
-    lookup = found.select("p_name", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("brand"),
-                          (F.col("lo") != F.col("hi")).alias("ambiguous"))
+    lookup = unique_lookup(t.part, "p_name", "p_brand").withColumnRenamed("p_brand", "brand")
     return t.part.select("p_partkey", "p_name").join(lookup, "p_name", "left").select("p_partkey", "brand", "ambiguous")
 
 
@@ -184,10 +182,10 @@ def _(t):
     SELECT c_mktsegment, COUNT(*) AS customers_seen, (SELECT COUNT(*) FROM facts) AS orders_seen FROM customer
     WHERE c_custkey IN (SELECT o_custkey FROM facts) GROUP BY c_mktsegment""")
 def _(t):
-    asia = t.nation.join(t.region.filter("r_name = 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
-    buyers = t.customer.join(asia, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
-    facts = t.orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
-    seen = t.customer.join(facts, F.col("c_custkey") == F.col("o_custkey"), "left_semi")  # the edge back to the dimension
+    asia = filter_along(t.nation, t.region.filter("r_name = 'ASIA'"), [("n_regionkey", "r_regionkey")])
+    buyers = filter_along(t.customer, asia, [("c_nationkey", "n_nationkey")])
+    facts = filter_along(t.orders, buyers, [("o_custkey", "c_custkey")])
+    seen = filter_along(t.customer, facts, [("c_custkey", "o_custkey")])  # the edge back to the dimension
     total = facts.agg(F.count(F.lit(1))).scalar()
     return seen.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers_seen")).withColumn("orders_seen", total)
 

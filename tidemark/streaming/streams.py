@@ -123,7 +123,13 @@ class MergedTable:
         return latest_by_key(rows, self.keys, [F.col(SEQUENCE).desc(), F.col(DELETED).desc()])
 
     def compact(self, batch_id: int) -> None:
-        self.base.commit(self.state(), batch_id, keep=2)
+        """New base up to this batch; deltas that the base before it already held are removed."""
+        folded = max(self.base.versions().values(), default=-1)
+        if self.base.commit(self.state(), batch_id, keep=2):
+            self.base.remove(f"{self.deltas}/batch_id={old}" for old in self.delta_batches() if old <= folded)
+
+    def delta_batches(self) -> list[int]:
+        return sorted(int(name.split("=")[1]) for name in self.base.names(self.deltas) if name.startswith("batch_id="))
 
     def current(self) -> DataFrame:
         return current_rows(self.state())
