@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import latest_by_key
+from tidemark.operators.skew import split_join
 
 METADATA_DDL = "struct<`schema-name`:string,`table-name`:string,operation:string>"
 SEQUENCE = "__sequence"
@@ -88,7 +89,7 @@ def apply_changes(
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Replace rows of the target by the latest batch row of the same key, add new keys."""
     fresh = latest_by_key(batch, keys, order)
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
+    kept = split_join(target, fresh.select(*keys), keys, "left_anti")
     return kept.unionByName(fresh)
 
 
@@ -99,7 +100,7 @@ def insert_first_wins(
     fresh = latest_by_key(batch, keys, order)
     if target is None:
         return fresh
-    return target.unionByName(fresh.join(target.select(*keys), list(keys), "left_anti"))
+    return target.unionByName(split_join(fresh, target.select(*keys), keys, "left_anti"))
 
 
 def append_newer(target: DataFrame, source: DataFrame, column: str) -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import split_join
+
 
 def affected_keys(changes: Sequence[tuple[DataFrame, Column, Column]], key: str) -> DataFrame:
     """Distinct keys touched by any source: each item is (rows joined to the key, key column, changed when).
@@ -25,7 +27,7 @@ def recompute_affected(
     target: DataFrame, keys: DataFrame, key: str, compute: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """Rows of untouched keys from ``target`` and freshly computed rows of the touched keys."""
-    return target.join(keys, key, "left_anti").unionByName(compute(keys))
+    return split_join(target, keys, [key], "left_anti").unionByName(compute(keys))
 
 
 def retain(df: DataFrame, expired: Column) -> DataFrame:

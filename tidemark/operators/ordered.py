@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import split_join
+
 _GROUP = "__group"
 _BUCKET = "__bucket"
 
@@ -21,14 +23,10 @@ def _key_order(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def _group(keys: Sequence[str], *more: str) -> Column:
-    """Keys as one struct: null keys equal null keys, and windows, aggregates and joins on it
-    share one shuffle."""
-    return F.struct(*[F.col(k) for k in keys], *[F.col(m) for m in more])
-
-
 def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
-    return df.withColumn(_BUCKET, bucket).withColumn(_GROUP, _group(keys, _BUCKET)).drop(_BUCKET)
+    """Keys and bucket as one struct: null keys equal null keys, and the window and the join on it
+    share one shuffle."""
+    return df.withColumn(_GROUP, F.struct(*[F.col(k) for k in keys], bucket.alias(_BUCKET)))
 
 
 def _per_bucket(rows: DataFrame, keys: Sequence[str], aggregate: Column):
@@ -109,8 +107,7 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], *aggregates: Column) -
     Aggregates shrink before the shuffle and the join back can be split by AQE when a key is
     hot; ``agg() over (partition by ...)`` could not.
     """
-    rows = df.withColumn(_GROUP, _group(keys))
-    return rows.join(rows.groupBy(_GROUP).agg(*aggregates), _GROUP).drop(_GROUP)
+    return split_join(df, df.groupBy(*keys).agg(*aggregates), keys, null_safe=True)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -132,6 +129,5 @@ def latest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFram
 
     Greatest value by pre-aggregation, then an equi-join: tied rows of a hot key stay spread.
     """
-    rows = df.withColumn(_GROUP, _group(keys))
-    top = rows.groupBy(_GROUP).agg(F.max(order).alias(order))
-    return rows.join(top, [_GROUP, order], "left_semi").drop(_GROUP)
+    top = df.groupBy(*keys).agg(F.max(order).alias(order)).filter(F.col(order).isNotNull())
+    return split_join(df, top, [*keys, order], "left_semi", null_safe=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +42,7 @@ def replace_block_and_append(df: DataFrame, text: str, old: str, new: str, foote
 
 # How a template call and a table reference look in SQL text.
 SOURCE_CALL = r"\{\{\s*source\(['\"][^'\"]+['\"], ['\"]([^'\"]+)['\"]\)\s*\}\}"
-TABLE_WORD = r"(?i)(?:^|[^A-Za-z0-9_])(?:FROM|JOIN)\s+([A-Za-z0-9_.]+)"
+TABLE_WORD = r"(?i)(?:FROM|JOIN)(?<![A-Za-z0-9_](?:FROM|JOIN))\s+([A-Za-z0-9_.]+)"
 
 
 def referenced_tables(df: DataFrame, name: str, text: str) -> DataFrame:
@@ -61,8 +62,10 @@ def referenced_tables(df: DataFrame, name: str, text: str) -> DataFrame:
 
 def tokens_with_prefix(df: DataFrame, name: str, text: str, prefix: str) -> DataFrame:
     """Distinct (name, token): words that start with ``prefix``, every holder of a token kept."""
-    pattern = rf"(?:^|[^A-Za-z0-9_])({prefix}[A-Za-z0-9_]*)"
-    found = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1)))
+    # The border is checked behind the literal prefix, so the scan looks for the literal alone.
+    literal = re.escape(prefix)
+    pattern = rf"{literal}(?<![A-Za-z0-9_]{literal})[A-Za-z0-9_]*"
+    found = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)))
     return df.select(F.col(name), F.explode(found).alias("token")).distinct()
 
 
@@ -106,6 +109,5 @@ def stitch_records(
 
 def section_between(value: Column | str, open_tag: str, close_tag: str) -> Column:
     """Text between two tags, any case, across lines; null when absent."""
-    pattern = rf"(?is){open_tag}(.*?){close_tag}"
-    found = F.regexp_extract(as_col(value), pattern, 1)
-    return F.when(as_col(value).rlike(pattern), found)
+    pattern = rf"(?is){re.escape(open_tag)}(.*?){re.escape(close_tag)}"
+    return F.get(F.regexp_extract_all(as_col(value), F.lit(pattern), F.lit(1)), F.lit(0))

@@ -10,6 +10,7 @@ from tidemark.operators import incremental as I
 from tidemark.operators import snapshots as H
 from tidemark.operators.governance import registry_upsert
 from tidemark.operators.measures import latest_day
+from tidemark.operators.skew import split_join
 from tidemark.plans.columns import DATA_DDL, OPERATION_SQL, operation
 from tidemark.plans.registry import query
 from tidemark.session import scratch_dir
@@ -68,7 +69,7 @@ def order_report(t, keys=None):
     orders, lines = t.orders, t.lineitem
     if keys is not None:
         orders = orders.join(keys, "o_orderkey", "left_semi")
-        lines = lines.join(keys, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+        lines = split_join(lines, keys.select(F.col("o_orderkey").alias("l_orderkey")), ["l_orderkey"], "left_semi")
     sums = lines.groupBy("l_orderkey").agg(
         F.sum(C.money("l_extendedprice")).cast("double").alias("line_total"), F.count(F.lit(1)).alias("n_lines"),
         F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))

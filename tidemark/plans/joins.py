@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.operators.lookups import default_key, filter_along, unique_lookup
 from tidemark.operators.ordered import latest_by_key
+from tidemark.operators.skew import split_join
 from tidemark.plans.registry import query
 from tidemark.sources.files import inline_table
 
@@ -14,7 +15,9 @@ NET = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(
 
 
 def net():
-    return F.col("l_extendedprice").cast("decimal(12,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    """Price less discount, exact: whole cents times whole percent."""
+    units = C.cents("l_extendedprice") * (100 - C.cents("l_discount"))
+    return units.cast("decimal(13,0)") * F.expr("0.0001bd")
 
 
 @query("j01_star_join", f"""
@@ -151,7 +154,7 @@ def _(t):
     SELECT p.p_partkey, o.brand, o.n > 1 AS ambiguous FROM part p LEFT JOIN one o ON p.p_name = o.p_name""")
 def _(t):
     lookup = unique_lookup(t.part, "p_name", "p_brand").withColumnRenamed("p_brand", "brand")
-    return t.part.select("p_partkey", "p_name").join(lookup, "p_name", "left").select("p_partkey", "brand", "ambiguous")
+    return split_join(t.part.select("p_partkey", "p_name"), lookup, ["p_name"], "left").select("p_partkey", "brand", "ambiguous")
 
 
 @query("j14_related_value", """

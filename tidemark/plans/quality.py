@@ -97,12 +97,20 @@ def _(t):
     return report.withColumn("complete", F.col("expected") == F.col("refreshed"))
 
 
+# The detector patterns in RE2 syntax, which has no look-around.
+RE2_DETECTORS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "phone": r"\+?[0-9]{1,3}[ -]?\(?[0-9]{3}\)?[ -][0-9]{3}[ -][0-9]{4}",
+    "card": r"(?:^|[^0-9])[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}(?:[^0-9]|$)",
+    "ip_address": r"(?:^|[^0-9])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?:[^0-9]|$)",
+    "national_id": r"(?:^|[^0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?:[^0-9]|$)",
+}
 SCAN_COLUMNS = {"documents": ["text", "lang", "source"], "conversations": ["role", "text"], "pages": ["url", "html"]}
 
 
 @query("q12_personal_data_scan", " UNION ALL ".join(
     f"SELECT '{o}' AS object, '{c}' AS \"column\", '{d}' AS detector, COUNT(*) FILTER (regexp_matches({c}, '{p}')) AS hits, COUNT(*) AS n_rows FROM {o}"
-    for o, columns in SCAN_COLUMNS.items() for c in columns for d, (p, _) in Q.DETECTORS.items()))
+    for o, columns in SCAN_COLUMNS.items() for c in columns for d, p in RE2_DETECTORS.items()))
 def _(t):
     return Q.scan_personal_data({o: getattr(t, o) for o in SCAN_COLUMNS})
 
