@@ -23,6 +23,13 @@ def bucket():
     return F.floor((F.col("at") + 400) / 37)
 
 
+@pytest.fixture(autouse=True, params=["buckets", "ranges"])
+def hot_bucket(request, monkeypatch):
+    """Each case runs with the given buckets and with ranges, as if every bucket were too hot."""
+    if request.param == "ranges":
+        monkeypatch.setattr(O, "MAX_GROUP_ROWS", 20)
+
+
 def same(left, right):
     assert left.columns == right.columns
     assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
@@ -40,7 +47,8 @@ def test_number_rows_without_key(data):
 
 def test_running_sum(data):
     w = Window.partitionBy("key").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
-    same(O.running_sum(data, ["key"], ["at", "id"], bucket(), "value", "total"), data.withColumn("total", F.sum("value").over(w)))
+    want = data.withColumn("total", F.sum("value").over(w)).withColumn("ids", F.sum("id").over(w))
+    same(O.running_sums(data, ["key"], ["at", "id"], bucket(), {"total": "value", "ids": "id"}), want)
 
 
 @pytest.mark.parametrize("forward", [False, True])
@@ -75,8 +83,9 @@ def test_latest_by_key_limits_before_the_shuffle(data):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_one_shuffle_of_the_rows(spark, data):
+def test_one_shuffle_of_the_rows(spark, data, monkeypatch):
     """Window and join share the exchange: one for the rows, two for bucket counts, one for the join."""
+    monkeypatch.setattr(O, "MAX_GROUP_ROWS", 10**6)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = O.number_rows(data, ["key"], ["at", "id"], bucket())._jdf.queryExecution().executedPlan().toString()
@@ -85,6 +94,17 @@ def test_one_shuffle_of_the_rows(spark, data):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
+def test_ranges_bound_every_task(data, monkeypatch):
+    """With all rows in one bucket the ranges still split the hot key evenly."""
+    seen = []
+    cut = O.cut_lineage
+    monkeypatch.setattr(O, "MAX_GROUP_ROWS", 500)
+    monkeypatch.setattr(O, "cut_lineage", lambda df: seen.append(cut(df)) or seen[-1])
+    numbered = O.number_rows(data, ["key"], ["at", "id"], F.lit(0))
+    assert numbered.filter("key = 'hot'").agg(F.max("row_number")).first()[0] == data.filter("key = 'hot'").count()
+    assert seen[0].groupBy("__range").count().agg(F.max("count")).first()[0] <= 500
+
+
 def test_top_members_keep_ties(spark):
     df = spark.createDataFrame([("a", 5), ("b", 3), ("c", 3), ("d", 1), (None, 9)], "m string, v int")
     assert {r["m"] for r in top_members(df, "m", F.sum("v"), 2).collect()} == {"a", "b", "c"}

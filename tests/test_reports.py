@@ -23,6 +23,11 @@ def test_line_fit_and_r_squared(spark):
     assert points["n"] == 3 and points["r_squared"] == pytest.approx(1.0)
 
 
+def test_distinct_count_by_sketch(spark):
+    row = spark.range(10000).agg(S.distinct_count("id").alias("exact"), S.distinct_count("id", 0.02).alias("near")).first()
+    assert row["exact"] == 10000 and abs(row["near"] - 10000) < 800
+
+
 def test_histogram_holds_every_value(spark):
     df = spark.range(101).select(F.col("id").cast("double").alias("v"))
     bins = S.histogram(df, "v", 10).collect()

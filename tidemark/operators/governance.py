@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import merge_upsert
+from tidemark.operators.ordered import running_sums
 
 
 def entitled_view(
@@ -95,18 +96,8 @@ def range_overlap(ranges: DataFrame, bucket: Column, file: str = "file", low: st
         ).alias("e"),
     ).select("e.*")
     points = ends.groupBy("at").agg(F.sum("start").alias("start"), F.sum("stop").alias("stop"))
-    rows = points.withColumn("__b", bucket)
-    inside = Window.partitionBy("__b").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    edges = rows.groupBy("__b").agg(F.sum("start").alias("s"), F.sum("stop").alias("e"))
-    edges = edges.select("__b", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s0"),
-                         F.coalesce(F.sum("e").over(before), F.lit(0)).alias("e0"))
-    swept = (
-        rows.withColumn("s1", F.sum("start").over(inside))
-        .withColumn("e1", F.sum("stop").over(inside))
-        .join(edges, "__b")
-        .select("at", (F.col("s0") + F.col("s1")).alias("started"),
-                (F.col("e0") + F.col("e1") - F.col("stop")).alias("ended_before"))
+    swept = running_sums(points, [], ["at"], bucket, {"started": "start", "stopped": "stop"}).select(
+        "at", "started", (F.col("stopped") - F.col("stop")).alias("ended_before")
     )
     at_low = swept.select(F.col("at").alias(low), F.col("started").alias("__s_low"), F.col("ended_before").alias("__e_low"))
     at_high = swept.select(F.col("at").alias(high), F.col("started").alias("__s_high"))

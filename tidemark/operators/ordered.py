@@ -1,9 +1,12 @@
-"""Order-dependent operators that survive a hot key.
+"""Order-dependent operators that survive hot keys and hot buckets.
 
 A plain window puts a whole key into one task. Here a caller passes ``bucket``: an expression
 that never decreases along the order (a day of a timestamp, ``id div 1e6``). The window then
 runs per (key, bucket), and one small row per (key, bucket) carries the state across buckets:
 a row offset, a running sum, the last row. Results are those of the plain window.
+
+The largest (key, bucket) group is counted first. When it is too large for one task, the rows
+are cut into ranges of equal depth instead, so that no choice of bucket can overload a task.
 """
 
 from __future__ import annotations
@@ -14,24 +17,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import split_join
+from tidemark.session import cut_lineage
+
+MAX_GROUP_ROWS = 20_000_000  # rows of one (key, bucket) that a task may sort
 
 _GROUP = "__group"
 _BUCKET = "__bucket"
+_RANGE = "__range"
 
 
 def _key_order(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+def _bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column) -> DataFrame:
     """Keys and bucket as one struct: null keys equal null keys, and the window and the join on it
     share one shuffle."""
-    return df.withColumn(_GROUP, F.struct(*[F.col(k) for k in keys], bucket.alias(_BUCKET)))
+    sizes = df.groupBy(*keys, bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    if (found["largest"] or 0) > MAX_GROUP_ROWS:
+        df = _equal_ranges(df, keys, order, -(-2 * found["total"] // MAX_GROUP_ROWS))
+        bucket = F.col(_RANGE)
+    return df.withColumn(_GROUP, F.struct(*[F.col(k) for k in keys], bucket.alias(_BUCKET))).drop(_RANGE)
+
+
+def _equal_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int) -> DataFrame:
+    """Number of the sampled range of (keys, order) that holds each row.
+
+    Range bounds are drawn by sampling, so the numbers are kept in a reliable checkpoint: every
+    later read, and every retry after a lost executor, sees the same ones.
+    """
+    ranged = df.repartitionByRange(ranges, *keys, *order).withColumn(_RANGE, F.spark_partition_id())
+    return cut_lineage(ranged)
 
 
-def _per_bucket(rows: DataFrame, keys: Sequence[str], aggregate: Column):
+def _per_bucket(rows: DataFrame, keys: Sequence[str], *aggregates: Column):
     """One row per (keys, bucket), and the window that walks the buckets of a key in order."""
-    edges = rows.groupBy(_GROUP).agg(aggregate)
+    edges = rows.groupBy(_GROUP).agg(*aggregates)
     walk = Window.partitionBy(*[F.col(f"{_GROUP}.{k}") for k in keys]).orderBy(f"{_GROUP}.{_BUCKET}")
     return edges, walk
 
@@ -40,7 +62,7 @@ def number_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "row_number"
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)``; ``order`` is ascending and total."""
-    rows = _bucketed(df, keys, bucket)
+    rows = _bucketed(df, keys, order, bucket)
     edges, walk = _per_bucket(rows, keys, F.count(F.lit(1)).alias("__n"))
     before = walk.rowsBetween(Window.unboundedPreceding, -1)
     offsets = edges.select(_GROUP, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
@@ -49,20 +71,21 @@ def number_rows(
     return numbered.withColumn(name, F.col("__rn") + F.col("__offset")).drop("__rn", "__offset", _GROUP)
 
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: str, name: str
+def running_sums(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, sums: dict[str, str]
 ) -> DataFrame:
-    """``sum(value) over (partition by keys order by order rows unbounded preceding)``."""
-    rows = _bucketed(df, keys, bucket)
-    edges, walk = _per_bucket(rows, keys, F.sum(value).alias("__s"))
+    """``sum(column) over (partition by keys order by order rows unbounded preceding)`` for each
+    ``{name: column}``."""
+    rows = _bucketed(df, keys, order, bucket)
+    edges, walk = _per_bucket(rows, keys, *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()])
     before = walk.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = edges.select(_GROUP, F.sum("__s").over(before).alias("__offset"))
+    offsets = edges.select(_GROUP, *[F.sum(f"__s_{n}").over(before).alias(f"__o_{n}") for n in sums])
     inside = Window.partitionBy(_GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = rows.withColumn("__rs", F.sum(value).over(inside)).join(offsets, _GROUP)
-    total = F.when(F.col("__offset").isNull(), F.col("__rs")).otherwise(
-        F.col("__offset") + F.coalesce(F.col("__rs"), F.lit(0))
-    )
-    return summed.withColumn(name, total).drop("__rs", "__offset", _GROUP)
+    out = rows.select("*", *[F.sum(c).over(inside).alias(f"__r_{n}") for n, c in sums.items()]).join(offsets, _GROUP)
+    for n in sums:
+        here, earlier = F.col(f"__r_{n}"), F.col(f"__o_{n}")
+        out = out.withColumn(n, F.when(earlier.isNull(), here).otherwise(earlier + F.coalesce(here, F.lit(0))))
+    return out.drop(_GROUP, *[f"__{x}_{n}" for n in sums for x in "ro"])
 
 
 def neighbour_row(
@@ -76,7 +99,7 @@ def neighbour_row(
 ) -> DataFrame:
     """Values of the previous (or next) row in order: ``lag`` / ``lead`` by one row."""
     step, edge_of = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
-    rows = _bucketed(df, keys, bucket).withColumn("__v", F.struct(*values))
+    rows = _bucketed(df, keys, order, bucket).withColumn("__v", F.struct(*values))
     edges, walk = _per_bucket(rows, keys, edge_of(F.col("__v"), _key_order(order)).alias("__edge"))
     carried = edges.select(_GROUP, step("__edge").over(walk).alias("__carry"))
     inside = step("__v").over(Window.partitionBy(_GROUP).orderBy(*order))
@@ -91,7 +114,7 @@ def last_marked(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: Column, name: str
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row (forward fill)."""
-    rows = _bucketed(df, keys, bucket).withColumn("__m", value)
+    rows = _bucketed(df, keys, order, bucket).withColumn("__m", value)
     marked = F.when(F.col("__m").isNotNull(), _key_order(order))
     edges, walk = _per_bucket(rows, keys, F.max_by(F.col("__m"), marked).alias("__last"))
     before = walk.rowsBetween(Window.unboundedPreceding, -1)

@@ -11,6 +11,11 @@ from tidemark.functions.columns import as_col, safe_ratio
 from tidemark.session import cut_lineage
 
 
+def distinct_count(value: Column | str, max_error: float | None = None) -> Column:
+    """Exact distinct count, or a sketch of bounded size with the given relative error."""
+    return F.count_distinct(as_col(value)) if max_error is None else F.approx_count_distinct(as_col(value), max_error)
+
+
 def labelled_extremes(df: DataFrame, value: Column | str) -> DataFrame:
     """Rows (measure, value) for min, max and avg out of one aggregate."""
     v = as_col(value)

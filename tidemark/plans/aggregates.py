@@ -32,7 +32,7 @@ def _(t):
     SELECT event_type, COUNT(DISTINCT user_id) AS n_users, COUNT(DISTINCT json_extract_string(props, '$.k')) AS n_keys FROM events GROUP BY event_type""")
 def _(t):
     return t.events.groupBy("event_type").agg(
-        F.count_distinct("user_id").alias("n_users"), F.count_distinct(C.json_field("props", "$.k")).alias("n_keys"))
+        S.distinct_count("user_id").alias("n_users"), S.distinct_count(C.json_field("props", "$.k")).alias("n_keys"))
 
 
 @query("a03_conditional_count", f"""

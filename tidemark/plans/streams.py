@@ -85,7 +85,8 @@ def _(t):
     run = ST.run_available(parse_metadata(stream).select("event_id", "operation"), f"{base}/out", f"{base}/checkpoint")
     progress = ST.progress_rows(t.spark, run).filter("input_rows > 0")
     return progress.agg(F.count(F.lit(1)).alias("n_batches"), F.sum("input_rows").alias("input_rows"),
-                        F.min("duration_ms").alias("min_ms"), F.max("duration_ms").alias("max_ms"))
+                        F.min("duration_ms").alias("min_ms"), F.max("duration_ms").alias("max_ms"),
+                        F.avg("seconds_since_previous").alias("mean_interval"))
 
 
 @query("r07_keyed_pass_through", """

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -163,10 +163,13 @@ def throughput(records: DataFrame, time: str, payload: str, every: str = "1 minu
 
 
 def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Progress events of a query as rows: batch, time, input rows, run duration in ms."""
+    """Progress events of a query as rows: batch, time, input rows, run duration in ms, and the
+    seconds since the batch before. A query keeps a bounded number of them."""
     rows = [
         (p["batchId"], p["timestamp"], p["numInputRows"], p["durationMs"].get("triggerExecution"))
         for p in query.recentProgress
     ]
     raw = spark.createDataFrame(rows, "batch_id bigint, at string, input_rows bigint, duration_ms bigint")
-    return raw.withColumn("at", F.col("at").try_cast("timestamp"))
+    timed = raw.withColumn("at", F.col("at").try_cast("timestamp"))
+    gap = F.timestamp_diff("MILLISECOND", F.lag("at").over(Window.orderBy("batch_id", "at")), F.col("at")) / 1000
+    return timed.withColumn("seconds_since_previous", gap)
