@@ -181,6 +181,15 @@ def test_replacements_chain_in_order(spark):
     assert df.select(X.replace_longest_first("t", [("a", "x"), ("ab", "y")])).first()[0] == "y x"
 
 
+def test_long_dictionary_equals_the_nested_form(spark):
+    pairs = [(f"w{i}", f"w{i + 1}") for i in range(500)]
+    df = spark.createDataFrame([("w0 w499 x",), (None,)], "t string")
+    want = "w0 w499 x"
+    for old, new in pairs:
+        want = want.replace(old, new)
+    assert [r[0] for r in df.select(X.replace_in_order("t", pairs)).collect()] == [want, None]
+
+
 def test_stitching_across_buckets(spark, rows):
     lines = [("f", 0, "88,lead"), ("f", 1, "16,a"), ("f", 2, "88,  b "), ("f", 3, "88,c"), ("f", 4, "49,d"), ("g", 1, "88,x"), ("g", 2, "01,y")]
     df = spark.createDataFrame(lines, "file string, n int, line string")

@@ -109,10 +109,10 @@ def surrogate_key(*values: Column | str) -> Column:
 
 def decode(value: Column | str, table: dict, default: str | None = None) -> Column:
     """Code table as a CASE chain."""
-    out = F.lit(default)
-    for code, label in reversed(list(table.items())):
-        out = F.when(as_col(value) == F.lit(code), F.lit(label)).otherwise(out)
-    return out
+    chain = F
+    for code, label in table.items():
+        chain = chain.when(as_col(value) == F.lit(code), F.lit(label))
+    return chain.otherwise(F.lit(default))
 
 
 def band(value: Column | str, edges: Sequence[float], labels: Sequence[str], null_as_zero: bool = False):
@@ -126,11 +126,12 @@ def band(value: Column | str, edges: Sequence[float], labels: Sequence[str], nul
     value = as_col(value)
     if null_as_zero:
         value = F.coalesce(value, F.lit(0))
-    position = F.lit(len(edges) + 1)
-    for i in range(len(edges) - 1, -1, -1):
-        position = F.when(value < F.lit(edges[i]), F.lit(i + 1)).otherwise(position)
-    label = F.element_at(F.array(*[F.lit(x) for x in labels]), position)
-    return F.when(value.isNotNull(), label), F.when(value.isNotNull(), position)
+    position, label = F, F
+    for i, edge in enumerate(edges):
+        position = position.when(value < F.lit(edge), F.lit(i + 1))
+        label = label.when(value < F.lit(edge), F.lit(labels[i]))
+    position = position.when(value.isNotNull(), F.lit(len(edges) + 1))
+    return label.when(value.isNotNull(), F.lit(labels[-1])), position
 
 
 def linear_score(value: Column | str, intercept: float, slope: float) -> Column:

@@ -91,9 +91,12 @@ def square_root_bins(df: DataFrame) -> int:
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: Column, name: str = "amount") -> DataFrame:
-    """Group totals with their share of the grand total of the unfiltered input."""
+    """Group totals with their share of the grand total of the unfiltered input.
+
+    The grand total adds up the group totals, so the input is read once.
+    """
     grouped = df.groupBy(*keys).agg(F.sum(value).alias(name))
-    grand = df.agg(F.sum(value)).scalar()
+    grand = grouped.agg(F.sum(name)).scalar()
     return grouped.withColumn("share", safe_ratio(F.col(name), grand))
 
 

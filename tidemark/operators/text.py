@@ -11,9 +11,17 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import as_col, whole_part
 from tidemark.operators.ordered import last_marked
 
+MAX_NESTED = 40  # replacements written as nested calls
+
 
 def replace_in_order(value: Column | str, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Literal replacements applied one after the other; a result may be replaced again."""
+    """Literal replacements applied one after the other; a result may be replaced again.
+
+    A long list is folded over an array, so that the plan does not grow with it.
+    """
+    if len(pairs) > MAX_NESTED:
+        table = F.array(*[F.struct(F.lit(old).alias("old"), F.lit(new).alias("new")) for old, new in pairs])
+        return F.aggregate(table, as_col(value), lambda text, p: F.replace(text, p["old"], p["new"]))
     out = as_col(value)
     for old, new in pairs:
         out = F.replace(out, F.lit(old), F.lit(new))

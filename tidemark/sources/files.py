@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import between_marks
+from tidemark.operators.skew import split_join
+
+MAX_BROADCAST_HEADERS = 50_000
 
 
 def _numbered_in_file(df: DataFrame) -> DataFrame:
@@ -53,7 +56,8 @@ def read_skipping_bad_files(spark: SparkSession, path: str, ddl: str) -> tuple[D
     record = F.from_json("value", f"{ddl}, _bad string", options)
     rows = lines.select(F.col("_metadata.file_path").alias("file_name"), record.alias("r"))
     bad = rows.filter(F.col("r._bad").isNotNull()).groupBy("file_name").agg(F.count(F.lit(1)).alias("bad_records"))
-    return rows.join(bad, "file_name", "left_anti").select("file_name", "r.*").drop("_bad"), bad
+    clean = split_join(rows, bad.select("file_name"), ["file_name"], "left_anti")
+    return clean.select("file_name", "r.*").drop("_bad"), bad
 
 
 def read_json_array(spark: SparkSession, path: str, ddl: str, document_per_file: bool = False) -> DataFrame:
@@ -85,6 +89,8 @@ def read_delimited(
     first = raw.filter("__block = 0").select("__file", "__pos")
     limited = first.withColumn("__rn", F.row_number().over(Window.partitionBy("__file").orderBy("__pos")))
     header = limited.filter(F.col("__rn") <= header_rows).select("__file", "__pos")
+    if len(raw.inputFiles()) * header_rows <= MAX_BROADCAST_HEADERS:
+        header = F.broadcast(header)  # so many rows at most; otherwise the join is shuffled
     body = raw.join(header, ["__file", "__pos"], "left_anti")
     if malformed == "DROPMALFORMED":
         body = body.filter(F.col("_bad").isNull())
