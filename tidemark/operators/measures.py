@@ -43,12 +43,9 @@ def period_totals(
     """``{measure}_{period}`` sums per group from one scan limited to the dates any period needs."""
     oldest = F.trunc(F.add_months(asof, -12), "year")
     rows = fact.filter((F.col(date_col) >= oldest) & (F.col(date_col) < F.date_add(asof, 1)))
-    # Each row is reduced to its group and day first: few rows remain for the period sums.
-    daily = rows.groupBy(*group, F.col(date_col).cast("date").alias("__day"))
-    daily = daily.agg(*[F.sum(m).alias(n) for n, m in measures.items()])
-    wanted = period_conditions(F.col("__day"), asof)
-    sums = [F.sum(F.when(wanted[p], F.col(n))).alias(f"{n}_{p}") for n in measures for p in periods]
-    return daily.groupBy(*group).agg(*sums)
+    wanted = period_conditions(F.col(date_col).cast("date"), asof)
+    sums = [F.sum(F.when(wanted[p], m)).alias(f"{n}_{p}") for n, m in measures.items() for p in periods]
+    return rows.groupBy(*group).agg(*sums)
 
 
 def growth(current: Column, base: Column) -> Column:

@@ -336,7 +336,11 @@ def _(t):
                           F.split_part("url", F.lit("/"), F.lit(3)).alias("host_part"), C.first_token("url", "/").alias("first_part"))
 
 
-@query("p34_metric_text")
+@query("p34_metric_text", """
+    WITH s AS (SELECT o_orderstatus, CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total, COUNT(*) AS n,
+                      COUNT(*) FILTER (o_orderpriority = '1-URGENT') AS urgent FROM orders GROUP BY 1)
+    SELECT o_orderstatus, concat('$', format('{:,.2f}', total / 1e6), 'M') AS sales, format('{:,}', n) AS orders,
+           format('{:,.2f}', total / n) AS per_order, concat(format('{:,.2f}', CAST(urgent AS DOUBLE) / n * 100), '%') AS urgent_share FROM s""")
 def _(t):
     total = F.sum(C.money("o_totalprice")).cast("double")
     n = F.count(F.lit(1))
