@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.operators import governance as G
 from tidemark.plans.registry import query
-from tidemark.session import scratch_dir
+from tidemark.session import file_count, scratch_dir
 
 # Control rows of the shared customer views (view, columns, tenants, extra filter).
 CONTROL = [
@@ -81,8 +81,9 @@ def _(t):
 @query("g07_clustered_rewrite", "SELECT COUNT(*) AS n_rows, true AS depth_falls FROM lineitem")
 def _(t):
     plain, clustered = scratch_dir(t.spark, "plain"), scratch_dir(t.spark, "clustered")
-    t.lineitem.repartition(12).write.parquet(plain)
-    G.write_clustered(t.lineitem, clustered, [F.to_date("l_shipdate"), F.col("l_orderkey")], files=12)
+    files = file_count(t.spark, 12)
+    t.lineitem.repartition(files).write.parquet(plain)
+    G.write_clustered(t.lineitem, clustered, [F.to_date("l_shipdate"), F.col("l_orderkey")], files=files)
 
     def layout(path, name):
         ranges = G.file_ranges(t.spark.read.parquet(path), "l_shipdate")

@@ -199,7 +199,9 @@ def _(t):
     UNION ALL SELECT 'february', id, name, segment FROM v2 WHERE segment IN ('PREMIUM', 'SUPPLIER')
     UNION ALL SELECT 'march', id, name, segment FROM v2 UNION ALL SELECT 'january', id, name, segment FROM v1""")
 def _(t):
-    history = timestamp_history(t)
+    path = scratch_dir(t.spark, "history")
+    timestamp_history(t).write.parquet(path)
+    history = t.spark.read.parquet(path)
     parts = [H.as_of(history, ts(at)).select(F.lit(name).alias("moment"), "id", "name", "segment")
              for name, at in (("january", "2024-01-15"), ("february", "2024-02-15"), ("march", "2024-03-15"))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

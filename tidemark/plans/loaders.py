@@ -9,7 +9,7 @@ from tidemark.functions import dates as D
 from tidemark.operators.governance import union_all
 from tidemark.plans.ranking import hash_sql
 from tidemark.plans.registry import query
-from tidemark.session import scratch_dir
+from tidemark.session import file_count, scratch_dir
 from tidemark.sources import files as S
 from tidemark.sources import generators as G
 from tidemark.sources import reports as R
@@ -42,7 +42,7 @@ def _(t):
     path = scratch_dir(t.spark, "bad")
     newest = t.events.agg(F.max("event_id")).scalar()
     broken = F.when(F.col("event_id") == newest, F.substring("value", 1, 20)).otherwise(F.col("value"))
-    event_json(t).select(broken.alias("value")).repartition(8).write.text(path)
+    event_json(t).select(broken.alias("value")).repartition(file_count(t.spark)).write.text(path)
     clean, bad = S.read_skipping_bad_files(t.spark, path, EVENT_DDL)
     raw = t.spark.read.text(path).select(F.col("_metadata.file_path").alias("file_name"))
     dropped = raw.join(bad.select("file_name"), "file_name", "left_semi").agg(F.count(F.lit(1))).scalar()
@@ -84,7 +84,7 @@ def _(t):
 @query("s06_whole_files", "SELECT CAST(SUM(strlen(props) + 1) AS BIGINT) AS n_bytes, COUNT(*) AS n_lines FROM events")
 def _(t):
     path = scratch_dir(t.spark, "whole")
-    t.events.select(F.col("props").alias("value")).write.option("maxRecordsPerFile", 2000).text(path)
+    t.events.select(F.col("props").alias("value")).write.option("maxRecordsPerFile", 50_000).text(path)
     whole = S.read_whole_files(t.spark, path)
     return whole.agg(F.sum(F.octet_length("content")).alias("n_bytes"),
                      F.sum(F.length("content") - F.length(F.replace("content", F.lit("\n"), F.lit("")))).alias("n_lines"))
@@ -94,7 +94,7 @@ def _(t):
 def _(t):
     path = scratch_dir(t.spark, "gzip")
     event_json(t).select("value").write.option("compression", "gzip").text(path)
-    lines = S.read_gzip_lines(t.spark, path, partitions=t.spark.sparkContext.defaultParallelism)
+    lines = S.read_gzip_lines(t.spark, path, partitions=file_count(t.spark))
     return lines.groupBy(C.json_field("value", "$.event_type").alias("event_type")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -152,7 +152,7 @@ def _(t):
 def event_records(t, path):
     """Events as message-stream records in a few files."""
     records = ST.to_records(t.events, "clicks", F.to_json(F.struct(*EVENT_COLUMNS), NTZ), F.col("user_id"), F.col("event_id"), F.col("ts"))
-    records.repartition(4).write.parquet(path)
+    records.repartition(file_count(t.spark)).write.parquet(path)
     return ST.stream_files(t.spark, path, ST.RECORD_DDL)
 
 
@@ -175,7 +175,7 @@ def _(t):
     SELECT event_type AS ticker, concat('{"event_id":', CAST(event_id AS VARCHAR), ',"event_time":"', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '","ticker":"', event_type, '"}') AS value FROM events""")
 def _(t):
     base = scratch_dir(t.spark, "pass")
-    t.events.select("event_id", F.col("ts").alias("event_time"), F.col("event_type").alias("ticker")).repartition(4).write.parquet(f"{base}/in")
+    t.events.select("event_id", F.col("ts").alias("event_time"), F.col("event_type").alias("ticker")).repartition(file_count(t.spark)).write.parquet(f"{base}/in")
     stream = ST.stream_files(t.spark, f"{base}/in", "event_id bigint, event_time timestamp_ntz, ticker string")
     ST.run_available(ST.json_pass_through(stream, ["event_id", "event_time", "ticker"], "ticker"), f"{base}/out", f"{base}/checkpoint",
                      fmt="text", partition_by=["ticker"])

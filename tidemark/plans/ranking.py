@@ -9,7 +9,7 @@ from tidemark.operators import topn as N
 from tidemark.operators.ordered import first_n_by_key
 from tidemark.plans.columns import BAND_EDGES, BAND_LABELS
 from tidemark.plans.registry import query
-from tidemark.session import scratch_dir
+from tidemark.session import file_count, scratch_dir
 
 PRICE = "CAST(o_totalprice AS DECIMAL(12,2))"
 
@@ -61,7 +61,7 @@ def _(t):
 def _(t):
     # Several files, so that there are blocks to choose from.
     path = scratch_dir(t.spark, "blocks")
-    t.lineitem.repartition(16, "l_orderkey").write.parquet(path)
+    t.lineitem.repartition(file_count(t.spark, 16), F.xxhash64(*t.lineitem.columns)).write.parquet(path)
     # Written part files carry a random id; their part number repeats.
     part = F.regexp_extract(F.col("_metadata.file_path"), "part-([0-9]+)", 1)
     sample = N.sample_blocks(t.spark.read.parquet(path), 25, F.concat(part, F.lit(":"), F.col("_metadata.file_block_start").cast("string")))

@@ -82,6 +82,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{_shared_base(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def file_count(spark: SparkSession, at_least: int = 4) -> int:
+    """How many files to write a table into: the cluster's shuffle width, never a constant."""
+    return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that a lost executor never loses the rows."""
     spark = df.sparkSession

@@ -74,6 +74,11 @@ def json_pass_through(df: DataFrame, columns: Sequence[str], key: str) -> DataFr
     return df.select(F.col(key), body.alias("value"))
 
 
+def spread_by_element(df: DataFrame) -> DataFrame:
+    """Distribute records by a hash of the whole element, so that a hot key spreads like any other."""
+    return df.repartition(F.xxhash64(*df.columns))
+
+
 def run_available(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
