@@ -83,6 +83,15 @@ def test_latest_by_key_limits_before_the_shuffle(data):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_large_n_per_key_is_cut_per_salt(data, monkeypatch):
+    w = Window.partitionBy("key").orderBy("at", "id")
+    want = data.withColumn("r", F.row_number().over(w)).filter("r <= 30")
+    plain = O.first_n_by_key(data, ["key"], [F.col("at"), F.col("id")], 30, "r")
+    monkeypatch.setattr(O, "WINDOW_LIMIT", 10)
+    same(O.first_n_by_key(data, ["key"], [F.col("at"), F.col("id")], 30, "r"), want)
+    same(plain, want)
+
+
 def test_one_shuffle_of_the_rows(spark, data, monkeypatch):
     """Window and join share the exchange: one for the rows, two for bucket counts, one for the join."""
     monkeypatch.setattr(O, "MAX_GROUP_ROWS", 10**6)
@@ -105,6 +114,17 @@ def test_ranges_bound_every_task(data, monkeypatch):
     assert seen[0].groupBy("__range").count().agg(F.max("count")).first()[0] <= 500
 
 
+def test_split_join_shuffles_both_sides(spark, data):
+    """The grouped side gets a shuffle of its own; only then can AQE split a hot key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = O.with_group_totals(data, ["key"], F.sum("value").alias("total"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(__join_key") == 2
+
+
 def test_top_members_keep_ties(spark):
     df = spark.createDataFrame([("a", 5), ("b", 3), ("c", 3), ("d", 1), (None, 9)], "m string, v int")
     assert {r["m"] for r in top_members(df, "m", F.sum("v"), 2).collect()} == {"a", "b", "c"}

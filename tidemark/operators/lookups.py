@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import split_join
+
 
 def unique_lookup(table: DataFrame, key: str, value: str, ambiguous: str = "null") -> DataFrame:
     """(key, value, ambiguous): the one value of each key.
@@ -24,15 +26,17 @@ def unique_lookup(table: DataFrame, key: str, value: str, ambiguous: str = "null
     return found.select(key, chosen.alias(value), F.coalesce(several, F.lit(False)).alias("ambiguous"))
 
 
-def filter_along(table: DataFrame, filtered: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+def filter_along(table: DataFrame, filtered: DataFrame, on: Sequence[tuple[str, str]], unique: bool = True) -> DataFrame:
     """Rows of ``table`` that a filtered neighbour still reaches; pairs are (table, neighbour) columns.
 
-    Many-to-one from dimension to fact; for a two-way edge the fact is the neighbour.
+    Many-to-one from dimension to fact. For a two-way edge the fact is the neighbour, whose keys
+    repeat: with ``unique=False`` each key is reduced to one before the shuffle.
     """
-    condition = F.lit(True)
-    for mine, theirs in on:
-        condition = condition & (F.col(mine) == F.col(theirs))
-    return table.join(filtered, condition, "left_semi")
+    keys = filtered.select(*[F.col(theirs).alias(mine) for mine, theirs in on])
+    names = [mine for mine, _ in on]
+    if unique:
+        return table.join(keys, names, "left_semi")
+    return split_join(table, keys.distinct(), names, "left_semi")
 
 
 def default_key(value: Column | str, default) -> Column:

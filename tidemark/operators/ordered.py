@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.skew import split_join
 from tidemark.session import cut_lineage
 
+WINDOW_LIMIT = 1000  # Spark's spark.sql.optimizer.windowGroupLimitThreshold
+SALTS = 64
 MAX_GROUP_ROWS = 20_000_000  # rows of one (key, bucket) that a task may sort
 
 _GROUP = "__group"
@@ -140,8 +142,16 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def first_n_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None):
-    """At most ``n`` rows per key (a report or a sample of n); also limited before the shuffle."""
+    """At most ``n`` rows per key (a report or a sample of n); also limited before the shuffle.
+
+    Beyond the size up to which Spark limits a window early, each key is first cut per salt of
+    the row's hash, so that a hot key spreads; the best n are among the best n of every salt.
+    """
     name = rank or "__rn"
+    if n >= WINDOW_LIMIT:
+        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        per_salt = Window.partitionBy(*keys, "__salt").orderBy(*order)
+        df = salted.withColumn("__cut", F.row_number().over(per_salt)).filter(F.col("__cut") <= n).drop("__salt", "__cut")
     w = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
     return out if rank else out.drop(name)

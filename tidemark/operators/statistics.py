@@ -25,23 +25,14 @@ def labelled_extremes(df: DataFrame, value: Column | str) -> DataFrame:
 
 
 def line_fit(df: DataFrame, x: Column | str, y: Column | str) -> DataFrame:
-    """Least-squares line from sums: n, slope, intercept; null when x does not vary."""
+    """Least-squares line: n, slope, intercept; null when x does not vary.
+
+    Spark's regression aggregates merge centred moments, which stay exact where plain sums of
+    squares over many rows would cancel.
+    """
     x, y = as_col(x).cast("double"), as_col(y).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    pick = lambda c: F.when(both, c)
-    sums = df.agg(
-        F.count(pick(x)).alias("n"),
-        F.sum(pick(x)).alias("sx"),
-        F.sum(pick(y)).alias("sy"),
-        F.sum(pick(x * x)).alias("sxx"),
-        F.sum(pick(x * y)).alias("sxy"),
-    )
-    det = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    return sums.select(
-        "n",
-        F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), det).alias("slope"),
-        F.try_divide(F.col("sy") * F.col("sxx") - F.col("sx") * F.col("sxy"), det).alias("intercept"),
-    )
+    fit = df.agg(F.regr_count(y, x).alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
+    return fit.select("n", *[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in ("slope", "intercept")])
 
 
 def equation_text(slope: Column, intercept: Column) -> Column:

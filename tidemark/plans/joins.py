@@ -84,12 +84,11 @@ def _(t):
     SELECT c_custkey, COUNT(o_orderkey) AS n_late FROM customer
     LEFT JOIN orders ON c_custkey = o_custkey AND o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderstatus = 'O' GROUP BY c_custkey""")
 def _(t):
-    on = (
-        (F.col("c_custkey") == F.col("o_custkey"))
-        & (F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
-        & (F.col("o_orderstatus") == "O")
-    )
-    return t.customer.join(t.orders, on, "left").groupBy("c_custkey").agg(F.count("o_orderkey").alias("n_late"))
+    # Orders are counted per buyer first: an outer join cannot split a hot key of its right side.
+    recent = F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")
+    counts = t.orders.groupBy("o_custkey", "o_orderstatus", recent.alias("recent")).agg(F.count("o_orderkey").alias("n"))
+    on = (F.col("c_custkey") == F.col("o_custkey")) & F.col("recent") & (F.col("o_orderstatus") == "O")
+    return t.customer.join(counts, on, "left").groupBy("c_custkey").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_late"))
 
 
 @query("j06_null_as_default_join", """
@@ -121,7 +120,7 @@ def _(t):
     SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)""")
 def _(t):
     large = t.orders.filter("o_totalprice > 400000")
-    return t.customer.join(large, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
+    return filter_along(t.customer, large, [("c_custkey", "o_custkey")], unique=False).select("c_custkey")
 
 
 @query("j10_anti_join", """
@@ -161,8 +160,9 @@ def _(t):
     SELECT l_returnflag, CAST(SUM(CAST(l_quantity AS DECIMAL(6,0)) * CAST(p_retailprice AS DECIMAL(10,2))) AS DOUBLE) AS cost
     FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_returnflag""")
 def _(t):
-    joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    cost = F.col("l_quantity").cast("decimal(6,0)") * F.col("p_retailprice").cast("decimal(10,2)")
+    sold = t.lineitem.groupBy("l_partkey", "l_returnflag").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("qty"))
+    joined = sold.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    cost = F.col("qty").cast("decimal(18,0)") * F.col("p_retailprice").cast("decimal(10,2)")
     return joined.groupBy("l_returnflag").agg(F.sum(cost).alias("cost"))
 
 
@@ -188,7 +188,7 @@ def _(t):
     asia = filter_along(t.nation, t.region.filter("r_name = 'ASIA'"), [("n_regionkey", "r_regionkey")])
     buyers = filter_along(t.customer, asia, [("c_nationkey", "n_nationkey")])
     facts = filter_along(t.orders, buyers, [("o_custkey", "c_custkey")])
-    seen = filter_along(t.customer, facts, [("c_custkey", "o_custkey")])  # the edge back to the dimension
+    seen = filter_along(t.customer, facts, [("c_custkey", "o_custkey")], unique=False)  # the edge back to the dimension
     total = facts.agg(F.count(F.lit(1))).scalar()
     return seen.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers_seen")).withColumn("orders_seen", total)
 

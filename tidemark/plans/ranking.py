@@ -101,7 +101,7 @@ def _(t):
 
 @query("u03_set_difference", "SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem ORDER BY 1")
 def _(t):
-    return t.orders.select("o_orderkey").subtract(t.lineitem.select("l_orderkey")).orderBy("o_orderkey")
+    return t.orders.select("o_orderkey").subtract(t.lineitem.select("l_orderkey").distinct()).orderBy("o_orderkey")
 
 
 @query("u04_distinct_dimension", "SELECT DISTINCT l_returnflag, l_linestatus, year(l_shipdate) AS yr FROM lineitem")
