@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.changes import merge_upsert
 from tidemark.operators.ordered import running_sums
+from tidemark.session import cut_lineage
 
 
 def entitled_view(
@@ -84,8 +85,10 @@ def range_overlap(ranges: DataFrame, bucket: Column, file: str = "file", low: st
     """Per file: ``overlaps`` (other files its range meets), ``depth`` (files covering its start), ``is_constant``.
 
     A sweep over range ends, never pairs: files starting at or before my end, less those ending
-    before my start. ``bucket`` is a monotone expression over a column called ``at``.
+    before my start. ``bucket`` is a monotone expression over a column called ``at``. The ranges,
+    one row per file, are kept in a checkpoint: the table behind them is read once.
     """
+    ranges = cut_lineage(ranges)
     ends = ranges.select(
         file,
         F.explode(
