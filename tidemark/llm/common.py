@@ -44,12 +44,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def append_columns(
-    df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[[], Callable[..., list[list]]], rows: int = 256
+    df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[[], Callable[..., list[list]]], rows: int = 256,
+    arrow: bool = False,
 ) -> DataFrame:
     """``df`` with columns computed in Python from the columns ``inputs``, batch by batch through Arrow.
 
     ``make`` runs once per task and returns a function from lists (one per input) to lists (one per
-    column of the schema string ``outputs``). Columns of ``df`` named as an output are replaced.
+    column of the schema string ``outputs``); with ``arrow`` the inputs stay Arrow arrays. Columns of ``df`` named as an output are replaced.
     """
     added = T._parse_datatype_string(outputs)
     names = {f.name.lower() for f in added}
@@ -66,7 +67,8 @@ def append_columns(
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                columns = [part.column(len(kept) + i).to_pylist() for i in range(len(inputs))]
+                columns = [part.column(len(kept) + i) for i in range(len(inputs))]
+                columns = columns if arrow else [c.to_pylist() for c in columns]
                 made = function(*columns)
                 arrays = [part.column(i) for i in range(len(kept))]
                 arrays += [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types)]
