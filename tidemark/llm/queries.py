@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, language, rules
+from tidemark.llm import bpe, chat, jaccard, language, rules
 
-_MODULES = (language, rules, chat, bpe)
+_MODULES = (language, rules, jaccard, chat, bpe)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in _MODULES for name, text in module.SQL.items()}
