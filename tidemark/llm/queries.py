@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, jaccard, language, lines, rules, secrets
+from tidemark.llm import bpe, chat, jaccard, language, lines, lm, quality, rules, secrets
 
-_MODULES = (language, rules, lines, jaccard, secrets, chat, bpe)
+_MODULES = (language, rules, lines, jaccard, quality, secrets, chat, bpe, lm)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in _MODULES for name, text in module.SQL.items()}
