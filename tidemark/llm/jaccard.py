@@ -107,7 +107,7 @@ def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray
         element = _mix(hashes + np.uint64(_ODD[1]))
         sums = np.zeros(m, np.uint64)
         np.add.at(sums, segment, element)
-        salt = _mix(np.arange(m, dtype=np.uint64) + np.uint64(band + 1) * np.uint64(_ODD[0]))
+        salt = _mix(np.arange(m, dtype=np.uint64) + np.uint64((band + 1) * _ODD[0] % 2**64))
         shorter = segment < d  # segments are cut by hash, so any d of them are alike
         made = [_mix(sums ^ salt), _mix((sums[segment] - element)[shorter] ^ salt[segment[shorter]])]
         for keys_, is_full in zip(made, (True, False)):
