@@ -160,7 +160,8 @@ def first_n_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 def latest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """All rows that share the greatest ``order`` value of their key (rank = 1).
 
-    Greatest value by pre-aggregation, then an equi-join: tied rows of a hot key stay spread.
+    Greatest value by pre-aggregation, then an equi-join: tied rows of a hot key stay spread. A key
+    with only null ``order`` values keeps all its rows.
     """
-    top = df.groupBy(*keys).agg(F.max(order).alias(order)).filter(F.col(order).isNotNull())
+    top = df.groupBy(*keys).agg(F.max(order).alias(order))
     return split_join(df, top, [*keys, order], "left_semi", null_safe=True)
