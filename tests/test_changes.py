@@ -119,6 +119,13 @@ def test_check_snapshot_lifecycle(spark):
     assert H.before_change(back, ["k"], first).count() == 2
 
 
+def test_snapshot_refuses_a_repeated_key(spark):
+    start = H.initial_snapshot(spark.createDataFrame([(1, "a")], "k int, v string"), ["k"], ts(1))
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(Exception, match="source key repeats"):
+        H.snapshot_by_columns(start, twice, ["k"], ["v"], ts(2)).collect()
+
+
 def test_timestamp_snapshot_ignores_older_rows(spark):
     def source(day, value):
         return spark.createDataFrame([(1, value)], "k int, v string").withColumn("at", ts(day))

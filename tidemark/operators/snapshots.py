@@ -40,7 +40,12 @@ def _advance(
     open_rows = history.filter(F.col("valid_to").isNull()).select(
         *[F.col(c).alias(f"__h_{c}") for c in history.columns], F.lit(True).alias("__open")
     )
-    incoming = source.select(*data, changed_at.cast("timestamp_ntz").alias("__at"), F.lit(True).alias("__in"))
+    # The grouping shuffles by the keys, which the join needs anyway; a repeated key fails the run.
+    rest = F.struct(*[c for c in data if c not in keys], changed_at.cast("timestamp_ntz").alias("__at"))
+    repeated = F.raise_error(F.concat(F.lit("source key repeats: "), F.to_json(F.struct(*keys))))
+    present = F.when(F.count(F.lit(1)) > 1, repeated.cast("boolean")).otherwise(F.lit(True))
+    incoming = source.select(*keys, rest.alias("__rest")).groupBy(*keys).agg(F.first("__rest").alias("__rest"), present.alias("__in"))
+    incoming = incoming.select(*keys, "__rest.*", "__in")
     condition = F.lit(True)
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"__h_{k}"))

@@ -188,8 +188,12 @@ def _(t):
     parts = []
     for run, end in (("run 1", "2024-01-15 00:00:00"), ("run 2", "2100-01-01 00:00:00")):
         start = mark.current("1970-01-01 00:00:00")
-        parts.append(I.window_extract(t.events, "ts", ts(start), ts(end)).select("event_id", F.lit(run).alias("run")))
+        window = I.window_extract(t.events, "ts", ts(start), ts(end)).select("event_id", F.lit(run).alias("run"))
+        path = scratch_dir(t.spark, "window")
+        # The mark moves only when the window is safely written; a failed write leaves it for the next run.
+        window.write.parquet(path)
         mark.publish(end)
+        parts.append(t.spark.read.schema(window.schema).parquet(path))
     return parts[0].unionByName(parts[1])
 
 
