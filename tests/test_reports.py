@@ -44,6 +44,12 @@ def test_spread_keeps_the_sum(spark):
     assert got == {"2024-01-01": 25.0, "2024-01-02": 25.0, "2024-01-03": 32.0, "2024-01-04": 25.0, "2024-01-10": 3.0}
 
 
+def test_hierarchy_with_a_cycle_is_refused(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "child string, parent string")
+    with pytest.raises(ValueError, match="cycle"):
+        S.hierarchy_closure(edges)
+
+
 def test_hierarchy_closure(spark, rows):
     edges = spark.createDataFrame([("c", "b"), ("b", "a"), ("x", "a")], "child string, parent string")
     assert rows(S.hierarchy_closure(edges)) == [("b", "a", 1), ("c", "a", 2), ("c", "b", 1), ("x", "a", 1)]
@@ -147,6 +153,21 @@ def test_registry_rules(spark):
     assert updated.count() == 5
 
 
+def test_registry_replaces_a_schema_and_judges_one_batch_in_order(spark, rows):
+    catalog = spark.createDataFrame([("s", "t1"), ("s", "t2")], "schema_name string, table_name string")
+    ddl = "entity string, schema_name string, table_name string, access_type string"
+    registry = spark.createDataFrame([("e1", "s", "left", "SCHEMA"), ("e1", "s", "t1", "SCHEMA")], ddl)
+    requests = spark.createDataFrame(
+        [("e1", "s", None, "SCHEMA", 1), ("e2", "s", "t1", "TABLE", 1), ("e2", "s", None, "SCHEMA", 2), ("e3", "s", "nope", "TABLE", 1),
+         ("e3", "s", None, "SCHEMA", 2)], f"{ddl}, n int")
+    updated, judged = G.registry_upsert(registry, requests, catalog, ["n"])
+    assert rows(updated) == [("e1", "s", "t1", "SCHEMA"), ("e1", "s", "t2", "SCHEMA"), ("e2", "s", "t1", "TABLE"),
+                             ("e3", "s", "t1", "SCHEMA"), ("e3", "s", "t2", "SCHEMA")]
+    assert rows(judged, "entity", "access_type", "status") == [
+        ("e1", "SCHEMA", "ACCEPTED"), ("e2", "SCHEMA", "TABLE ACCESS EXISTS"), ("e2", "TABLE", "ACCEPTED"),
+        ("e3", "SCHEMA", "ACCEPTED"), ("e3", "TABLE", "INVALID TABLE")]
+
+
 def brute_overlap(ranges):
     return {f: (sum(1 for g, a, b in ranges if g != f and a <= hi and b >= lo), sum(1 for g, a, b in ranges if a <= lo <= b))
             for f, lo, hi in ranges}
@@ -204,10 +225,16 @@ def test_referenced_tables(spark, rows):
     assert rows(X.referenced_tables(df, "name", "txt")) == [("m", "ab"), ("m", "c"), ("m", "src")]
 
 
+def test_referenced_tables_of_any_case_and_odd_names(spark, rows):
+    sql = "from {{ SOURCE( 'raw','x' ) }} join my-table t join {{source(\"raw\", 'y')}}, from p.q; from fn(1)"
+    df = spark.createDataFrame([("m", sql)], "name string, txt string")
+    assert rows(X.referenced_tables(df, "name", "txt")) == [("m", "fn"), ("m", "pq"), ("m", "x"), ("m", "y")]
+
+
 def test_run_log(spark, rows):
-    lines = ["\x1b[0m sql table model a.b ...... [\x1b[32mSUCCESS 1\x1b[0m in 123.4s]", "sql table model a.c SUCCESS 1 in 99.9s", "other"]
+    lines = ["sql view model a.v SUCCESS 1 in 100.01s", "sql incremental model a.i SUCCESS 1 in 100s", "\x1b[0m sql table model a.b ...... [\x1b[32mSUCCESS 1\x1b[0m in 123.4s]", "sql table model a.c SUCCESS 1 in 99.9s", "other"]
     df = spark.createDataFrame([(x,) for x in lines], "line string")
-    assert rows(X.mine_run_log(df, "line", 100), "model", "seconds") == [("a.b", 123.4)]
+    assert rows(X.mine_run_log(df, "line", 100), "model", "seconds") == [("a.b", 123.4), ("a.v", 100.01)]
 
 
 def test_block_replacement_counts(spark):

@@ -197,8 +197,9 @@ def metric_text(value: Column | str, kind: str) -> Column:
 
 
 def sign_colour(value: Column | str, good: str = "#107C10", bad: str = "#C50F1F", flat: str = "#605E5C") -> Column:
+    """Colour of a change: up, exactly zero, and anything else; a missing value counts as bad."""
     value = as_col(value)
-    return F.when(value.isNull() | (value == 0), F.lit(flat)).when(value > 0, F.lit(good)).otherwise(F.lit(bad))
+    return F.when(value > 0, F.lit(good)).when(value == 0, F.lit(flat)).otherwise(F.lit(bad))
 
 
 def payload_bytes(value: Column | str, encoding: str = "text") -> Column:

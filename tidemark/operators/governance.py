@@ -38,21 +38,29 @@ def resolve_scope(control: DataFrame, requested: dict[str, str | Sequence[str]])
     return scope.select(*requested).distinct()
 
 
-def registry_upsert(registry: DataFrame, requests: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+def registry_upsert(
+    registry: DataFrame, requests: DataFrame, catalog: DataFrame, order: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
     """Apply access requests to a registry: (new registry, request statuses).
 
     Columns: entity, schema_name, table_name, access_type (SCHEMA or TABLE). A request is refused
     when its source is not in the catalog, or when the entity already holds the other access type
-    on that schema. An accepted schema request becomes one entry per table of the schema.
+    on that schema. Where it holds none, the first valid request by the columns ``order`` (without
+    them, or at a tie, a schema request) decides, and later ones of the other type are refused. An
+    accepted schema request replaces what the entity held on the schema by one entry per table of it.
     """
     held = registry.groupBy("entity", "schema_name").agg(F.max("access_type").alias("held_type"))
     tables = catalog.select("schema_name", "table_name").distinct()
     schemas = tables.select("schema_name").distinct().withColumn("schema_known", F.lit(True))
     known = tables.withColumn("table_known", F.lit(True))
+    checked = requests.join(schemas, "schema_name", "left").join(known, ["schema_name", "table_name"], "left")
+    valid = checked.filter("schema_known and (access_type = 'SCHEMA' or table_known)")
+    leading = valid.groupBy("entity", "schema_name").agg(
+        F.min_by("access_type", F.struct(*order, "access_type")).alias("leading_type"))
     judged = (
-        requests.join(held, ["entity", "schema_name"], "left")
-        .join(schemas, "schema_name", "left")
-        .join(known, ["schema_name", "table_name"], "left")
+        checked.join(held, ["entity", "schema_name"], "left")
+        .join(leading, ["entity", "schema_name"], "left")
+        .withColumn("held_type", F.coalesce("held_type", "leading_type"))
         .withColumn(
             "status",
             F.when(F.col("schema_known").isNull(), F.lit("INVALID SCHEMA"))
@@ -68,8 +76,10 @@ def registry_upsert(registry: DataFrame, requests: DataFrame, catalog: DataFrame
     by_table = accepted.filter("access_type = 'TABLE'").select(*columns)
     keys = ["entity", "schema_name", "table_name"]
     fresh = by_schema.unionByName(by_table)
+    replaced = accepted.filter("access_type = 'SCHEMA'").select("entity", "schema_name").distinct()
+    kept = registry.select(*columns).join(replaced, ["entity", "schema_name"], "left_anti").select(*columns)
     return (
-        merge_upsert(registry.select(*columns), fresh, keys, [F.col("access_type")]),
+        merge_upsert(kept, fresh, keys, [F.col("access_type")]),
         judged.select(*columns, "status"),
     )
 

@@ -117,10 +117,11 @@ def spread_over_days(
 
 
 def hierarchy_closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
-    """All (node, ancestor, depth) pairs of a parent-child graph without cycles.
+    """All (node, ancestor, depth) pairs of a parent-child graph; a cycle raises ``ValueError``.
 
     Joins one level at a time until a level is empty; every level is checkpointed so that the
-    plan stays short and a lost executor costs one level at most.
+    plan stays short and a lost executor costs one level at most. A node of a cycle becomes its own
+    ancestor after as many levels as the cycle is long.
     """
     links = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"))
     up = edges.select(F.col(child).alias("__c"), F.col(parent).alias("__p"))
@@ -130,6 +131,8 @@ def hierarchy_closure(edges: DataFrame, child: str = "child", parent: str = "par
         frontier = cut_lineage(frontier)
         if frontier.isEmpty():
             return closure if closure is not None else frontier
+        if (own := frontier.where("node = ancestor").select("node").first()) is not None:
+            raise ValueError(f"the hierarchy has a cycle through {own['node']!r}")
         closure = frontier if closure is None else closure.unionByName(frontier)
         depth += 1
         frontier = frontier.join(up, F.col("ancestor") == F.col("__c")).select(

@@ -11,21 +11,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import as_col, whole_part
 from tidemark.operators.ordered import last_marked
 
-MAX_NESTED = 40  # replacements written as nested calls
-
 
 def replace_in_order(value: Column | str, pairs: Sequence[tuple[str, str]]) -> Column:
     """Literal replacements applied one after the other; a result may be replaced again.
 
-    A long list is folded over an array, so that the plan does not grow with it.
+    The list is folded over an array, so that the expression does not nest as deep as it is long.
     """
-    if len(pairs) > MAX_NESTED:
-        table = F.array(*[F.struct(F.lit(old).alias("old"), F.lit(new).alias("new")) for old, new in pairs])
-        return F.aggregate(table, as_col(value), lambda text, p: F.replace(text, p["old"], p["new"]))
-    out = as_col(value)
-    for old, new in pairs:
-        out = F.replace(out, F.lit(old), F.lit(new))
-    return out
+    if not pairs:
+        return as_col(value)
+    table = F.array(*[F.struct(F.lit(old).alias("old"), F.lit(new).alias("new")) for old, new in pairs])
+    return F.aggregate(table, as_col(value), lambda text, p: F.replace(text, p["old"], p["new"]))
 
 
 def replace_longest_first(value: Column | str, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -48,20 +43,26 @@ def replace_block_and_append(df: DataFrame, text: str, old: str, new: str, foote
     )
 
 
-# How a template call and a table reference look in SQL text.
-SOURCE_CALL = r"\{\{\s*source\(['\"][^'\"]+['\"], ['\"]([^'\"]+)['\"]\)\s*\}\}"
-TABLE_WORD = r"(?i)(?:FROM|JOIN)(?<![A-Za-z0-9_](?:FROM|JOIN))\s+([A-Za-z0-9_.]+)"
+# A template call: double braces, any case and spacing, two texts in either quote, of which the second names the table.
+_QUOTED = r"""(?:'[^']+'|"[^"]+")"""
+SOURCE_CALL = rf"""(?i)\{{\{{-?\s*source\s*\(\s*{_QUOTED}\s*,\s*['"]([^'"]+)['"]\s*\)\s*-?\}}\}}"""
+# A table reference: the whole run of characters after the word, up to blanks, brackets or list marks.
+TABLE_WORD = r"(?i)(?:FROM|JOIN)(?<![A-Za-z0-9_](?:FROM|JOIN))\s+([^\s(),;]+)"
 
 
 def referenced_tables(df: DataFrame, name: str, text: str) -> DataFrame:
     """Distinct (name, table) pairs named by template calls or after FROM / JOIN words.
 
-    JOIN also covers its LEFT, RIGHT, INNER and CROSS forms. Sub-queries and table functions do
-    not match, trailing punctuation is cut, the words AS and TABLE are no tables.
+    JOIN also covers its LEFT, RIGHT, INNER and CROSS forms. Sub-queries do not match; a name with
+    other characters than word characters and dots is no table, nor are the words AS and TABLE. A
+    table function gives the name before its bracket.
     """
     calls = F.regexp_extract_all(F.col(text), F.lit(SOURCE_CALL), F.lit(1))
     words = F.transform(
-        F.regexp_extract_all(F.col(text), F.lit(TABLE_WORD), F.lit(1)),
+        F.filter(
+            F.regexp_extract_all(F.col(text), F.lit(TABLE_WORD), F.lit(1)),
+            lambda w: w.rlike(r"^[A-Za-z0-9_.]+$"),
+        ),
         lambda w: F.regexp_replace(w, r"\.", ""),
     )
     named = df.select(F.col(name), F.explode(F.array_distinct(F.concat(calls, words))).alias("table_name"))
@@ -79,18 +80,18 @@ def tokens_with_prefix(df: DataFrame, name: str, text: str, prefix: str) -> Data
 
 # Terminal colour codes and the success line of a model run.
 COLOUR_CODE = r"\x1b\[[0-9;]*m"
-RUN_LINE = r"sql table model ([A-Za-z0-9_.]+) .*SUCCESS [0-9]+ in ([0-9]+(?:\.[0-9]+)?)s"
+RUN_LINE = r"sql (?:table|view|incremental) model ([A-Za-z0-9_.]+) .*SUCCESS [0-9]+ in ([0-9]+(?:\.[0-9]+)?)s"
 
 
 def mine_run_log(lines: DataFrame, line: str, slower_than: float) -> DataFrame:
-    """(model, seconds) of runs at or above the threshold."""
+    """(model, seconds) of table, view and incremental runs that took longer than the threshold."""
     plain = F.regexp_replace(F.col(line), COLOUR_CODE, "")
     hit = lines.select("*", plain.alias("__plain"))
     return (
         hit.filter(F.col("__plain").rlike(RUN_LINE))
         .withColumn("model", F.regexp_extract("__plain", RUN_LINE, 1))
         .withColumn("seconds", F.regexp_extract("__plain", RUN_LINE, 2).cast("double"))
-        .filter(F.col("seconds") >= slower_than)
+        .filter(F.col("seconds") > slower_than)
         .drop("__plain")
     )
 

@@ -272,9 +272,10 @@ def _(t):
 
 
 @query("p27_linear_score", """
-    SELECT c_custkey, CASE WHEN (c_acctbal - 722.14) / 0.0107 < 0 THEN 0 ELSE (c_acctbal - 722.14) / CAST(0.0107 AS DOUBLE) END AS predicted FROM customer""")
+    SELECT c_custkey, CASE WHEN (c_acctbal + 512.5) / 0.25 < 0 THEN 0 ELSE (c_acctbal + 512.5) / CAST(0.25 AS DOUBLE) END AS predicted FROM customer""")
 def _(t):
-    return t.customer.select("c_custkey", C.linear_score("c_acctbal", 722.14, 0.0107).alias("predicted"))
+    # The intercept comes with its sign: a negative one is added back.
+    return t.customer.select("c_custkey", C.linear_score("c_acctbal", -512.5, 0.25).alias("predicted"))
 
 
 @query("p28_upper_snake", """
@@ -325,8 +326,10 @@ def _(t):
     SELECT doc_id, COUNT(*) AS n_lines FROM lines WHERE trim(line) <> '' GROUP BY doc_id ORDER BY doc_id OFFSET 3""")
 def _(t):
     lines = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    filled = lines.filter(F.trim("line") != "")
-    return filled.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines")).orderBy("doc_id").offset(3)
+    filled = lines.filter(F.trim("line") != "").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    # Only the three skipped keys meet in one task; the rest stays spread. The ids are unique and not null.
+    skipped = filled.select("doc_id").orderBy("doc_id").limit(3)
+    return filled.join(skipped, "doc_id", "left_anti")
 
 
 @query("p33_last_token", """
@@ -369,9 +372,13 @@ def _(t):
 
 
 @query("p37_sign_colour", """
-    SELECT c_custkey, CASE WHEN c_acctbal - 5000 > 0 THEN '#107C10' WHEN c_acctbal - 5000 < 0 THEN '#C50F1F' ELSE '#605E5C' END AS colour FROM customer""")
+    WITH d AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN 0 ELSE c_acctbal - 5000 END AS change FROM customer)
+    SELECT c_custkey, CASE WHEN change > 0 THEN '#107C10' WHEN change = 0 THEN '#605E5C' ELSE '#C50F1F' END AS colour FROM d""")
 def _(t):
-    return t.customer.select("c_custkey", C.sign_colour(F.col("c_acctbal") - 5000).alias("colour"))
+    # Every tenth customer has no change on record, every tenth none at all.
+    digit = F.col("c_custkey") % 10
+    change = F.when(digit == 1, F.lit(0.0)).when(digit != 0, F.col("c_acctbal") - 5000)
+    return t.customer.select("c_custkey", C.sign_colour(change).alias("colour"))
 
 
 @query("p38_date_parts", """
