@@ -180,7 +180,7 @@ def jaccard_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
         return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint")
 
-    members = texts.mapInArrow(index, "key bigint, id bigint, home boolean, full boolean")
+    members = stored(texts.mapInArrow(index, "key bigint, id bigint, home boolean, full boolean"), "members")
     groups = linked_groups(members, verify).withColumnsRenamed({"id": "rep", "comp": "root"})
     named = classes.join(groups, "rep", "left").select("print", F.coalesce("root", "rep").alias("root"))
     # Representatives are the smallest keys of their classes, so the smallest representative is the group's.
