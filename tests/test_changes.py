@@ -202,3 +202,20 @@ def test_affected_keys_equal_full_recompute(spark):
     updated = I.recompute_affected(old, keys, "key", compute)
     assert keys.count() < 100
     assert updated.exceptAll(compute()).isEmpty() and compute().exceptAll(updated).isEmpty()
+
+
+def test_streams_without_files_and_with_late_rows(spark):
+    base = scratch_dir(spark, "empty")
+    feed = spark.createDataFrame([], "k int, at int, gone boolean")
+    feed.write.parquet(f"{base}/in")
+    stream = ST.stream_files(spark, f"{base}/in", "k int, at int, gone boolean")
+    table = ST.MergedTable(spark, f"{base}/state", ["k"], ["at"], F.col("gone"))
+    assert ST.merge_stream(stream, table, f"{base}/checkpoint").select("k", "at").collect() == []
+
+    # The last file brings a row sixty days late, for a minute that has rows already.
+    for day in ("2024-01-01", "2024-03-01", "2024-01-01"):
+        rows = spark.createDataFrame([(f"{day} 00:00:30", "ab")], "ts string, p string").withColumn("ts", F.to_timestamp("ts"))
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/late")
+    late = ST.stream_files(spark, f"{base}/late", "ts timestamp, p string", files_per_batch=1)
+    sums = ST.stream_throughput(late, "ts", "p", f"{base}/sums", f"{base}/late-checkpoint")
+    assert sorted((r["n_rows"], r["n_bytes"]) for r in sums.collect()) == [(1, 2), (2, 4)]
