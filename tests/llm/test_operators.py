@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -138,6 +139,29 @@ def test_decontaminate(spark, edge, docs):
     assert decontaminate.stage_benchmark(spark, edge, SF).columns == edge.columns
 
 
+def made_words(n, seed):
+    """``n`` words, few of them common, as in ordinary text."""
+    draw = random.Random(seed)
+    return [f"w{int(4000 * draw.random() ** 3)}" for _ in range(n)]
+
+
+def test_decontaminate_many_items(spark):
+    items = [(i, " ".join(made_words(20 + i % 40, i))) for i in range(2000)]
+    rows, wanted = [], set()
+    for d in range(100):
+        words = items[19 * d][1].split()
+        if d % 2:  # every eighth word reworded
+            words = [f"other{d}" if j % 8 == 4 else w for j, w in enumerate(words)]
+        rows.append((d, " ".join(made_words(150, 10**6 + d) + words + made_words(150, 2 * 10**6 + d))))
+        wanted.add((d, 19 * d))
+    rows += [(1000 + d, " ".join(made_words(300, 3 * 10**6 + d))) for d in range(100)]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.cosine for r in decontaminate.find_leaks(*given).collect()}
+    assert wanted <= set(got) and all(c >= 0.35 for c in got.values())
+    blocks = {(r.doc_id, r.item_id): r.cosine for r in decontaminate.find_leaks(*given, rank=100, block=700).collect()}
+    assert set(blocks) == set(got) and all(abs(blocks[x] - got[x]) < 1e-3 for x in got)
+
+
 def test_quality(spark, edge, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = quality.fit_neighbours(docs.select("doc_id", "text").join(labels, "doc_id"))
