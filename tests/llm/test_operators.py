@@ -111,6 +111,25 @@ def test_lines(spark, edge):
     assert lines.stage_lines(spark, edge, SF).columns == edge.columns
 
 
+def test_lines_reworded(spark):
+    draw, rows, changed = random.Random(3), [], {}
+    for i in range(160):
+        words = [f"{w}{'abcdefg'[j % 7]}x" for j, w in enumerate(made_words([5, 12, 30, 60][i % 4], i))]
+        line, at = " ".join(words), draw.randrange(len(words))
+        if i % 8 < 4:  # a word of the same length replaced, or one letter wrong
+            words[at] = "z" * len(words[at])
+        else:
+            words[at] = words[at][:-1] + "q"
+        rows += [(2 * i, line), (2 * i + 1, " ".join(words))]
+        k, n = len(words[at]), len(line)
+        changed[2 * i + 1] = i % 8 >= 4 or k <= 0.2 * n
+    got = {r.doc_id: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {i for i, r in got.items() if r.n_removed} == {i for i, near in changed.items() if near}
+    texts = ["internationalisation", "internationalizaton", "私は昨日東京の大きな図書館で本を三冊も借りました", "私は昨日京都の大きな図書館で本を三冊も借りました"]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id for r in lines.dedup_lines(given, min_chars=15).collect() if r.n_removed} == {1, 3}
+
+
 def test_secrets(spark, edge):
     assert secrets.trigram_query("[0-9a-f]{24,}") is None
     assert secrets.trigram_query("AKIA[A-Z0-9]{16,}") == [frozenset({"aki", "kia"})]
