@@ -181,6 +181,21 @@ def test_decontaminate_many_items(spark):
     assert set(blocks) == set(got) and all(abs(blocks[x] - got[x]) < 1e-3 for x in got)
 
 
+def test_decontaminate_item_lengths(spark):
+    sizes = [1, 2, 3, 5, 8, 11, 12, 15, 48, 49, 100, 400, 600, 1000]
+    items = [(i, " ".join(f"v{n}" if j == n // 2 else w for j, w in enumerate(made_words(n, i)))) for i, n in enumerate(sizes)]
+    rows, wanted = [], set()
+    for i, n in enumerate(sizes):
+        for d, words in enumerate((items[i][1].split(), ["new" if j % 8 == 6 else w for j, w in enumerate(items[i][1].split())])):
+            if not d or n >= 11:  # word for word, and with every eighth word another
+                rows.append((2 * i + d, " ".join(made_words(1507, 10**6 + 2 * i + d) + words + made_words(1500, 2 * 10**6 + 2 * i + d))))
+                wanted.add((2 * i + d, i))
+    rows += [(1000 + d, " ".join(made_words(3000, 3 * 10**6 + d))) for d in range(20)]
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == wanted
+    assert all((r.cosine, r.common) == (1.0, 1.0) for r in got if r.doc_id % 2 == 0)
+
+
 def test_quality(spark, edge, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = quality.fit_neighbours(docs.select("doc_id", "text").join(labels, "doc_id"))
