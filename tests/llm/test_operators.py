@@ -207,6 +207,19 @@ def test_quality(spark, edge, docs):
     assert sum(r.predicted == r.quality for r in seen) >= 0.9 * len(seen)
 
 
+def test_quality_by_words(spark):
+    def text(i):
+        """Words of one shape and length, a third of them from other 100 words in even than in odd texts."""
+        draw = random.Random(i)
+        kinds = [draw.choice(["xy" if i % 2 else "yx", "common", "common"]) for _ in range(150)]
+        return " ".join(f"{k[:2]}{chr(97 + draw.randrange(10))}{chr(97 + draw.randrange(10))}e" for k in kinds)
+
+    rows = spark.createDataFrame([(i, text(i), 1 - i % 2) for i in range(400)], "doc_id bigint, text string, quality int")
+    model = quality.fit_neighbours(rows.where("doc_id < 300"))
+    held = quality.score_quality(rows.where("doc_id >= 300"), model).collect()
+    assert sum(r.predicted == r.quality for r in held) >= 95
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", "<|turn|>x<|text|>", "<\\|end|>", "<\\\\s>", "", None, "plain < [ \\ text", "é😀<|image:0|>"]
     rows = [(c, i, r, t) for c in (1, 2) for i, (r, t) in enumerate(zip(["user", "assistant"] * 4, texts))] + [(None, None, None, None)]

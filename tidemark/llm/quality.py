@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import append_columns, remainder, table
 
-WIDTH = 4096
+#: Hashed words, and before them the features of their forms.
+WORDS, FORMS = 4096, 4096
+WIDTH = FORMS + WORDS
 
 
 class Shapes:
-    """Counts of hashed features of a text: word forms, their neighbours, and how much repeats."""
+    """Counts of hashed features of a text: its words, their forms and neighbours, and how much repeats."""
 
     def __init__(self, cached: int = 200_000):
         self.cached, self.known = cached, {}
@@ -26,6 +28,11 @@ class Shapes:
                 out += kind
         return out[:12]
 
+    def terms(self, word: str) -> list[str]:
+        """The word in lower case without signs; of a long one, as in scripts without blanks, its runs of three characters."""
+        plain = "".join(c for c in word.lower() if c.isalnum())
+        return [plain] if 0 < len(plain) <= 16 else [plain[i : i + 3] for i in range(len(plain) - 2)]
+
     def __call__(self, text: str | None) -> np.ndarray:
         from zlib import crc32
 
@@ -33,12 +40,17 @@ class Shapes:
         words = text.split()
         if len(known) > self.cached:
             known.clear()
-        forms = []
+        forms, terms = [], []
         for w in words:
             f = known.get(w)
             if f is None:
-                f = known[w] = crc32(self.form(w).encode("utf-8", "replace")) % 1024
-            forms.append(f)
+                f = crc32(self.form(w).encode("utf-8", "replace")) % 1024, [FORMS + crc32(t.encode("utf-8", "replace")) % WORDS for t in self.terms(w)]
+                if len(w) <= 64:
+                    known[w] = f
+            forms.append(f[0])
+            terms += f[1]
+        if terms:
+            vector += np.bincount(terms, minlength=WIDTH) / len(terms)
         if forms:
             ids = np.array(forms, np.int64)
             vector[:1024] += np.bincount(ids, minlength=1024) / len(ids)
@@ -85,7 +97,7 @@ def fit_neighbours(
     """Latent vectors of a bounded sample: of each label the ``rows`` / 2 rows with the smallest hash of the key.
 
     At most ``chars`` characters of a labelled text are learnt from. Features are weighted by
-    inverse document frequency, then reduced to ``rank`` axes by a randomised SVD of the sample.
+    inverse document frequency (words and the shapes of words alike), then reduced to ``rank`` axes by a randomised SVD of the sample.
     Rows without label or key teach nothing.
     """
     from pyspark.sql.window import Window
@@ -97,14 +109,17 @@ def fit_neighbours(
     wanted = [r["k"] for r in ids.select("k").distinct().collect()]
     def make():
         def batch(texts):
-            return [[s.astype("<f4").tobytes() for s in map(Shapes(), texts)]]
+            return [[np.flatnonzero(s).astype("<f4").tobytes() + s[s != 0].astype("<f4").tobytes() for s in map(Shapes(), texts)]]
         return batch
 
     if not wanted:
         return Neighbours(np.ones(WIDTH), np.zeros((WIDTH, 1)), np.zeros((0, 1)), np.zeros(0), k, sharp)
     chosen = append_columns(known.where(F.col("k").isin(wanted)).select("k", "y", "t"), ["t"], "features binary", make, rows=128).drop("t")
     sample = sorted(((r["k"], r["y"], bytes(r["features"])) for r in chosen.collect()))
-    features = np.sqrt(np.stack([np.frombuffer(f, "<f4") for _, _, f in sample]))
+    features = np.zeros((len(sample), WIDTH), np.float32)
+    for row, (_, _, f) in zip(features, sample):
+        at, value = np.frombuffer(f, "<f4").reshape(2, -1)  # numbers below WIDTH are exact
+        row[at.astype(np.int64)] = np.sqrt(value)
     labels = np.array([y for _, y, _ in sample], np.float32)
     weights = (np.log((1 + len(sample)) / (1 + (features > 0).sum(0))) + 0.3).astype(np.float32)
     matrix = features * weights
@@ -127,7 +142,7 @@ def score_quality(docs: DataFrame, model: Neighbours, text: str = "text") -> Dat
     are judged one by one, so repeated rows get equal scores. Columns of ``docs`` with these names
     are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # rows * rank + width * rank floats, under 3 MB
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # rows * rank + width * rank floats, under 3.5 MB
 
     def make():
         shapes = Shapes()
