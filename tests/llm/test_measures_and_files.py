@@ -95,10 +95,17 @@ def expected_ids(texts, vocabulary):
 
 TEXTS = [
     "", None, " \n\t", "Don't STOP we'll it's 'S 3rd x2y", "ΣΑΣ Σας İstanbul ǅ", "é e ́  nbsp em\u0085nel \x1c\x1f\x00",
-    "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|> <|", "日本語テキスト 한국어 हिन्दी", "😀👍🏽 ﬁ ﬀ", "word " * 50_000, "q" * 30_000, "퟿ ￿",
+    "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|> <|", "日本語テキスト 한국어 हिन्दी", "😀👍🏽 ﬁ ﬀ", "Größe, (ÉTÉ) l'été's ÀB×C÷D Œuvre İi ıI ŉ ǅungla Ǆ ẞ ﬀ …, e\u0301te\u0301, =\u0338 x\u00adY ¿Qué? naïve-café_ÑANDÚ 10º «mot»", "word " * 50_000, "q" * 30_000, "퟿ ￿",
 ]
 
 
+def test_encoder_every_character(vocabulary):
+    """Each character of the basic plane alone, between letters and after punctuation."""
+    texts = [f"{chr(i)} a{chr(i)}B ,{chr(i)}. {chr(i)}\u0301" for i in range(0x3000) if not 0xD800 <= i < 0xE000]
+    encode = tokenfiles.Encoder(vocabulary)
+    assert [[*np.frombuffer(x, encode.kind).tolist(), 2] for x in encode(texts)] == expected_ids(texts, vocabulary)
+
+
 def test_encoder_like_library(vocabulary):
     for t in (tokenfiles.Encoder(vocabulary), tokenfiles.Encoder(vocabulary, cached=1)):
         assert t.chunked and t.width == 2

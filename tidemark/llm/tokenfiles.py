@@ -15,11 +15,14 @@ Documents lie in ascending order of their keys, within a file and from file to f
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import table
 from tidemark.operators.ranges import range_bounds, range_number
 from tidemark.session import file_count, scratch_dir
 
@@ -42,27 +45,37 @@ _NORMAL = {
     "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
 }
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-_SPLIT_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-_PLAIN = re.compile(rb"[\x21-\x7e]+")
+# Letters for which lower-casing and composition are settled character by character: A-Z and those of Latin-1 and Latin Extended-A.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
+_SIMPLE = re.compile(f"(?!.*<\\|)[!-~{_LETTERS}]+")
+_SPLIT_SIMPLE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it is visible in Latin-1, else one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (b for b in range(256) if b not in visible)
+    return {b: 256 + i for i, b in enumerate(hidden)}
 
 
 class Encoder:
     """Ids of texts as the tokenizers library gives them, without truncation, padding and added ends.
 
     Where the vocabulary drops white space and lower-cases character by character, ASCII white space parts a text
-    into chunks that do not touch each other: a chunk is encoded once and remembered. Chunks of visible ASCII
-    characters go to the library's model directly, all others through the whole library. Any other vocabulary
-    encodes whole texts.
+    into chunks that do not touch each other: a chunk is encoded once and remembered, the first ``cached`` of them.
+    Chunks of visible ASCII characters and Latin letters go to the library's model directly, all others through the
+    whole library. Any other vocabulary encodes whole texts.
     """
 
-    def __init__(self, vocabulary: str, cached: int = 600_000, longest: int = 64):
+    def __init__(self, vocabulary: str, cached: int = 400_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.width = 2 if self.tokenizer.get_vocab_size(True) <= 2**16 else 4
-        self.kind = f"<u{self.width}"
+        self.kind, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
+        self.letters = byte_letters()
         parts = json.loads(vocabulary)
         split = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.chunked = (
@@ -73,21 +86,25 @@ class Encoder:
         )
         self.cached, self.longest = cached, longest
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-    def _plain(self, chunk: bytes) -> bytes:
-        ids: list[int] = []
-        for word in _SPLIT_ASCII.findall(chunk.decode().lower()):
-            known = self.words.get(word)
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _simple(self, chunk: str) -> bytes:
+        parts, words = [], self.words
+        for word in _SPLIT_SIMPLE.findall(chunk.lower()):
+            known = words.get(word)
             if known is None:
-                known = [t.id for t in self.tokenizer.model.tokenize(word)]
-                if len(word) <= self.longest:
-                    self.words[word] = known
-            ids += known
-        return self._pack(ids)
+                plain = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                known = self._pack([t.id for t in self.tokenizer.model.tokenize(plain)])
+                if len(words) < self.cached and len(word) <= self.longest:
+                    words[word] = known
+            parts.append(known)
+        return parts[0] if len(parts) == 1 else b"".join(parts)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -96,17 +113,22 @@ class Encoder:
         """Serialised ids of each text; null is empty."""
         if not self.chunked:
             return self._library([t or "" for t in texts])
-        if len(self.chunks) > self.cached or len(self.words) > self.cached:
-            self.chunks.clear()
-            self.words.clear()
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        new = {c for chunks in split for c in chunks} - self.chunks.keys()
-        plain = {c for c in new if _PLAIN.fullmatch(c) and b"<|" not in c}
-        other = list(new - plain)
-        made = {c: self._plain(c) for c in plain} | dict(zip(other, self._library([c.decode() for c in other])))
-        self.chunks.update((c, ids) for c, ids in made.items() if len(c) <= self.longest)
-        known = self.chunks | made if any(len(c) > self.longest for c in made) else self.chunks
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        chunks, simple = self.chunks, _SIMPLE.fullmatch
+        new, other = [c for c in set().union(*split) if c not in chunks], []
+        for c in new:
+            text = c.decode()
+            if simple(text):
+                chunks[c] = self._simple(text)
+            else:
+                other.append(c)
+        chunks.update(zip(other, self._library([c.decode() for c in other])))
+        out = [b"".join(map(chunks.__getitem__, found)) for found in split]
+        full = len(chunks) > self.cached
+        for c in new:
+            if full or len(c) > self.longest:
+                del chunks[c]
+        return out
 
 
 def _file_system(path: str):
@@ -138,7 +160,6 @@ def train_dictionary(
     raw = docs.sparkSession.sparkContext.broadcast(vocabulary)
     total = docs.count()
     chosen = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(F.monotonically_increasing_id()).alias("h"))
-    # Twice the wanted share of a hash's range: the number of rows stays within a few deviations of it.
     chosen = chosen.where(F.pmod("h", F.lit(1_000_000)) < max(1, -(-1_000_000 * rows // max(1, total)))).where("length(text) > 0")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +171,8 @@ def train_dictionary(
                 made.append(ids[at : at + piece])
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["ids"])
 
-    pieces = sorted(r["ids"] for r in chosen.mapInArrow(work, "ids binary").collect() if r["ids"])
+    # Few tasks: each has to load the vocabulary.
+    pieces = sorted(r["ids"] for r in chosen.repartition(4).mapInArrow(work, "ids binary").collect() if r["ids"])
     try:
         return zstandard.train_dictionary(min(size, sum(map(len, pieces)) // 8), [bytes(p) for p in pieces]).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -190,9 +212,14 @@ def write_token_files(
         encoder, pack = Encoder(raw.value), _compressor(shared.value, level).compress
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                ids = [x + end for x in encoder(part.column(2).to_pylist())]
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                # Caches of strings have no cycles; walking them again and again would cost a fifth of the time.
+                gc.disable()
+                try:
+                    ids = [x + end for x in encoder(part.column(2).to_pylist())]
+                finally:
+                    gc.enable()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(3), pa.array([len(x) // encoder.width for x in ids], pa.int64()),
                      pa.array(map(pack, ids), pa.binary()), pa.array([encoder.width] * len(ids), pa.int32())],
