@@ -1,11 +1,11 @@
-"""Bucketed order operators equal the plain windows, also on hot, null and tied keys."""
+"""Order operators by ranges equal the plain windows, also on hot, null and tied keys."""
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import whole_part
 from tidemark.operators import ordered as O
+from tidemark.operators.ranges import range_bounds, range_number
 from tidemark.operators.topn import rows_of_top_members, sequence_ids, top_members, top_one
 
 
@@ -19,15 +19,10 @@ def data(spark):
     ).cache()
 
 
-def bucket():
-    return F.floor((F.col("at") + 400) / 37)
-
-
-@pytest.fixture(autouse=True, params=["buckets", "ranges"])
-def hot_bucket(request, monkeypatch):
-    """Each case runs with the given buckets and with ranges, as if every bucket were too hot."""
-    if request.param == "ranges":
-        monkeypatch.setattr(O, "MAX_GROUP_ROWS", 20)
+@pytest.fixture(params=[1, 7, 300])
+def ranges(request):
+    """One range, a few, and so many that most keys are cut."""
+    return request.param
 
 
 def same(left, right):
@@ -35,34 +30,34 @@ def same(left, right):
     assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
 
-def test_number_rows(data):
+def test_number_rows(data, ranges):
     w = Window.partitionBy("key").orderBy("at", "id")
-    same(O.number_rows(data, ["key"], ["at", "id"], bucket()), data.withColumn("row_number", F.row_number().over(w).cast("bigint")))
+    same(O.number_rows(data, ["key"], ["at", "id"], ranges=ranges), data.withColumn("row_number", F.row_number().over(w).cast("bigint")))
 
 
-def test_number_rows_without_key(data):
+def test_number_rows_without_key(data, ranges):
     w = Window.orderBy("at", "id")
-    same(O.number_rows(data, [], ["at", "id"], bucket()), data.withColumn("row_number", F.row_number().over(w).cast("bigint")))
+    same(O.number_rows(data, [], ["at", "id"], ranges=ranges), data.withColumn("row_number", F.row_number().over(w).cast("bigint")))
 
 
-def test_running_sum(data):
+def test_running_sum(data, ranges):
     w = Window.partitionBy("key").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = data.withColumn("total", F.sum("value").over(w)).withColumn("ids", F.sum("id").over(w))
-    same(O.running_sums(data, ["key"], ["at", "id"], bucket(), {"total": "value", "ids": "id"}), want)
+    same(O.running_sums(data, ["key"], ["at", "id"], {"total": "value", "ids": "id"}, ranges), want)
 
 
 @pytest.mark.parametrize("forward", [False, True])
-def test_neighbour_row(data, forward):
+def test_neighbour_row(data, forward, ranges):
     w = Window.partitionBy("key").orderBy("at", "id")
     step = F.lead if forward else F.lag
     want = data.withColumn("x_value", step("value").over(w)).withColumn("x_id", step("id").over(w))
-    same(O.neighbour_row(data, ["key"], ["at", "id"], bucket(), ["value", "id"], "x_", forward), want)
+    same(O.neighbour_row(data, ["key"], ["at", "id"], ["value", "id"], "x_", forward, ranges), want)
 
 
-def test_last_marked(data):
+def test_last_marked(data, ranges):
     w = Window.partitionBy("key").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
     mark = F.when(F.col("value") > 8, F.col("id"))
-    same(O.last_marked(data, ["key"], ["at", "id"], bucket(), mark, "m"), data.withColumn("m", F.last(mark, ignorenulls=True).over(w)))
+    same(O.last_marked(data, ["key"], ["at", "id"], mark, "m", ranges), data.withColumn("m", F.last(mark, ignorenulls=True).over(w)))
 
 
 def test_group_totals_keep_null_keys(data):
@@ -92,26 +87,54 @@ def test_large_n_per_key_is_cut_per_salt(data, monkeypatch):
     same(plain, want)
 
 
-def test_one_shuffle_of_the_rows(spark, data, monkeypatch):
-    """Window and join share the exchange: one for the rows, two for bucket counts, one for the join."""
-    monkeypatch.setattr(O, "MAX_GROUP_ROWS", 10**6)
+def test_one_shuffle_of_the_rows(spark, data):
+    """Window and join share the exchange: one for the rows, two for range counts, one for the join."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = O.number_rows(data, ["key"], ["at", "id"], bucket())._jdf.queryExecution().executedPlan().toString()
+        plan = O.number_rows(data, ["key"], ["at", "id"])._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 4
 
 
-def test_ranges_bound_every_task(data, monkeypatch):
-    """With all rows in one bucket the ranges still split the hot key evenly."""
-    seen = []
-    cut = O.cut_lineage
-    monkeypatch.setattr(O, "MAX_GROUP_ROWS", 500)
-    monkeypatch.setattr(O, "cut_lineage", lambda df: seen.append(cut(df)) or seen[-1])
-    numbered = O.number_rows(data, ["key"], ["at", "id"], F.lit(0))
-    assert numbered.filter("key = 'hot'").agg(F.max("row_number")).first()[0] == data.filter("key = 'hot'").count()
-    assert seen[0].groupBy("__range").count().agg(F.max("count")).first()[0] <= 500
+def test_ranges_bound_every_task(spark):
+    """One key holds nine tenths of the rows, one order value a third: no group of a task is much above its share."""
+    n = F.col("id")
+    hot = spark.range(20_000).select(
+        n, F.when(n % 10 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), n.cast("string"))).alias("key"), F.when(n % 3 > 0, n % 1000).otherwise(5).alias("at"))
+    for keys in (["key"], []):
+        groups = O._ranged(hot, keys, ["at", "id"], 40).groupBy("__group").count()
+        assert groups.agg(F.max("count")).first()[0] < 3 * 20_000 / 40
+    got = O.number_rows(hot, ["key"], ["at", "id"], ranges=40)
+    same(got, hot.withColumn("row_number", F.row_number().over(Window.partitionBy("key").orderBy("at", "id")).cast("bigint")))
+
+
+def test_walk_without_keys_sees_ranges_only(spark, data):
+    """What comes together in a single task is one row for each range, not the table."""
+    out = O.running_sums(data, [], ["at", "id"], {"total": "value"}, ranges=12)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    single = [i for i, line in enumerate(plan.splitlines()) if "SinglePartition" in line]
+    assert single and all("Aggregate" in plan.splitlines()[i + 1] or "Aggregate" in plan.splitlines()[i + 2] for i in single)
+    assert O._ranged(data, [], ["at", "id"], 12).select("__group").distinct().count() <= 12
+
+
+def test_bounds_of_every_type(spark):
+    """Bounds are literals of the column's own type: numbers order as in Spark, also nulls, NaN and times."""
+    rows = spark.range(400).select(
+        F.col("id").alias("i"),
+        F.when(F.col("id") % 9 > 0, F.concat(F.lit("ä~Z"), (F.col("id") % 40).cast("string"))).alias("s"),
+        F.when(F.col("id") % 7 == 0, F.lit(float("nan"))).when(F.col("id") % 7 > 1, F.col("id") - 200.5).alias("d"),
+        (F.col("id") / 8).cast("decimal(12,3)").alias("m"), F.date_add(F.lit("1969-12-25").cast("date"), (F.col("id") % 30).cast("int")).alias("day"),
+        F.timestamp_micros(F.col("id") * 3_600_000_001 + 1_711_843_200_000_000).alias("t"),
+        (F.timestamp_micros(F.col("id") * 3_600_000_001 + 1_711_843_200_000_000)).cast("timestamp_ntz").alias("n"), (F.col("id") % 2 == 0).alias("b"))
+    for order in (["s", "i"], ["d", "i"], ["m"], ["day", "i"], ["t"], ["n"], ["b", "i"], ["b", "s", "d", "i"]):
+        bounds = range_bounds(rows, order, 8)
+        assert 5 <= len(bounds) <= 7
+        numbered = rows.withColumn("r", range_number(rows, order, bounds)).orderBy(*order).collect()
+        numbers = [x["r"] for x in numbered]
+        assert numbers == sorted(numbers) and set(numbers) == set(range(len(bounds) + 1))
+    assert range_bounds(rows.limit(0), ["i"], 8) == []
 
 
 def test_split_join_shuffles_both_sides(spark, data):
@@ -133,5 +156,5 @@ def test_top_members_keep_ties(spark):
 
 
 def test_sequence_ids(data):
-    ids = sequence_ids(data, ["id"], whole_part("id", 100), start=7, increment=3, name="seq")
+    ids = sequence_ids(data, ["id"], start=7, increment=3, name="seq")
     assert ids.filter(F.col("seq") != 7 + F.col("id") * 3).isEmpty()

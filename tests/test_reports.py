@@ -178,7 +178,7 @@ def test_range_overlap_against_pairs(spark, seed):
     rng = np.random.default_rng(seed)
     ranges = [(f"f{i}", int(lo), int(lo + size)) for i, (lo, size) in enumerate(zip(rng.integers(0, 60, 40), rng.integers(0, 15, 40)))]
     df = spark.createDataFrame(ranges, "file string, low int, high int")
-    out = G.range_overlap(df, F.floor(F.col("at") / 10))
+    out = G.range_overlap(df)
     assert {r["file"]: (r["overlaps"], r["depth"]) for r in out.collect()} == brute_overlap(ranges)
     assert sum(r["n_files"] for r in G.depth_histogram(out).collect()) == 40
 
@@ -215,7 +215,7 @@ def test_stitching_across_buckets(spark, rows):
     lines = [("f", 0, "88,lead"), ("f", 1, "16,a"), ("f", 2, "88,  b "), ("f", 3, "88,c"), ("f", 4, "49,d"), ("g", 1, "88,x"), ("g", 2, "01,y")]
     df = spark.createDataFrame(lines, "file string, n int, line string")
     for size in (1, 2, 100):
-        got = rows(X.stitch_records(df, "file", "n", "line", lines_per_bucket=size), "file", "record")
+        got = rows(X.stitch_records(df, "file", "n", "line", ranges=size), "file", "record")
         assert got == [("f", "16,abc"), ("f", "49,d"), ("f", "lead"), ("g", "01,y"), ("g", "x")]
 
 

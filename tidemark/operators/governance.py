@@ -91,12 +91,12 @@ def file_ranges(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def range_overlap(ranges: DataFrame, bucket: Column, file: str = "file", low: str = "low", high: str = "high") -> DataFrame:
+def range_overlap(ranges: DataFrame, file: str = "file", low: str = "low", high: str = "high") -> DataFrame:
     """Per file: ``overlaps`` (other files its range meets), ``depth`` (files covering its start), ``is_constant``.
 
     A sweep over range ends, never pairs: files starting at or before my end, less those ending
-    before my start. ``bucket`` is a monotone expression over a column called ``at``. The ranges,
-    one row per file, are kept in a checkpoint: the table behind them is read once.
+    before my start. The ranges, one row per file, are kept in a checkpoint: the table behind
+    them is read once.
     """
     ranges = cut_lineage(ranges)
     ends = ranges.select(
@@ -109,7 +109,7 @@ def range_overlap(ranges: DataFrame, bucket: Column, file: str = "file", low: st
         ).alias("e"),
     ).select("e.*")
     points = ends.groupBy("at").agg(F.sum("start").alias("start"), F.sum("stop").alias("stop"))
-    swept = running_sums(points, [], ["at"], bucket, {"started": "start", "stopped": "stop"}).select(
+    swept = running_sums(points, [], ["at"], {"started": "start", "stopped": "stop"}).select(
         "at", "started", (F.col("stopped") - F.col("stop")).alias("ended_before")
     )
     at_low = swept.select(F.col("at").alias(low), F.col("started").alias("__s_low"), F.col("ended_before").alias("__e_low"))

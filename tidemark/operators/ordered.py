@@ -1,12 +1,10 @@
-"""Order-dependent operators that survive hot keys and hot buckets.
+"""Order-dependent operators that survive hot keys.
 
-A plain window puts a whole key into one task. Here a caller passes ``bucket``: an expression
-that never decreases along the order (a day of a timestamp, ``id div 1e6``). The window then
-runs per (key, bucket), and one small row per (key, bucket) carries the state across buckets:
-a row offset, a running sum, the last row. Results are those of the plain window.
-
-The largest (key, bucket) group is counted first. When it is too large for one task, the rows
-are cut into ranges of equal depth instead, so that no choice of bucket can overload a task.
+A plain window puts a whole key into one task. Here the rows are cut into ranges of equal depth along (keys, order): one
+sampling pass draws the bounds, which then stand in the plan as literals. The window runs per (key, range), and one small
+row per (key, range) carries the state across the ranges of a key: a row offset, a running sum, the last row. Results are
+those of the plain window. A task never holds more of a key than a range, and the walk over the ranges, also
+without keys, sees as many rows as there are ranges, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -16,15 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import range_bounds, range_number
 from tidemark.operators.skew import split_join
-from tidemark.session import cut_lineage
+from tidemark.session import file_count
 
 WINDOW_LIMIT = 1000  # Spark's spark.sql.optimizer.windowGroupLimitThreshold
 SALTS = 64
-MAX_GROUP_ROWS = 20_000_000  # rows of one (key, bucket) that a task may sort
 
 _GROUP = "__group"
-_BUCKET = "__bucket"
 _RANGE = "__range"
 
 
@@ -32,40 +29,30 @@ def _key_order(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column) -> DataFrame:
-    """Keys and bucket as one struct: null keys equal null keys, and the window and the join on it
-    share one shuffle."""
-    sizes = df.groupBy(*keys, bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("n"))
-    found = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    if (found["largest"] or 0) > MAX_GROUP_ROWS:
-        df = _equal_ranges(df, keys, order, -(-2 * found["total"] // MAX_GROUP_ROWS))
-        bucket = F.col(_RANGE)
-    return df.withColumn(_GROUP, F.struct(*[F.col(k) for k in keys], bucket.alias(_BUCKET))).drop(_RANGE)
-
-
-def _equal_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int) -> DataFrame:
-    """Number of the sampled range of (keys, order) that holds each row.
+def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None) -> DataFrame:
+    """Keys and range as one struct: null keys equal null keys, and the window and the join on it share one shuffle.
 
-    Range bounds are drawn by sampling, so the numbers are kept in a reliable checkpoint: every
-    later read, and every retry after a lost executor, sees the same ones.
+    There are as many ranges as the cluster's shuffle is wide, unless the caller says otherwise.
     """
-    ranged = df.repartitionByRange(ranges, *keys, *order).withColumn(_RANGE, F.spark_partition_id())
-    return cut_lineage(ranged)
+    along = [*keys, *order]
+    bounds = range_bounds(df, along, ranges or file_count(df.sparkSession))
+    number = range_number(df, along, bounds).alias(_RANGE)
+    return df.withColumn(_GROUP, F.struct(*[F.col(k) for k in keys], number))
 
 
-def _per_bucket(rows: DataFrame, keys: Sequence[str], *aggregates: Column):
-    """One row per (keys, bucket), and the window that walks the buckets of a key in order."""
+def _per_range(rows: DataFrame, keys: Sequence[str], *aggregates: Column):
+    """One row per (keys, range), and the window that walks the ranges of a key in order."""
     edges = rows.groupBy(_GROUP).agg(*aggregates)
-    walk = Window.partitionBy(*[F.col(f"{_GROUP}.{k}") for k in keys]).orderBy(f"{_GROUP}.{_BUCKET}")
+    walk = Window.partitionBy(*[F.col(f"{_GROUP}.{k}") for k in keys]).orderBy(f"{_GROUP}.{_RANGE}")
     return edges, walk
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "row_number"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number", ranges: int | None = None
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)``; ``order`` is ascending and total."""
-    rows = _bucketed(df, keys, order, bucket)
-    edges, walk = _per_bucket(rows, keys, F.count(F.lit(1)).alias("__n"))
+    rows = _ranged(df, keys, order, ranges)
+    edges, walk = _per_range(rows, keys, F.count(F.lit(1)).alias("__n"))
     before = walk.rowsBetween(Window.unboundedPreceding, -1)
     offsets = edges.select(_GROUP, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     inside = F.row_number().over(Window.partitionBy(_GROUP).orderBy(*order))
@@ -74,12 +61,12 @@ def number_rows(
 
 
 def running_sums(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, sums: dict[str, str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, str], ranges: int | None = None
 ) -> DataFrame:
     """``sum(column) over (partition by keys order by order rows unbounded preceding)`` for each
     ``{name: column}``."""
-    rows = _bucketed(df, keys, order, bucket)
-    edges, walk = _per_bucket(rows, keys, *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()])
+    rows = _ranged(df, keys, order, ranges)
+    edges, walk = _per_range(rows, keys, *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()])
     before = walk.rowsBetween(Window.unboundedPreceding, -1)
     offsets = edges.select(_GROUP, *[F.sum(f"__s_{n}").over(before).alias(f"__o_{n}") for n in sums])
     inside = Window.partitionBy(_GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -94,15 +81,15 @@ def neighbour_row(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     values: Sequence[str],
     prefix: str = "previous_",
     forward: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Values of the previous (or next) row in order: ``lag`` / ``lead`` by one row."""
     step, edge_of = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
-    rows = _bucketed(df, keys, order, bucket).withColumn("__v", F.struct(*values))
-    edges, walk = _per_bucket(rows, keys, edge_of(F.col("__v"), _key_order(order)).alias("__edge"))
+    rows = _ranged(df, keys, order, ranges).withColumn("__v", F.struct(*values))
+    edges, walk = _per_range(rows, keys, edge_of(F.col("__v"), _key_order(order)).alias("__edge"))
     carried = edges.select(_GROUP, step("__edge").over(walk).alias("__carry"))
     inside = step("__v").over(Window.partitionBy(_GROUP).orderBy(*order))
     out = rows.withColumn("__in", inside).join(carried, _GROUP)
@@ -113,12 +100,12 @@ def neighbour_row(
 
 
 def last_marked(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: Column, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, ranges: int | None = None
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row (forward fill)."""
-    rows = _bucketed(df, keys, order, bucket).withColumn("__m", value)
+    rows = _ranged(df, keys, order, ranges).withColumn("__m", value)
     marked = F.when(F.col("__m").isNotNull(), _key_order(order))
-    edges, walk = _per_bucket(rows, keys, F.max_by(F.col("__m"), marked).alias("__last"))
+    edges, walk = _per_range(rows, keys, F.max_by(F.col("__m"), marked).alias("__last"))
     before = walk.rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(_GROUP, F.last("__last", ignorenulls=True).over(before).alias("__carry"))
     inside = Window.partitionBy(_GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

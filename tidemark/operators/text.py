@@ -97,20 +97,19 @@ def mine_run_log(lines: DataFrame, line: str, slower_than: float) -> DataFrame:
 
 
 def stitch_records(
-    lines: DataFrame, file: str, line_no: str, line: str, marker: str = "88", cut: int = 3, lines_per_bucket: int = 100_000
+    lines: DataFrame, file: str, line_no: str, line: str, marker: str = "88", cut: int = 3, ranges: int | None = None
 ) -> DataFrame:
     """Glue continuation lines (starting with ``marker``) onto the record before them.
 
     A continuation loses its first ``cut`` characters and outer blanks. Leading continuations
     without a record form one of their own. Rows of a long file stay spread: the start of the
-    record is carried forward per line bucket, and the only gather is one record's own lines.
+    record is carried forward from range to range, and the only gather is one record's own lines.
     """
     continues = F.startswith(F.col(line), F.lit(marker))
     body = F.when(continues, F.trim(F.substr(F.col(line), F.lit(cut + 1)))).otherwise(F.col(line))
-    bucket = whole_part(line_no, lines_per_bucket)
     rows = lines.select(file, line_no, body.alias("__body"), (~continues).alias("__starts"))
     starts = F.when(F.col("__starts"), F.col(line_no))
-    rows = last_marked(rows, [file], [line_no], bucket, starts, "__start")
+    rows = last_marked(rows, [file], [line_no], starts, "__start", ranges)
     pieces = F.transform(F.sort_array(F.collect_list(F.struct(line_no, "__body"))), lambda p: p["__body"])
     records = rows.groupBy(file, F.col("__start").alias("first_line")).agg(F.array_join(pieces, "").alias("record"))
     return records.filter(F.col("record") != "")

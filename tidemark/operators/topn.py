@@ -49,8 +49,8 @@ def sample_blocks(df: DataFrame, percent: float, block: Column | None = None, sa
 
 
 def sequence_ids(
-    df: DataFrame, order: Sequence[str], bucket: Column, start: int = 1, increment: int = 1, name: str = "id"
+    df: DataFrame, order: Sequence[str], start: int = 1, increment: int = 1, name: str = "id"
 ) -> DataFrame:
-    """Dense ids in a total order, numbered bucket by bucket."""
-    numbered = number_rows(df, [], order, bucket, "__n")
+    """Dense ids in a total order, numbered range by range."""
+    numbered = number_rows(df, [], order, "__n")
     return numbered.withColumn(name, F.lit(start) + (F.col("__n") - 1) * F.lit(increment)).drop("__n")

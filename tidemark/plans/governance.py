@@ -75,7 +75,7 @@ def _(t):
 def _(t):
     name = F.concat_ws("-", F.col("l_suppkey").cast("string"), F.year("l_shipdate").cast("string"))
     ranges = t.lineitem.groupBy(name.alias("file")).agg(F.min("l_shipdate").alias("low"), F.max("l_shipdate").alias("high"))
-    return G.range_overlap(ranges, bucket=F.year("at")).select("file", "overlaps", "depth", "is_constant")
+    return G.range_overlap(ranges).select("file", "overlaps", "depth", "is_constant")
 
 
 @query("g07_clustered_rewrite", "SELECT COUNT(*) AS n_rows, true AS depth_falls FROM lineitem")
@@ -87,7 +87,7 @@ def _(t):
 
     def layout(path, name):
         ranges = G.file_ranges(t.spark.read.parquet(path), "l_shipdate")
-        return G.range_overlap(ranges, bucket=F.year("at")).select(F.lit(name).alias("layout"), "overlaps", "depth", "n_rows")
+        return G.range_overlap(ranges).select(F.lit(name).alias("layout"), "overlaps", "depth", "n_rows")
 
     both = layout(plain, "plain").unionByName(layout(clustered, "clustered"))
     at = lambda name, c: F.when(F.col("layout") == name, F.col(c))

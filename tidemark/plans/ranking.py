@@ -79,8 +79,7 @@ def _(t):
 
 @query("k09_sequence_ids", "SELECT o_orderkey, 1000 + (row_number() OVER (ORDER BY o_orderkey) - 1) * 10 AS seq_id FROM orders")
 def _(t):
-    bucket = C.whole_part("o_orderkey", 100_000)
-    return N.sequence_ids(t.orders.select("o_orderkey"), ["o_orderkey"], bucket, start=1000, increment=10, name="seq_id")
+    return N.sequence_ids(t.orders.select("o_orderkey"), ["o_orderkey"], start=1000, increment=10, name="seq_id")
 
 
 @query("u01_union_all", """

@@ -14,10 +14,6 @@ from tidemark.plans.registry import query
 PRICE = "CAST(o_totalprice AS DECIMAL(12,2))"
 
 
-def day_bucket(ts="ts"):
-    return F.to_date(ts)
-
-
 @query("w01_latest_by_key", """
     SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def _(t):
@@ -35,14 +31,14 @@ def _(t):
 @query("w03_global_row_number", """
     SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS row_number FROM events""")
 def _(t):
-    return O.number_rows(t.events.select("event_id", "ts"), [], ["ts", "event_id"], day_bucket()).drop("ts")
+    return O.number_rows(t.events.select("event_id", "ts"), [], ["ts", "event_id"]).drop("ts")
 
 
 @query("w04_line_number", """
     SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS line_number FROM events""")
 def _(t):
     rows = t.events.select("event_id", "event_type", "ts")
-    return O.number_rows(rows, ["event_type"], ["ts", "event_id"], day_bucket(), "line_number").drop("ts", "event_type")
+    return O.number_rows(rows, ["event_type"], ["ts", "event_id"], "line_number").drop("ts", "event_type")
 
 
 @query("w05_partition_total", f"""
@@ -73,7 +69,7 @@ def _(t):
     WITH g AS (SELECT date_diff('microsecond', LAG(ts) OVER (ORDER BY ts, event_id), ts) AS gap FROM events)
     SELECT COUNT(gap) AS n_gaps, CAST(SUM(gap) AS DOUBLE) / COUNT(gap) / 1000000 AS mean_gap FROM g WHERE gap IS NOT NULL""")
 def _(t):
-    rows = O.neighbour_row(t.events.select("ts", "event_id"), [], ["ts", "event_id"], day_bucket(), ["ts"])
+    rows = O.neighbour_row(t.events.select("ts", "event_id"), [], ["ts", "event_id"], ["ts"])
     gap = F.timestamp_diff("MICROSECOND", F.col("previous_ts"), F.col("ts"))
     return rows.agg(F.count(gap).alias("n_gaps"), (C.safe_ratio(F.sum(gap), F.count(gap)) / 1e6).alias("mean_gap"))
 
@@ -86,7 +82,7 @@ def _(t):
     UNION ALL SELECT 'avg', CAST(SUM(us) AS DOUBLE) / COUNT(us) FROM d""")
 def _(t):
     marks = t.events.filter(F.col("event_type").isin("signup", "purchase")).select("user_id", "event_id", "ts", "event_type")
-    rows = O.neighbour_row(marks, ["user_id"], ["ts", "event_id"], day_bucket(), ["event_type", "ts"])
+    rows = O.neighbour_row(marks, ["user_id"], ["ts", "event_id"], ["event_type", "ts"])
     pairs = rows.filter("previous_event_type = 'signup' AND event_type = 'purchase'")
     return S.labelled_extremes(pairs, F.timestamp_diff("MICROSECOND", F.col("previous_ts"), F.col("ts")))
 
@@ -96,7 +92,7 @@ def _(t):
     SELECT user_id, COUNT(next_ts) AS n_pairs, CAST(SUM(date_diff('microsecond', ts, next_ts)) AS DOUBLE) / COUNT(next_ts) AS mean_us FROM f GROUP BY user_id""")
 def _(t):
     failures = t.events.filter("event_type = 'error'").select("user_id", "event_id", "ts")
-    rows = O.neighbour_row(failures, ["user_id"], ["ts", "event_id"], day_bucket(), ["ts"], "next_", forward=True)
+    rows = O.neighbour_row(failures, ["user_id"], ["ts", "event_id"], ["ts"], "next_", forward=True)
     gap = F.timestamp_diff("MICROSECOND", F.col("ts"), F.col("next_ts"))
     return rows.groupBy("user_id").agg(F.count(gap).alias("n_pairs"), C.safe_ratio(F.sum(gap), F.count(gap)).alias("mean_us"))
 
