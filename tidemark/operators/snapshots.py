@@ -113,9 +113,15 @@ def as_of(history: DataFrame, moment: Column) -> DataFrame:
     ).drop(*META)
 
 
-def before_change(history: DataFrame, keys: Sequence[str], scd_id: str) -> DataFrame:
-    """State just before the version ``scd_id`` began."""
-    start = history.filter(F.col("scd_id") == scd_id).agg(F.max("valid_from")).scalar()
+def as_of_offset(history: DataFrame, now: Column, seconds: int) -> DataFrame:
+    """Rows valid ``seconds`` before ``now``."""
+    return as_of(history, F.timestamp_add("SECOND", F.lit(-seconds), now.cast("timestamp_ntz")))
+
+
+def before_change(history: DataFrame, keys: Sequence[str], scd_id: Column | str) -> DataFrame:
+    """State just before the version ``scd_id`` (a text or a scalar) began; without such a version no row."""
+    wanted = F.lit(scd_id) if isinstance(scd_id, str) else scd_id
+    start = history.filter(F.col("scd_id") == wanted).agg(F.max("valid_from")).scalar()
     return history.filter(
         (F.col("valid_from") < start) & (F.col("valid_to").isNull() | (F.col("valid_to") >= start))
     ).drop(*META)

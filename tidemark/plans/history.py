@@ -8,12 +8,13 @@ from tidemark.functions import columns as C
 from tidemark.operators import changes as X
 from tidemark.operators import incremental as I
 from tidemark.operators import snapshots as H
+from tidemark.operators.buckets import BucketedFolder
 from tidemark.operators.governance import registry_upsert
 from tidemark.operators.measures import latest_day
 from tidemark.operators.skew import split_join
 from tidemark.plans.columns import DATA_DDL, OPERATION_SQL, operation
 from tidemark.plans.registry import query
-from tidemark.session import scratch_dir
+from tidemark.session import file_count, scratch_dir
 
 DELTA = "2001-01-01"
 
@@ -261,3 +262,44 @@ def _(t):
     updated, judged = registry_upsert(registry, requests, catalog)
     return updated.select(F.lit("registry").alias("part"), "*", F.lit(None).cast("string").alias("status")).unionByName(
         judged.select(F.lit("request").alias("part"), "*"))
+
+
+@query("m12_as_of_offset", f"""
+    WITH {V2_SQL} SELECT 'hours back' AS moment, id, name, segment FROM v1
+    UNION ALL SELECT 'minutes back', id, name, segment FROM v1 WHERE bal <= 8000 OR bal IS NULL
+    UNION ALL SELECT 'minutes back', id, name, segment FROM v2 WHERE segment IN ('PREMIUM', 'SUPPLIER')""")
+def _(t):
+    path = scratch_dir(t.spark, "history")
+    timestamp_history(t).write.parquet(path)
+    history = t.spark.read.parquet(path)
+    now = ts("2024-03-01 00:30:00")
+    parts = [H.as_of_offset(history, now, back).select(F.lit(name).alias("moment"), "id", "name", "segment")
+             for name, back in (("hours back", 30 * 24 * 3600), ("minutes back", 45 * 60))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("m12_before_change", f"""
+    WITH {V2_SQL}, moved AS (SELECT MIN(id) AS id FROM v2 WHERE segment = 'SUPPLIER')
+    SELECT v1.id, name, segment FROM v1, moved WHERE moved.id IS NOT NULL""")
+def _(t):
+    path = scratch_dir(t.spark, "history")
+    timestamp_history(t).write.parquet(path)
+    history = t.spark.read.parquet(path)
+    # The change that brought the first supplier, whose id is that of its version.
+    change = history.filter("segment = 'SUPPLIER'").agg(F.min_by("scd_id", "id")).scalar()
+    return H.before_change(history, ["id"], change).select("id", "name", "segment")
+
+
+@query("m02_bucket_merge", """
+    WITH b AS (SELECT o_orderkey, o_orderstatus, o_totalprice + 1 AS price FROM orders WHERE o_orderkey % 5 = 0
+               UNION ALL SELECT o_orderkey + 1000000000, 'N', 0 FROM orders WHERE o_orderkey % 50 = 0)
+    SELECT o_orderkey, o_orderstatus, price FROM b
+    UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 5 <> 0""")
+def _(t):
+    rows = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"))
+    table = BucketedFolder(t.spark, scratch_dir(t.spark, "buckets"), ["o_orderkey"], file_count(t.spark))
+    table.merge(rows, [F.col("price")])
+    changed = rows.filter("o_orderkey % 5 = 0").withColumn("price", F.col("price") + 1)
+    added = rows.filter("o_orderkey % 50 = 0").select((F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.lit(0.0).alias("price"))
+    table.merge(changed.unionByName(added), [F.col("price")])
+    return table.read()

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.operators import statistics as S
 from tidemark.operators.changes import parse_metadata, route, split_null_payload
+from tidemark.operators.feeds import ChangeFeed, append_changes
+from tidemark.operators.incremental import StateFolder
 from tidemark.plans.columns import DATA_DDL, OPERATION_SQL, TABLE_SQL, envelopes, operation
 from tidemark.plans.loaders import event_records
 from tidemark.plans.registry import query
 from tidemark.session import file_count, scratch_dir
 from tidemark.streaming import streams as ST
+from tidemark.streaming.progress import ProgressLog, run_statistics
 
 
 @query("r01_bronze_stream", """
@@ -115,3 +118,54 @@ def _(t):
     runs = t.spark.range(1, 4).select(F.col("id").cast("int").alias("run"))
     counts = rows.groupBy("run").agg(F.count_distinct("event_id").alias("n"))
     return runs.join(counts, "run", "left").select("run", F.coalesce("n", F.lit(0)).alias("n_rows"))
+
+
+@query("r06_run_statistics", """
+    WITH d AS (SELECT CAST(ts AS DATE) AS d, COUNT(*) AS n FROM events GROUP BY 1)
+    SELECT COUNT(*) AS n_batches, CAST(SUM(n) AS BIGINT) AS input_rows, MAX(n) AS largest_batch, MIN(n) AS smallest_batch, true AS ordered_seconds, COUNT(*) > 1 AS has_gap FROM d""")
+def _(t):
+    base = scratch_dir(t.spark, "statistics")
+    # One file for each day, and one file for each batch: the number and the sizes of the batches follow from the data.
+    days = t.events.select("event_id", F.to_date("ts").alias("day"))
+    days.repartition("day").write.partitionBy("day").option("maxRecordsPerFile", 0).parquet(f"{base}/in")
+    stream = ST.stream_files(t.spark, f"{base}/in", "event_id bigint", glob="*.parquet", files_per_batch=1)
+    with ProgressLog(t.spark, f"{base}/events") as log:
+        ST.run_available(stream, f"{base}/out", f"{base}/checkpoint")
+    found = run_statistics(log.read().filter("input_rows > 0"))
+    seconds = (F.col("min_seconds") >= 0) & (F.col("min_seconds") <= F.col("mean_seconds")) & (F.col("mean_seconds") <= F.col("max_seconds"))
+    return found.select("n_batches", "input_rows", "largest_batch", "smallest_batch", seconds.alias("ordered_seconds"), (F.col("mean_gap") >= 0).alias("has_gap"))
+
+
+# Three versions of a table: the second loses errors, changes purchases and gains signups; the third loses views and changes clicks.
+VERSIONS_SQL = """a AS (SELECT event_id, event_type, CAST(event_id % 100 AS BIGINT) AS amount FROM events),
+    v1 AS (SELECT * FROM a WHERE event_type <> 'signup'),
+    v2 AS (SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN amount + 1000 ELSE amount END AS amount FROM a WHERE event_type <> 'error'),
+    v3 AS (SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN amount + 500 ELSE amount END AS amount FROM v2 WHERE event_type <> 'view')"""
+
+
+def _net_sql(old, new, since, until):
+    return f"""SELECT o.event_id, o.event_type, o.amount, 'DELETE' AS action, n.event_id IS NOT NULL AS is_update, {since} AS since, {until} AS until
+        FROM {old} o LEFT JOIN {new} n USING (event_id) WHERE n.event_id IS NULL OR n.amount <> o.amount
+        UNION ALL SELECT n.event_id, n.event_type, n.amount, 'INSERT', o.event_id IS NOT NULL, {since}, {until}
+        FROM {new} n LEFT JOIN {old} o USING (event_id) WHERE o.event_id IS NULL OR n.amount <> o.amount"""
+
+
+@query("r08_change_feed", f"""
+    WITH {VERSIONS_SQL}, v0 AS (SELECT * FROM a WHERE false)
+    {_net_sql("v0", "v1", 0, 1)} UNION ALL {_net_sql("v1", "v2", 1, 2)} UNION ALL {_net_sql("v2", "v3", 2, 3)}""")
+def _(t):
+    base = scratch_dir(t.spark, "feed")
+    table = StateFolder(t.spark, f"{base}/table")
+    feed = ChangeFeed(table, ["event_id"], f"{base}/offsets")
+    keep = append_changes(f"{base}/out")
+    kind, rows = F.col("event_type"), t.events.select("event_id", "event_type", (F.col("event_id") % 100).alias("amount"))
+    second = rows.filter(kind != "error").withColumn("amount", F.when(kind == "purchase", F.col("amount") + 1000).otherwise(F.col("amount")))
+    third = second.filter(kind != "view").withColumn("amount", F.when(kind == "click", F.col("amount") + 500).otherwise(F.col("amount")))
+    for version, state in enumerate((rows.filter(kind != "signup"), second, third), 1):
+        table.commit(state, version)
+        # The consumer writes, but its offset is not published: the round runs again and repeats nothing.
+        keep(feed.changes(feed.offset(), version), feed.offset())
+        feed.consume(keep)
+        feed.consume(keep)
+    kept = t.spark.read.schema("event_id bigint, event_type string, amount bigint, action string, is_update boolean, since int, until int").parquet(f"{base}/out")
+    return kept.drop("round")

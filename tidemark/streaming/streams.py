@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.buckets import BucketedFolder
 from tidemark.operators.changes import DELETED, SEQUENCE, apply_changes_state, current_rows
 from tidemark.operators.incremental import StateFolder
 from tidemark.operators.ordered import latest_by_key
+from tidemark.session import file_count
 
 # Column names and types of a message-stream record.
 RECORD_DDL = (
@@ -101,42 +103,75 @@ def run_each_batch(
 
 
 class MergedTable:
-    """Type-1 state of a stream: a compacted base plus one small delta folder per micro-batch.
+    """Type-1 state of a stream: a compacted base in hash buckets plus one small delta folder per micro-batch.
 
     A micro-batch writes only its own latest row per key, so its cost follows the batch and not
-    the table. Reading merges base and deltas; ``compact`` folds the deltas into a new base now
-    and then. A replayed batch overwrites its own delta folder and so changes nothing.
+    the table. Reading merges base and deltas; ``compact`` folds the deltas into the base now and then and rewrites
+    only the buckets that they touch. A replayed batch overwrites its own delta folder and so changes nothing; folding
+    a delta again, after a job that died, changes nothing either.
+
+    Deleted keys stay as tombstones, so that a late older row cannot bring them back. With ``lateness`` seconds, a bucket
+    that is rewritten drops tombstones whose first sequence column, a timestamp, lies further back than that from the newest
+    row folded; rows may then not come later than this.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: Sequence[str], sequence: Sequence[str], delete_when: Column
+        self, spark: SparkSession, path: str, keys: Sequence[str], sequence: Sequence[str], delete_when: Column,
+        buckets: int | None = None, lateness: int | None = None,
     ):
-        self.spark, self.keys, self.sequence, self.delete_when = spark, keys, sequence, delete_when
+        self.spark, self.keys, self.sequence, self.delete_when = spark, list(keys), list(sequence), delete_when
+        self.lateness = lateness
         self.deltas = f"{path.rstrip('/')}/deltas"
-        self.base = StateFolder(spark, f"{path.rstrip('/')}/base")
+        self.base = BucketedFolder(spark, f"{path.rstrip('/')}/base", keys, buckets or file_count(spark))
+        self._folded = StateFolder(spark, f"{path.rstrip('/')}/folded")
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
         reduced = apply_changes_state(batch, self.keys, self.sequence, self.delete_when)
         reduced.write.mode("overwrite").parquet(f"{self.deltas}/batch_id={batch_id}")
 
+    def folded(self) -> int:
+        """The last batch that the base holds."""
+        return max(self._folded.versions().values(), default=-1)
+
+    def _newer(self) -> DataFrame:
+        return self.spark.read.parquet(self.deltas).filter(F.col("batch_id") > self.folded()).drop("batch_id")
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        return latest_by_key(rows, self.keys, [F.col(SEQUENCE).desc(), F.col(DELETED).desc()])
+
     def state(self) -> DataFrame:
         """Latest row per key with tombstones."""
-        folded = max(self.base.versions().values(), default=-1)
         base = self.base.read()
         if base is not None and not self.delta_batches():
             return base
-        newer = self.spark.read.parquet(self.deltas).filter(F.col("batch_id") > folded).drop("batch_id")
-        rows = newer if base is None else base.unionByName(newer)
-        return latest_by_key(rows, self.keys, [F.col(SEQUENCE).desc(), F.col(DELETED).desc()])
-
-    def compact(self, batch_id: int) -> None:
-        """New base up to this batch; deltas that the base before it already held are removed."""
-        folded = max(self.base.versions().values(), default=-1)
-        if self.base.commit(self.state(), batch_id, keep=2):
-            self.base.remove(f"{self.deltas}/batch_id={old}" for old in self.delta_batches() if old <= folded)
+        newer = self._newer()
+        return self._latest(newer if base is None else base.unionByName(newer))
+
+    def compact(self, batch_id: int) -> list[int]:
+        """Fold the deltas up to this batch into the base; returns the buckets rewritten.
+
+        Deltas that were folded one compaction earlier are removed, so a reader that began before this one finds its files.
+        """
+        before, batches = self.folded(), self.delta_batches()
+        if batch_id <= before:
+            return []
+        deltas = self.spark.read.parquet(self.deltas).filter((F.col("batch_id") > before) & (F.col("batch_id") <= batch_id)).drop("batch_id")
+
+        def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+            rows = self._latest(old.unionByName(new))
+            if self.lateness is None:
+                return rows
+            at = F.col(SEQUENCE)[self.sequence[0]]
+            newest = deltas.agg(F.max(at)).scalar()
+            return rows.filter(~F.col(DELETED) | (at >= F.timestamp_add("SECOND", F.lit(-self.lateness), newest)))
+
+        touched = self.base.rewrite(deltas, combine)
+        self._folded.commit(self.spark.createDataFrame([(batch_id,)], "batch_id bigint"), batch_id, keep=2)
+        self._folded.remove(f"{self.deltas}/batch_id={old}" for old in batches if 0 <= old <= before)
+        return touched
 
     def delta_batches(self) -> list[int]:
-        return sorted(int(name.split("=")[1]) for name in self.base.names(self.deltas) if name.startswith("batch_id="))
+        return sorted(int(name.split("=")[1]) for name in self._folded.names(self.deltas) if name.startswith("batch_id="))
 
     def current(self) -> DataFrame:
         return current_rows(self.state())
