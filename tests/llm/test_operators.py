@@ -76,6 +76,14 @@ def brute_groups(texts, n, percent):
     return {i: (len(sets[i]), root[i]) for i in texts}
 
 
+def test_jaccard_key_with_several_texts(spark):
+    """One key with two unlinked texts; each has links of its own, and neither is lost."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, a), (5, "else where"), (1, a)]
+    got = Counter(tuple(r) for r in jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), n=5, percent=80).collect())
+    assert got == Counter([(1, 56, 1), (1, 56, 1), (1, 56, 1), (2, 57, 1), (3, 57, 1), (4, 56, 1), (5, 1, 5)])
+
+
 @pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80), (1, 60)])
 def test_jaccard(spark, n, percent):
     import random

@@ -62,10 +62,11 @@ class Bands:
     union shared). Of ``m`` segments, ``d`` are also indexed by all their one-deletions: a segment
     counts 1 if it must be equal and 2 if one element may differ. With m + d > h at least one
     segment agrees, so no link is lost. Among these (m, d) the cheapest is taken: rows written plus
-    false candidates expected when two unrelated sets agree on an element by chance ``agree``.
+    false candidates expected when two unrelated sets agree on an element by chance ``agree``. The choice
+    moves cost only, never a link.
     """
 
-    def __init__(self, percent: int, sets: int, agree: float = 0.3):
+    def __init__(self, percent: int, sets: int, agree: float):
         self.percent, self.sets, self.agree = percent, max(2, sets), agree
         self.starts, self.plans = [1], {}
 
@@ -117,7 +118,20 @@ def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(keys).view(np.int64), np.concatenate(home), np.concatenate(full)
 
 
-def jaccard_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3, percent: int = 90) -> DataFrame:
+def chance_agreement(texts: DataFrame, number: int, elements, sample: int) -> float:
+    """The chance that an element of one set is in another, over about ``sample`` of ``number`` sets spread by their hash."""
+    share = max(1, -(-1_000_000 * sample // max(1, number)))
+    few = texts.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share)
+    counts = few.select("text").mapInArrow(elements, "element bigint").groupBy("element").agg(F.count(F.lit(1)).alias("c"))
+    met = counts.agg(F.sum(F.expr("c * (c - 1D)")).alias("pairs"), F.sum("c").alias("all")).first()
+    sets = min(sample, number)
+    found = met["pairs"] / met["all"] / (sets - 1) if met["all"] and sets > 1 else 0.0
+    return min(0.3, max(1e-4, found))
+
+
+def jaccard_groups(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3, percent: int = 90, sample: int = 500
+) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
 
     Two rows link when their sets of distinct word ``n``-grams share ``percent`` of the union;
@@ -125,7 +139,9 @@ def jaccard_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
     row each; distinct sets meet in the segment index and are verified on the words themselves.
     ``component_id`` is the smallest key reachable. Null and empty texts, and texts of blanks only,
     have no element and link with nothing. Rows with a null key are left out of groups: their
-    component is null. Repeated rows come out as often as they come in. Other columns are not read.
+    component is null. Repeated rows come out as often as they come in; a key with several texts has a row and a
+    group for each of them. Keys are integers. Other columns are not read. How the index is cut is chosen by about
+    ``sample`` texts; links do not depend on it.
     """
     import hashlib
 
@@ -137,16 +153,23 @@ def jaccard_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
                 hashes = cut(t)
                 sizes.append(len(hashes))
                 prints.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
-            yield pa.RecordBatch.from_pydict({"id": batch.column(0).cast(pa.int64()), "n": pa.array(sizes, pa.int64()), "print": pa.array(prints, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"id": batch.column(0), "n": pa.array(sizes, pa.int64()), "print": pa.array(prints, pa.binary()), "hash": batch.column(2)})
 
-    source = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
-    sets = stored(source.mapInArrow(shingle, "id bigint, n bigint, print binary"), "sets")
-    classes = stored(sets.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep")), "classes")
-    # One text per class: that of its smallest key (of rows with equal key and different text, any of that set).
-    wanted = sets.where("print is not null").join(classes, "print").where("id = rep").select("id").distinct()
-    picked = split_join(source, wanted, ["id"], "left_semi")
-    texts = stored(picked.groupBy("id").agg(F.min("text").alias("text")), "texts")
-    bands = Bands(percent, classes.count())
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = Shingler(n)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(cut(t).view(np.int64))], names=["element"])
+
+    source = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("hash", F.xxhash64("text"))
+    sets = stored(source.mapInArrow(shingle, "id bigint, n bigint, print binary, hash bigint"), "sets")
+    # A class is known by 64 bits of its digest; it keeps the smallest key and one text of that key, whatever else the key has.
+    classes = sets.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep"), F.min_by("hash", "id").alias("hash"))
+    classes = stored(classes.withColumn("class", F.xxhash64("print")), "classes")
+    picked = split_join(source, classes.select(F.col("rep").alias("id"), "hash", "class"), ["id", "hash"])
+    texts = stored(picked.groupBy("class").agg(F.min("text").alias("text")).withColumnRenamed("class", "id"), "texts")
+    number = classes.count()
+    bands = Bands(percent, number, chance_agreement(texts, number, elements, sample))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingler(n)
@@ -181,11 +204,12 @@ def jaccard_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", n:
         return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint")
 
     members = stored(texts.mapInArrow(index, "key bigint, id bigint, home boolean, full boolean"), "members")
-    groups = linked_groups(members, verify).withColumnsRenamed({"id": "rep", "comp": "root"})
-    named = classes.join(groups, "rep", "left").select("print", F.coalesce("root", "rep").alias("root"))
+    groups = linked_groups(members, verify).withColumnsRenamed({"id": "class", "comp": "root"})
+    rooted = classes.join(groups, "class", "left").select("print", "rep", F.coalesce("root", "class").alias("root"))
     # Representatives are the smallest keys of their classes, so the smallest representative is the group's.
+    named = split_join(rooted, rooted.groupBy("root").agg(F.min("rep").alias("least")), ["root"]).select("print", "least")
     out = split_join(sets, named, ["print"], "left")
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).alias("component_id"))
+    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"))
 
 
 def op5_jaccard(spark, sf_dir):
