@@ -27,6 +27,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, label: str, column: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder, bucketed by ``column``: aggregations and joins on it need no shuffle.
+
+    ``df`` should come out of ``repartition(n, column)`` with n the shuffle width; each task then writes one bucket.
+    """
+    spark = df.sparkSession
+    name = f"tidemark_{label}_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column)
+    writer.option("path", scratch_dir(spark, f"llm-{label}")).format("parquet").saveAsTable(name)
+    out = spark.table(name)
+    # The plan has the files and their buckets by now; only the name goes.
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % modulus

@@ -6,6 +6,7 @@ once, and its terms are joined back to the counts.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import stored, stored_by, table
 from tidemark.operators.skew import split_join
 
 #: A term: letters A-Z and everything beyond ASCII, taken from UTF-8 bytes; ASCII lower-casing leaves other bytes alone.
@@ -27,11 +28,12 @@ _BITS = 24  # the filter of the second pass: 2 MB whatever the corpus
 _TILE_TERMS, _TILE_SOURCES = 2048, 256  # a tile of shares takes 8 MB
 
 
-def count_chunks(docs: DataFrame, held: int = 400_000) -> DataFrame:
+def count_chunks(docs: DataFrame, held: int = 1_500_000) -> DataFrame:
     """``lang``, ``source``, ``chunk``, ``docs`` (rows that have it) and ``n`` (occurrences), summed over all rows.
 
     ``docs`` has lang, source and text without nulls. A task holds at most about ``held`` chunks and those of
-    one more document, then hands its sums on; Spark adds them up.
+    one more document, then hands its sums on; Spark adds them up, dealt by chunk as all later steps want them. A chunk
+    has one row per task and group at most, so a frequent one is no burden.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,6 +52,8 @@ def count_chunks(docs: DataFrame, held: int = 400_000) -> DataFrame:
             rows.clear()
 
         for batch in batches:
+            # Lists of words have no cycles; walking them again and again would only cost time.
+            gc.disable()
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = text.encode("utf-8", "replace").split()
                 if words:
@@ -61,26 +65,33 @@ def count_chunks(docs: DataFrame, held: int = 400_000) -> DataFrame:
                     if size > held:
                         yield from out()
                         size = 0
+            gc.enable()
         yield from out()
 
     made = docs.select("lang", "source", "text").mapInArrow(work, "lang string, source string, chunk string, docs bigint, n bigint")
-    return made.groupBy("lang", "source", "chunk").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return made.repartition(width, "chunk").groupBy("lang", "source", "chunk").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """``chunk``, ``term`` and ``times`` of each chunk; every chunk is cut once."""
+    """``lang``, ``chunk``, ``docs``, ``term`` and ``times``. Equal chunks must lie side by side in one partition: each is cut once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, cut = None, []
         for batch in batches:
-            chunks_, terms, times = [], [], []
-            for chunk in batch.column(0).to_pylist():
-                for term, n in Counter(TERM.findall(chunk.encode().lower())).items():
-                    chunks_.append(chunk)
+            at, terms, times = [], [], []
+            for i, chunk in enumerate(batch.column(1).to_pylist()):
+                if chunk != last:
+                    found = TERM.findall(chunk.encode().lower())
+                    last, cut = chunk, list(Counter(found).items()) if len(found) > 1 else [(found[0], 1)] if found else []
+                for term, n in cut:
+                    at.append(i)
                     terms.append(term)
                     times.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(chunks_, pa.string()), pa.array(terms, pa.string()), pa.array(times, pa.int64())], names=["chunk", "term", "times"])
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns), pa.array(terms, pa.string()), pa.array(times, pa.int64())], names=["lang", "chunk", "docs", "term", "times"])
 
-    return chunks.select("chunk").mapInArrow(work, "chunk string, term string, times bigint")
+    return chunks.select("lang", "chunk", "docs").mapInArrow(work, "lang string, chunk string, docs bigint, term string, times bigint")
 
 
 def _filter_bits(chunks: DataFrame) -> bytes:
@@ -104,12 +115,14 @@ def _exact_counts(docs: DataFrame, doubtful: DataFrame) -> DataFrame:
         crc, mask, number = zlib.crc32, 2**_BITS - 1, TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, langs, chunks = [], [], []
+            gc.disable()
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 number += 1
                 found = [c for c in set(text.encode("utf-8", "replace").split()) if seen[crc(c) & mask]]
                 chunks += found
                 langs += [lang] * len(found)
                 ids += [number] * len(found)
+            gc.enable()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(chunks, pa.string())], names=["doc", "lang", "chunk"])
 
     # A row is numbered within its own task, so a task that runs again gives it the same number.
@@ -197,18 +210,19 @@ def source_divergence(
     whose false hits the join removes.
     """
     read = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    counts = stored(count_chunks(read), "chunk-counts")
-    by_lang = stored(counts.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")), "chunk-docs")
-    lexicon = stored(chunk_terms(by_lang.select("chunk").distinct()), "chunk-terms")
-    bounds = by_lang.join(lexicon, "chunk").groupBy("lang", "term").agg(F.sum("docs").alias("most"), F.max("docs").alias("least"))
-    bounds = stored(bounds.where(F.col("most") >= min_docs), "term-bounds")
-    unsure = bounds.where(F.col("least") < min_docs).select("lang", "term")
-    doubtful = stored(by_lang.join(lexicon, "chunk").join(unsure, ["lang", "term"]).select("lang", "chunk", "term"), "doubtful")
-    counted = _exact_counts(read, doubtful).where(F.col("docs") >= min_docs)
-    kept = stored(bounds.where(F.col("least") >= min_docs).select("lang", "term").union(counted.select("lang", "term")), "kept")
-
-    wanted = split_join(by_lang.join(lexicon, "chunk"), kept, ["lang", "term"]).select("lang", "chunk", "term", "times")
-    uses = counts.select("lang", "source", "chunk", "n").join(wanted, ["lang", "chunk"])
+    counts = stored_by(count_chunks(read), "chunk_counts", "chunk")
+    # The buckets bring all rows of a chunk together, without a shuffle.
+    chunks = counts.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")).sortWithinPartitions("chunk")
+    posted = stored(chunk_terms(chunks), "chunk-terms")
+    bounds = posted.groupBy("lang", "term").agg(F.sum("docs").alias("most"), F.max("docs").alias("least")).where(F.col("most") >= min_docs)
+    posted = stored(split_join(posted.select("lang", "chunk", "term", "times"), bounds.select("lang", "term", "least"), ["lang", "term"]), "candidates")
+    sure = posted.where(F.col("least") >= min_docs)
+    doubtful = posted.where(F.col("least") < min_docs)
+    counted = stored(_exact_counts(read, doubtful.select("lang", "chunk", "term")).where(F.col("docs") >= min_docs), "counted")
+    wanted = stored(sure.unionByName(doubtful.join(counted.select("lang", "term"), ["lang", "term"], "left_semi")), "wanted")
+    kept = wanted.select("lang", "term").distinct()
+    uses = counts.select("chunk", "lang", "source", "n").join(
+        wanted.select("chunk", F.col("lang").alias("own"), "term", "times").hint("shuffle_hash"), "chunk").where("lang = own")
     cells = stored(uses.groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n")), "cells")
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = read.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(

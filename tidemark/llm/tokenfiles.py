@@ -47,7 +47,7 @@ _NORMAL = {
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # Letters for which lower-casing and composition are settled character by character: A-Z and those of Latin-1 and Latin Extended-A.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
-_SIMPLE = re.compile(f"(?!.*<\\|)[!-~{_LETTERS}]+")
+_SIMPLE = re.compile(f"[!-~{_LETTERS}]+")
 _SPLIT_SIMPLE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
 
 
@@ -118,7 +118,7 @@ class Encoder:
         new, other = [c for c in set().union(*split) if c not in chunks], []
         for c in new:
             text = c.decode()
-            if simple(text):
+            if "<|" not in text and simple(text):
                 chunks[c] = self._simple(text)
             else:
                 other.append(c)
