@@ -151,13 +151,13 @@ SQL = {
     "op2_quality_rules": rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+        [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM t),
 win AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
         FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
 often AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + s) AS n FROM often, (VALUES (0), (1), (2)) v(s) GROUP BY doc_id),
 f AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
-        CAST(coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(coalesce(list_sum([length(x) for x in words]), 0) AS BIGINT) AS word_chars,
         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
