@@ -137,3 +137,47 @@ def test_compaction_by_buckets_and_tombstones(spark):
     merged.compact(3)
     assert merged.state().filter("k = 3").isEmpty() and merged.current().count() == 99 + 59
     assert merged.delta_batches()[-1] == 3
+
+
+def test_gate_publishes_only_what_passes(spark):
+    from tidemark.operators.gates import fresh, publish_checked, relationship, unique
+    from tidemark.operators.quality import RowRule
+
+    folder = StateFolder(spark, scratch_dir(spark, "gate"))
+    parents = spark.createDataFrame([(1,), (2,)], "p bigint")
+    ddl = "id bigint, p bigint, at timestamp_ntz"
+    rules = [RowRule("not_null", "id", F.col("id").isNull()), RowRule("positive_value", "id", F.col("id") < 1, "warn")]
+    checks = [unique("id"), relationship("p", parents, "p", "warn"), fresh("at", F.lit("2024-01-02").cast("timestamp_ntz"), 12, 48)]
+
+    def state(*rows):
+        return spark.createDataFrame(rows, "id bigint, p bigint, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+    def judge(df, batch):
+        got = publish_checked(folder, df, batch, rules, checks)
+        return {(r["check"], r["column"]): (r["failures"], r["severity"], r["passed"], r["published"]) for r in got.collect()}
+
+    got = judge(state((0, 1, "2024-01-01 06:00"), (2, 9, "2024-01-01 05:00")), 1)
+    assert got == {("not_null", "id"): (0, "error", True, True), ("positive_value", "id"): (1, "warn", False, True), ("unique", "id"): (0, "error", True, True),
+                   ("relationships", "p"): (1, "warn", False, True), ("freshness", "at"): (1, "warn", False, True)}
+    assert folder.read().count() == 2
+    # Refused: two rows of one id, and a null; the version before stays, and the folder of the refused one is gone.
+    got = judge(state((5, 1, "2024-01-02"), (5, 1, None), (None, 1, None)), 2)
+    assert got["unique", "id"] == (1, "error", False, False) and got["not_null", "id"][0] == 1 and got["freshness", "at"][0] == 0
+    assert folder.read().count() == 2 and [n for n in folder.names(folder.path) if n.startswith("v=")] == ["v=1"]
+    assert judge(state(), 3)["freshness", "at"] == (1, "error", False, False)
+    # A replayed batch reports the published rows.
+    assert judge(state((7, 7, None)), 1)["positive_value", "id"] == (1, "warn", False, True) and folder.read().count() == 2
+
+
+def test_partition_sample_opens_chosen_files_only(spark, tmp_path):
+    from tidemark.operators.topn import sample_partitions
+
+    rows = spark.range(2000).select("id", F.concat(F.lit("a b"), (F.col("id") % 40).cast("string")).alias("block"))
+    rows.write.partitionBy("block").parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    sample = sample_partitions(table, "block", 25, salt="x")
+    blocks = {r["block"] for r in sample.select("block").distinct().collect()}
+    assert 3 <= len(blocks) <= 20 and sample.count() == 50 * len(blocks)
+    assert {r["block"] for r in sample_partitions(table, "block", 25, salt="x").select("block").distinct().collect()} == blocks
+    assert "PartitionFilters: [" in sample._jdf.queryExecution().executedPlan().toString() and "PartitionFilters: []" not in sample._jdf.queryExecution().executedPlan().toString()
+    assert sample_partitions(table, "block", 0).isEmpty() and sample_partitions(table, "block", 100).count() == 2000

@@ -102,12 +102,18 @@ class StateFolder:
             return None
         return self.spark.read.parquet(f"{self.path}/v={max(eligible)}")
 
-    def commit(self, df: DataFrame, batch_id: int, keep: int | None = None) -> bool:
+    def commit(
+        self, df: DataFrame, batch_id: int, keep: int | None = None, gate: Callable[[DataFrame], bool] | None = None
+    ) -> bool:
+        """Write the next version and publish it. A ``gate`` judges the written rows; what it refuses is removed."""
         committed = self.versions()
         if committed and max(committed.values()) >= batch_id >= 0:
             return False
         version = max(committed, default=0) + 1
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        if gate and not gate(self.spark.read.schema(df.schema).parquet(f"{self.path}/v={version}")):
+            self.remove([f"{self.path}/v={version}"])
+            return False
         self._fs.mkdirs(self._fs_path(f"{self.path}/_commits"))
         self._fs.createNewFile(self._fs_path(f"{self.path}/_commits/v={version},batch={batch_id}"))
         if keep:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +50,20 @@ def sample_blocks(df: DataFrame, percent: float, block: Column | None = None, sa
     return df.filter(hash_number(block, salt=salt) < F.lit(int(percent / 100 * 2**32)))
 
 
+def sample_partitions(df: DataFrame, partition: str, percent: float, salt: str = "") -> DataFrame:
+    """Repeatable block sample over a partitioned folder: whole partitions are in or out, and those out are never opened.
+
+    The partitions come from the file listing that Spark holds anyway; the chosen ones enter the plan as literals, which
+    prune files at planning.
+    """
+    spark = df.sparkSession
+    mark = re.compile(rf"/{re.escape(partition)}=([^/]*)/")
+    names = sorted({unquote(m.group(1)) for path in df.inputFiles() if (m := mark.search(path))})
+    blocks = spark.createDataFrame([(n,) for n in names], "block string")
+    chosen = [r["block"] for r in blocks.filter(hash_number(F.col("block"), salt=salt) < F.lit(int(percent / 100 * 2**32))).collect()]
+    return df.filter(F.col(partition).cast("string").isin(chosen))
+
+
 def sequence_ids(
     df: DataFrame, order: Sequence[str], start: int = 1, increment: int = 1, name: str = "id"
 ) -> DataFrame:

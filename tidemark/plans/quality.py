@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
+from tidemark.operators import gates as G
 from tidemark.operators import quality as Q
+from tidemark.operators.incremental import StateFolder
 from tidemark.plans.registry import query
+from tidemark.session import TABLE_SCHEMAS, scratch_dir
 
 
 @query("q01_unique", "SELECT text, COUNT(*) AS n_rows FROM documents GROUP BY text HAVING COUNT(*) > 1")
@@ -84,6 +87,23 @@ def _(t):
     return Q.summarise(t.events, event_rules())
 
 
+@query("q10_publish_gate", """
+    WITH n AS (SELECT date_diff('microsecond', MAX(ts), TIMESTAMP '2024-03-01') / 3.6e9 AS hours FROM events),
+    s AS (SELECT 'not_null' AS "check", 'user_id' AS "column", COUNT(*) FILTER (user_id IS NULL) AS failures, 'error' AS severity FROM events
+    UNION ALL SELECT 'accepted_values', 'event_type', COUNT(*) FILTER (event_type = 'error'), 'warn' FROM events
+    UNION ALL SELECT 'positive_value', 'value', COUNT(*) FILTER (value < 1), 'warn' FROM events
+    UNION ALL SELECT 'json', 'props', COUNT(*) FILTER (json_extract_string(props, '$.k') IS NULL), 'error' FROM events
+    UNION ALL SELECT 'unique', 'event_id', COUNT(*), 'error' FROM (SELECT event_id FROM events WHERE event_id IS NOT NULL GROUP BY event_id HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'unique', 'user_id', COUNT(*), 'warn' FROM (SELECT user_id FROM events WHERE user_id IS NOT NULL GROUP BY user_id HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'relationships', 'user_id', COUNT(*), 'warn' FROM events WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)
+    UNION ALL SELECT 'freshness', 'ts', CASE WHEN hours IS NULL OR hours > 12 THEN 1 ELSE 0 END, CASE WHEN hours IS NULL OR hours > 10000 THEN 'error' ELSE 'warn' END FROM n)
+    SELECT *, failures = 0 AS passed, NOT EXISTS (SELECT 1 FROM s WHERE failures > 0 AND severity = 'error') AS published FROM s""")
+def _(t):
+    checks = [G.unique("event_id"), G.unique("user_id", "warn"), G.relationship("user_id", t.customer, "c_custkey", "warn"),
+              G.fresh("ts", F.lit("2024-03-01").cast("timestamp_ntz"), 12, 10_000)]
+    return G.publish_checked(StateFolder(t.spark, scratch_dir(t.spark, "checked")), t.events, 1, event_rules(), checks)
+
+
 @query("q11_refresh_completeness", """
     WITH loaded AS (SELECT user_id, MAX(ts) AS loaded_at FROM events WHERE event_type = 'purchase' GROUP BY user_id), u AS (SELECT DISTINCT user_id FROM events)
     SELECT COUNT(*) AS expected, COUNT(*) FILTER (loaded_at >= (SELECT MAX(ts) FROM events) - INTERVAL 24 HOUR) AS refreshed,
@@ -105,7 +125,11 @@ RE2_DETECTORS = {
     "ip_address": r"(?:^|[^0-9])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?:[^0-9]|$)",
     "national_id": r"(?:^|[^0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?:[^0-9]|$)",
 }
-SCAN_COLUMNS = {"documents": ["text", "lang", "source"], "conversations": ["role", "text"], "pages": ["url", "html"]}
+# Every text column of every given table.
+SCAN_COLUMNS = {
+    name: found for name, ddl in TABLE_SCHEMAS.items()
+    if (found := [field.split()[0] for field in ddl.split(", ") if field.split()[1] == "string"])
+}
 
 
 @query("q12_personal_data_scan", " UNION ALL ".join(

@@ -68,6 +68,16 @@ def _(t):
     return sample.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("k07_partition_sample", f"""
+    SELECT l_returnflag, COUNT(*) AS n_rows FROM lineitem WHERE {hash_sql("concat('s2|', CAST(l_partkey % 64 AS VARCHAR))")} < {int(0.25 * 2**32)} GROUP BY l_returnflag""")
+def _(t):
+    path = scratch_dir(t.spark, "partitions")
+    rows = t.lineitem.select("l_returnflag", (F.col("l_partkey") % 64).alias("block"))
+    rows.repartition("block").write.partitionBy("block").parquet(path)
+    sample = N.sample_partitions(t.spark.read.parquet(path), "block", 25, salt="s2")
+    return sample.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("k08_sample_per_group", """
     SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber, l_partkey FROM lineitem)
     QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY md5(concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR), '-', CAST(l_partkey AS VARCHAR)))) <= 5""")
