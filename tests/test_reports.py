@@ -168,6 +168,14 @@ def test_registry_replaces_a_schema_and_judges_one_batch_in_order(spark, rows):
         ("e3", "SCHEMA", "ACCEPTED"), ("e3", "TABLE", "INVALID TABLE")]
 
 
+def test_access_defaults(spark):
+    ddl = "entity string, source_database string, source_schema string, source_table string, target_database string, target_schema string, target_table string, access_roles string"
+    df = spark.createDataFrame([
+        ("e", "raw_shop_dev", "s", "t", None, "", None, ""), ("e", "plain", "s", "t", "", None, "", None), ("e", "raw_x", "s", "t", "d", "c", "b", "r"), (None, None, None, None, None, None, None, None)], ddl)
+    got = [tuple(r) for r in G.access_defaults(df, "reader").select("target_database", "target_schema", "target_table", "access_roles").collect()]
+    assert got == [("e_dev", "s", "t", "reader"), ("e_plain", "s", "", "reader"), ("d", "c", "b", "r"), (None, None, None, "reader")]
+
+
 def brute_overlap(ranges):
     return {f: (sum(1 for g, a, b in ranges if g != f and a <= hi and b >= lo), sum(1 for g, a, b in ranges if a <= lo <= b))
             for f, lo, hi in ranges}

@@ -38,6 +38,22 @@ def resolve_scope(control: DataFrame, requested: dict[str, str | Sequence[str]])
     return scope.select(*requested).distinct()
 
 
+def access_defaults(requests: DataFrame, default_role: str) -> DataFrame:
+    """Fill what an access request leaves open about its target.
+
+    Database: the entity and the last part (between underscores) of the source database; schema and table: those of the
+    source; roles: ``default_role``. A null or empty database, schema or role is open; a table only where it is null,
+    since a schema request has an empty one. Null entities and sources leave their defaults null.
+    """
+    filled = {
+        "target_database": F.concat("entity", F.lit("_"), F.substring_index("source_database", "_", -1)),
+        "target_schema": F.col("source_schema"),
+        "access_roles": F.lit(default_role),
+    }
+    out = requests.withColumns({c: F.when(F.coalesce(F.col(c), F.lit("")) == "", d).otherwise(F.col(c)) for c, d in filled.items()})
+    return out.withColumn("target_table", F.coalesce("target_table", "source_table"))
+
+
 def registry_upsert(
     registry: DataFrame, requests: DataFrame, catalog: DataFrame, order: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:

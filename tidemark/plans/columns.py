@@ -249,8 +249,8 @@ def _(t):
     return t.orders.select("o_orderkey", C.decode("o_orderstatus", {"F": "Finished", "O": "Open", "P": "Partial"}, "Unknown").alias("status"))
 
 
-BAND_EDGES = [70000, 75000, 80000, 85000, 90000, 95000, 100000, 105000, 110000, 115000]
-BAND_LABELS = ["< $70,000", *[f"${a:,} - ${b:,}" for a, b in zip(BAND_EDGES, BAND_EDGES[1:])], "> $115,000"]
+BAND_EDGES = list(range(40_000, 400_000, 45_000))
+BAND_LABELS = [f"below {BAND_EDGES[0]:,}", *[f"{a:,} to {b:,}" for a, b in zip(BAND_EDGES, BAND_EDGES[1:])], f"{BAND_EDGES[-1]:,} and above"]
 
 
 @query("p25_banding", "SELECT band, band_order, COUNT(*) AS n_orders FROM (SELECT CASE "

@@ -9,7 +9,7 @@ from tidemark.operators import changes as X
 from tidemark.operators import incremental as I
 from tidemark.operators import snapshots as H
 from tidemark.operators.buckets import BucketedFolder
-from tidemark.operators.governance import registry_upsert
+from tidemark.operators.governance import access_defaults, registry_upsert
 from tidemark.operators.measures import latest_day
 from tidemark.operators.skew import split_join
 from tidemark.plans.columns import DATA_DDL, OPERATION_SQL, operation
@@ -303,3 +303,21 @@ def _(t):
     added = rows.filter("o_orderkey % 50 = 0").select((F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.lit(0.0).alias("price"))
     table.merge(changed.unionByName(added), [F.col("price")])
     return table.read()
+
+
+@query("m16_access_defaults", """
+    WITH r AS (SELECT doc_id, concat('e', CAST(doc_id % 7 AS VARCHAR)) AS entity, concat('raw_', lang, '_', source) AS source_database, lang AS source_schema, source AS source_table,
+        CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'own' END AS db, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'public' END AS sch,
+        CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'copy' END AS tbl, CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'analyst' END AS roles FROM documents)
+    SELECT doc_id, CASE WHEN coalesce(db, '') = '' THEN concat(entity, '_', source_table) ELSE db END AS target_database, CASE WHEN coalesce(sch, '') = '' THEN source_schema ELSE sch END AS target_schema,
+        coalesce(tbl, source_table) AS target_table, CASE WHEN coalesce(roles, '') = '' THEN 'reader' ELSE roles END AS access_roles FROM r""")
+def _(t):
+    def open_or(modulus, text):
+        rest = F.col("doc_id") % modulus
+        return F.when(rest == 1, F.lit("")).when(rest > 1, F.lit(text))
+
+    requests = t.documents.select(
+        "doc_id", F.concat(F.lit("e"), (F.col("doc_id") % 7).cast("string")).alias("entity"), F.concat(F.lit("raw_"), "lang", F.lit("_"), "source").alias("source_database"),
+        F.col("lang").alias("source_schema"), F.col("source").alias("source_table"), open_or(3, "own").alias("target_database"),
+        open_or(4, "public").alias("target_schema"), open_or(5, "copy").alias("target_table"), open_or(6, "analyst").alias("access_roles"))
+    return access_defaults(requests, "reader").select("doc_id", "target_database", "target_schema", "target_table", "access_roles")

@@ -184,7 +184,7 @@ def _(t):
 
 @query("s15_tick_generator", f"""
     SELECT event_id AS tick_id, CAST(TIMESTAMP '2024-01-01' + to_seconds(event_id) AS VARCHAR) AS event_time,
-           list_extract(['AAPL', 'AMZN', 'MSFT', 'INTC', 'TBV'], {hash_sql("concat('ticker|', CAST(event_id AS VARCHAR))")} % 5 + 1) AS ticker,
+           list_extract({G.TICKERS}, {hash_sql("concat('ticker|', CAST(event_id AS VARCHAR))")} % 5 + 1) AS ticker,
            CAST({hash_sql("concat('price|', CAST(event_id AS VARCHAR))")} % 10000 AS DOUBLE) / 100 AS price FROM events""")
 def _(t):
     return G.ticks(t.events.select("event_id"), "event_id", "2024-01-01")
@@ -196,10 +196,10 @@ def _uniform_sql(column, salt, low, high):
 
 @query("s16_fact_generator", f"""
     SELECT o_orderkey AS fact_id, CAST(DATE '2023-01-01' + CAST({_uniform_sql('o_orderkey', 'day', 0, 364)} AS INTEGER) AS VARCHAR) AS order_date,
-           CASE {_uniform_sql('o_orderkey', 'range', 0, 1)} WHEN 0 THEN {_uniform_sql('o_orderkey', 'customer', 1, 1000)} ELSE {_uniform_sql('o_orderkey', 'customer', 29485, 30118)} END AS customer_id,
+           CASE {_uniform_sql('o_orderkey', 'range', 0, 1)} WHEN 0 THEN {_uniform_sql('o_orderkey', 'customer', 1, 1000)} ELSE {_uniform_sql('o_orderkey', 'customer', 5001, 6500)} END AS customer_id,
            {_uniform_sql('o_orderkey', 'quantity', 1, 100)} AS quantity, CAST({_uniform_sql('o_orderkey', 'amount', 1000, 500000)} AS DOUBLE) / 100 AS amount FROM orders""")
 def _(t):
-    return G.facts(t.orders.select("o_orderkey"), "o_orderkey", "2023-01-01", 365, [(1, 1000), (29485, 30118)])
+    return G.facts(t.orders.select("o_orderkey"), "o_orderkey", "2023-01-01", 365, [(1, 1000), (5001, 6500)])
 
 
 @query("s17_daily_generator", f"""

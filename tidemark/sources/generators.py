@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import hash_number
 
-# Symbols of the tick stream.
-TICKERS = ["AAPL", "AMZN", "MSFT", "INTC", "TBV"]
+TICKERS = ["ORE", "FIR", "KELP", "DUNE", "MARL"]
 
 
 def ticks(ids: DataFrame, id_col: str, start: str, tickers: Sequence[str] = TICKERS) -> DataFrame:
