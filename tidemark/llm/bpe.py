@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import heapq
 import json
-import os
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -145,19 +144,16 @@ def build_transducer(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
 
 
 class Transducer:
-    """A built automaton, memory-mapped from a file that the workers of one machine share."""
+    """A built automaton, memory-mapped from a file of the worker."""
 
     def __init__(self, raw: bytes):
-        import hashlib
         import tempfile
 
-        path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(raw).hexdigest()[:24]}.bin")
-        if not (os.path.exists(path) and os.path.getsize(path) == len(raw)):
-            handle, fresh = tempfile.mkstemp(dir=tempfile.gettempdir())
-            with os.fdopen(handle, "wb") as out:
-                out.write(raw)
-            os.replace(fresh, path)
-        whole = np.memmap(path, np.int64, "r")
+        # The file has no name any more once it is open, so nothing stays when the worker ends.
+        with tempfile.TemporaryFile() as out:
+            out.write(raw)
+            out.flush()
+            whole = np.memmap(out, np.int64, "r")
         lengths, at, parts = whole[:6], 6, []
         for n in lengths:
             parts.append(whole[at : at + n])
