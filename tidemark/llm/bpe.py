@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections import Counter
+import re
+from collections import ChainMap, Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,13 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import append_columns, table
+from tidemark.llm.common import append_columns, stored, table
 
 # Fixed value: how the byte-level vocabulary splits a text; white space by its Unicode property.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
+# Fixed value: the characters of the Unicode property White_Space.
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Chunks: white space and what follows it up to the next. No match of ``PATTERN`` crosses their bounds, nor looks across.
+CHUNK = f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 #: Words above this length in bytes are merged each time: neither lexicon nor cache keeps them.
 LONGEST = 64
 
@@ -43,38 +48,35 @@ class Vocabulary:
         self.table |= {i: token.encode() for token, i in self.added.items()}
         self.first = [vocab[c] for c, _ in sorted(symbols.items(), key=lambda x: x[1])]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
-        self.ranks = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # Rank and new id as one number, which sorts by rank.
+        self.ranks = {(vocab[a], vocab[b]): rank << 32 | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.words = regex.compile(PATTERN).findall
+        self.chunks = re.compile(CHUNK).findall
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")").split if self.added else lambda text: [text]
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank, leftmost first, until none is left."""
-        ids, ranks = [self.first[b] for b in word], self.ranks
+        ids, rank_of, none = [self.first[b] for b in word], self.ranks.get, 1 << 62
         if len(ids) > LONGEST:
             return self._merge_long(ids)
-        none = (len(ranks), 0)
-        while len(ids) > 1:
-            found = [ranks.get(pair, none) for pair in zip(ids, ids[1:])]
-            rank, new = best = min(found)
-            if best is none:
-                break
-            out, i = [], 0
-            while i < len(ids):
-                if i < len(found) and found[i][0] == rank:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+        found = [rank_of(pair, none) for pair in zip(ids, ids[1:])]
+        while found and (best := min(found)) < none:
+            i, new = found.index(best), best & 0xFFFFFFFF
+            ids[i] = new
+            del ids[i + 1], found[i]
+            # Only the pairs beside the new id change.
+            if i:
+                found[i - 1] = rank_of((ids[i - 1], new), none)
+            if i < len(found):
+                found[i] = rank_of((new, ids[i + 1]), none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, for words without end: n log n steps."""
         ranks, n = self.ranks, len(ids)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(ranks[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+        heap = [(ranks[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapq.heapify(heap)
         gone = [False] * n
         while heap:
@@ -82,12 +84,12 @@ class Vocabulary:
             j = after[i]
             if gone[i] or j >= n or (ids[i], ids[j]) != pair:
                 continue
-            ids[i], gone[j], after[i] = ranks[pair][1], True, after[j]
+            ids[i], gone[j], after[i] = ranks[pair] & 0xFFFFFFFF, True, after[j]
             if after[j] < n:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
                 if a >= 0 and b < n and (p := (ids[a], ids[b])) in ranks:
-                    heapq.heappush(heap, (ranks[p][0], a, p))
+                    heapq.heappush(heap, (ranks[p], a, p))
         return [x for x, dead in zip(ids, gone) if not dead]
 
 
@@ -194,15 +196,19 @@ def count_words(docs: DataFrame, vocabulary_file: bytes, text: str = "text", flu
         vocabulary, counts = Vocabulary(raw.value), Counter()
 
         def out():
-            kept = {w: n for w, n in counts.items() if len(w) <= LONGEST and len(w.encode()) <= LONGEST}
+            words: Counter = Counter()
+            for chunk, n in counts.items():
+                for w in vocabulary.words(chunk):
+                    words[w] += n
             counts.clear()
+            kept = {w: n for w, n in words.items() if len(w) <= LONGEST and len(w.encode()) <= LONGEST}
             return pa.RecordBatch.from_pydict({"word": list(kept), "n": pa.array(list(kept.values()), pa.int64())}) if kept else None
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for piece in vocabulary.cut(text or ""):
                     if piece not in vocabulary.added:
-                        counts.update(vocabulary.words(piece))
+                        counts.update(vocabulary.chunks(piece))
                 if len(counts) > flush and (made := out()):
                     yield made
         if made := out():
@@ -212,9 +218,22 @@ def count_words(docs: DataFrame, vocabulary_file: bytes, text: str = "text", flu
 
 
 def compile_lexicon(docs: DataFrame, vocabulary_file: bytes, text: str = "text", words: int = 50_000) -> bytes:
-    """Transducer of the ``words`` most frequent words of all texts (ties by the word); at most 64 bytes each reach the driver."""
+    """Transducer of the most frequent words of all texts, at most ``words`` of them and 64 bytes each.
+
+    All words are counted; those reach the driver whose count is at least the least bound that at most ``words``
+    words meet. Bounds are powers of two cut in sixteen parts, so counts of counts are a few hundred rows. Repeated rows
+    count each; other columns are not read.
+    """
     vocabulary = Vocabulary(vocabulary_file)
-    top = count_words(docs, vocabulary_file, text).orderBy(F.desc("n"), "word").limit(words).select("word").collect()
+    counts = stored(count_words(docs, vocabulary_file, text), "words")
+    step = F.floor(F.log2("n") * 16).cast("int")
+    held, bound = 0, None
+    for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect():
+        held += r["n"]
+        if held > words:
+            break
+        bound = r["step"]
+    top = counts.where(step >= bound).select("word").collect() if bound is not None else []
     return build_transducer((w, vocabulary.merge(w)) for w in sorted(r["word"].encode() for r in top))
 
 
@@ -222,7 +241,7 @@ def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str =
     """``docs`` with ``ids`` (array of int), the tokens of the whole text; null and empty texts give an empty array.
 
     The lexicon only saves work: a word that it lacks is merged exactly. Added tokens in a text are
-    one id, as the library reads them. A task remembers at most ``cached`` words and forgets all when
+    one id, as the library reads them. A task remembers at most about ``cached`` chunks and forgets all when
     there are more. Repeated rows get equal ids; a column ``ids`` of ``docs`` is replaced.
     """
     spark = docs.sparkSession
@@ -232,23 +251,27 @@ def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str =
         vocabulary, transducer = Vocabulary(raw.value), Transducer(built.value)
         cache: dict[str, bytes] = {}
 
-        def packed(word: bytes) -> bytes:
-            return np.array(vocabulary.merge(word), "<i4").tobytes()
-
-        def lookup(word: str) -> bytes:
-            known = cache.get(word)
-            return known if known is not None else packed(word.encode())
+        def resolve(chunks) -> Iterator[tuple[str, bytes]]:
+            """Each chunk with its ids: words of the lexicon by one walk for all, the others merged."""
+            cut = [(c, vocabulary.words(c)) for c in chunks]
+            names = list({w for _, words in cut for w in words})
+            coded = [w.encode() for w in names]
+            short = [i for i, c in enumerate(coded) if len(c) <= LONGEST]
+            ids = dict(zip(short, transducer.find([coded[i] for i in short])))
+            packed = {w: ids.get(i) or np.array(vocabulary.merge(coded[i]), "<i4").tobytes() for i, w in enumerate(names)}
+            for c, words in cut:
+                yield c, b"".join([packed[w] for w in words])
 
         def batch(texts):
             if len(cache) > cached:
                 cache.clear()
-            split = [[vocabulary.added[p] if p in vocabulary.added else vocabulary.words(p) for p in vocabulary.cut(t or "")] for t in texts]
-            new = {w for parts in split for p in parts if not isinstance(p, int) for w in p if w not in cache and len(w) <= LONGEST}
-            coded = [(w, w.encode()) for w in new]
-            coded = [(w, c) for w, c in coded if len(c) <= LONGEST]
-            for (w, c), ids in zip(coded, transducer.find([c for _, c in coded])):
-                cache[w] = ids if ids is not None else packed(c)
-            out = [b"".join(np.int32(p).tobytes() if isinstance(p, int) else b"".join(map(lookup, p)) for p in parts) for parts in split]
+            split = [[p if p in vocabulary.added else vocabulary.chunks(p) for p in vocabulary.cut(t or "")] for t in texts]
+            new = {c for parts in split for p in parts if not isinstance(p, str) for c in p if c not in cache}
+            fresh = dict(resolve(new))
+            # Chunks without end serve this batch only.
+            cache.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST)
+            known = ChainMap(fresh, cache) if any(len(c) > LONGEST for c in new) else cache
+            out = [b"".join([np.int32(vocabulary.added[p]).tobytes() if isinstance(p, str) else b"".join(map(known.__getitem__, p)) for p in parts]) for parts in split]
             offsets = np.cumsum([0, *(len(x) // 4 for x in out)])
             return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(out), "<i4"), pa.int32()))]
 
