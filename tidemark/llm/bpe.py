@@ -24,8 +24,14 @@ PATTERN = (
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Chunks: white space and what follows it up to the next. No match of ``PATTERN`` crosses their bounds, nor looks across.
 CHUNK = f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
+# Fixed value: ``PATTERN`` as it reads on ASCII, for the standard pattern module.
+ASCII = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+"
+    r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+)
 #: Words above this length in bytes are merged each time: neither lexicon nor cache keeps them.
 LONGEST = 64
+_NONE = 1 << 62
 
 
 def _byte_symbols() -> dict[str, int]:
@@ -50,14 +56,68 @@ class Vocabulary:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
         # Rank and new id as one number, which sorts by rank.
         self.ranks = {(vocab[a], vocab[b]): rank << 32 | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
-        self.words = regex.compile(PATTERN).findall
+        pairs = sorted((a * len(self.table) + b, value) for (a, b), value in self.ranks.items())
+        self.pairs, self.values = np.array(pairs, np.int64).reshape(-1, 2).T.copy()
+        self._words, self._ascii = regex.compile(PATTERN).findall, re.compile(ASCII).findall
         self.chunks = re.compile(CHUNK).findall
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")").split if self.added else lambda text: [text]
 
+    def words(self, chunk: str) -> list[str]:
+        """The words of a text, as the vocabulary splits it."""
+        return self._ascii(chunk) if chunk.isascii() else self._words(chunk)
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian 4-byte ids of each word, as ``merge`` gives them; words of like length step together."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        width = 1
+        while width < LONGEST:
+            low, width = width if width > 1 else 0, width * 2
+            if len(rows := np.flatnonzero((sizes > low) & (sizes <= width))):
+                self._merge_block(words, rows, width, out)
+        for i in np.flatnonzero(sizes > LONGEST).tolist():
+            out[i] = np.array(self.merge(words[i]), "<i4").tobytes()
+        return out
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * len(self.table) + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((right >= 0) & (self.pairs[at] == key), self.values[at], _NONE)
+
+    def _merge_block(self, words: list[bytes], rows: np.ndarray, width: int, out: list[bytes]) -> None:
+        """Each round merges one pair of every word that still has one, so all rows of the matrix shrink by one."""
+        flat = np.frombuffer(b"".join([words[i].ljust(width, b"\0") for i in rows.tolist()]), np.uint8).reshape(-1, width)
+        used = np.arange(width) < np.array([len(words[i]) for i in rows.tolist()])[:, None]
+        ids = np.where(used, np.array(self.first, np.int64)[flat], -1)
+        found = self._rank_of(ids[:, :-1], ids[:, 1:]) if len(self.pairs) else np.full((len(ids), width - 1), _NONE)
+        while True:
+            i = found.argmin(axis=1) if found.shape[1] else np.zeros(len(ids), np.int64)
+            best = found[np.arange(len(ids)), i] if found.shape[1] else np.full(len(ids), _NONE)
+            done = best == _NONE
+            if done.any():
+                ended = ids[done]
+                held = ended >= 0
+                raw, ends = ended[held].astype("<i4").tobytes(), (4 * held.sum(axis=1).cumsum()).tolist()
+                for row, a, b in zip(rows[done].tolist(), [0, *ends], ends):
+                    out[row] = raw[a:b]
+                rows, ids, found, i, best = (x[~done] for x in (rows, ids, found, i, best))
+            if not len(rows):
+                return
+            line, column = np.arange(len(rows)), np.arange(ids.shape[1] - 1)
+            ids[line, i] = best & 0xFFFFFFFF
+            ids = np.take_along_axis(ids, column + (column > i[:, None]), axis=1)
+            column = column[:-1]
+            found = np.take_along_axis(found, column + (column >= i[:, None]), axis=1)
+            if at := len(column):
+                # Only the pairs beside the new id change.
+                before, after = np.flatnonzero(i > 0), np.flatnonzero(i < at)
+                found[before, i[before] - 1] = self._rank_of(ids[before, i[before] - 1], ids[before, i[before]])
+                found[after, i[after]] = self._rank_of(ids[after, i[after]], ids[after, i[after] + 1])
+
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank, leftmost first, until none is left."""
-        ids, rank_of, none = [self.first[b] for b in word], self.ranks.get, 1 << 62
+        ids, rank_of, none = [self.first[b] for b in word], self.ranks.get, _NONE
         if len(ids) > LONGEST:
             return self._merge_long(ids)
         found = [rank_of(pair, none) for pair in zip(ids, ids[1:])]
@@ -237,12 +297,12 @@ def compile_lexicon(docs: DataFrame, vocabulary_file: bytes, text: str = "text",
     return build_transducer((w, vocabulary.merge(w)) for w in sorted(r["word"].encode() for r in top))
 
 
-def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str = "text", cached: int = 200_000) -> DataFrame:
+def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str = "text", cached: int = 150_000) -> DataFrame:
     """``docs`` with ``ids`` (array of int), the tokens of the whole text; null and empty texts give an empty array.
 
     The lexicon only saves work: a word that it lacks is merged exactly. Added tokens in a text are
-    one id, as the library reads them. A task remembers at most about ``cached`` chunks and forgets all when
-    there are more. Repeated rows get equal ids; a column ``ids`` of ``docs`` is replaced.
+    one id, as the library reads them. A task remembers about ``cached`` chunks and as many that it met
+    before those. Repeated rows get equal ids; a column ``ids`` of ``docs`` is replaced.
     """
     spark = docs.sparkSession
     raw, built = spark.sparkContext.broadcast(vocabulary_file), spark.sparkContext.broadcast(lexicon)
@@ -250,24 +310,30 @@ def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str =
     def make():
         vocabulary, transducer = Vocabulary(raw.value), Transducer(built.value)
         cache: dict[str, bytes] = {}
+        older: dict[str, bytes] = {}
 
         def resolve(chunks) -> Iterator[tuple[str, bytes]]:
             """Each chunk with its ids: words of the lexicon by one walk for all, the others merged."""
             cut = [(c, vocabulary.words(c)) for c in chunks]
-            names = list({w for _, words in cut for w in words})
+            # In order, so that the walks of neighbours share their steps.
+            names = sorted({w for _, words in cut for w in words})
             coded = [w.encode() for w in names]
             short = [i for i, c in enumerate(coded) if len(c) <= LONGEST]
-            ids = dict(zip(short, transducer.find([coded[i] for i in short])))
-            packed = {w: ids.get(i) or np.array(vocabulary.merge(coded[i]), "<i4").tobytes() for i, w in enumerate(names)}
+            packed = {names[i]: ids for i, ids in zip(short, transducer.find([coded[i] for i in short])) if ids}
+            rest = [(w, c) for w, c in zip(names, coded) if w not in packed]
+            packed.update(zip([w for w, _ in rest], vocabulary.merge_many([c for _, c in rest])))
             for c, words in cut:
                 yield c, b"".join([packed[w] for w in words])
 
         def batch(texts):
+            nonlocal cache, older
             if len(cache) > cached:
-                cache.clear()
+                older, cache = cache, {}
             split = [[p if p in vocabulary.added else vocabulary.chunks(p) for p in vocabulary.cut(t or "")] for t in texts]
             new = {c for parts in split for p in parts if not isinstance(p, str) for c in p if c not in cache}
-            fresh = dict(resolve(new))
+            again = {c: ids for c in new if (ids := older.get(c)) is not None}
+            cache.update(again)
+            fresh = dict(resolve(new - again.keys()))
             # Chunks without end serve this batch only.
             cache.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST)
             known = ChainMap(fresh, cache) if any(len(c) > LONGEST for c in new) else cache
