@@ -297,7 +297,7 @@ def compile_lexicon(docs: DataFrame, vocabulary_file: bytes, text: str = "text",
     return build_transducer((w, vocabulary.merge(w)) for w in sorted(r["word"].encode() for r in top))
 
 
-def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str = "text", cached: int = 150_000) -> DataFrame:
+def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str = "text", cached: int = 100_000) -> DataFrame:
     """``docs`` with ``ids`` (array of int), the tokens of the whole text; null and empty texts give an empty array.
 
     The lexicon only saves work: a word that it lacks is merged exactly. Added tokens in a text are
