@@ -55,6 +55,26 @@ def test_hierarchy_closure(spark, rows):
     assert rows(S.hierarchy_closure(edges)) == [("b", "a", 1), ("c", "a", 2), ("c", "b", 1), ("x", "a", 1)]
 
 
+def test_hierarchy_closure_rounds_grow_with_the_logarithm(spark, monkeypatch):
+    rounds, cut = [], S.cut_lineage
+    monkeypatch.setattr(S, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    chain = spark.range(300).select(F.col("id").alias("child"), (F.col("id") + 1).alias("parent"))
+    closure = S.hierarchy_closure(chain)
+    assert closure.where("ancestor = node + depth").count() == closure.distinct().count() == 300 * 301 // 2
+    assert len(rounds) == 11  # the edges, joins at 1, 2, 4 ... 256 edges, and one at 512 that finds nothing
+
+
+def test_hierarchy_closure_with_several_parents(spark, rows):
+    edges = spark.createDataFrame([("d", "b"), ("d", "c"), ("b", "a"), ("c", "a"), ("a", "r"), ("d", "a"), (None, "a"), ("r", None)], "child string, parent string")
+    level = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
+    expected = []
+    while found := level.collect():
+        expected += [(r.node, r.ancestor, r.depth) for r in found]
+        level = spark.createDataFrame(found, level.schema).join(edges, F.col("ancestor") == F.col("child")).select("node", F.col("parent").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
+    assert sorted(map(str, rows(S.hierarchy_closure(edges)))) == sorted(map(str, expected))
+    assert S.hierarchy_closure(edges.limit(0)).count() == 0
+
+
 def test_reconcile_counts_a_missing_side_as_zero(spark, rows):
     left = spark.createDataFrame([("a", 5), ("b", 2)], "k string, v int")
     right = spark.createDataFrame([("a", 3)], "k string, v int")

@@ -117,27 +117,24 @@ def spread_over_days(
 
 
 def hierarchy_closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
-    """All (node, ancestor, depth) pairs of a parent-child graph; a cycle raises ``ValueError``.
+    """All (node, ancestor, depth) pairs of a parent-child graph, one row per path; a cycle raises ``ValueError``.
 
-    Joins one level at a time until a level is empty; every level is checkpointed so that the
-    plan stays short and a lost executor costs one level at most. A node of a cycle becomes its own
-    ancestor after as many levels as the cycle is long.
+    Paths double: those of exactly the length reached so far are joined with all known ones, so the rounds
+    grow with the logarithm of the depth. Each path splits in one way only, so none repeats. Every round
+    is checkpointed; a lost executor costs one round at most. A node of a cycle becomes its own
+    ancestor in the round that reaches the cycle's length. Edges with a null end lead no further.
     """
-    links = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"))
-    up = edges.select(F.col(child).alias("__c"), F.col(parent).alias("__p"))
-    frontier, depth = links.withColumn("depth", F.lit(1)), 1
-    closure = None
-    while True:
-        frontier = cut_lineage(frontier)
-        if frontier.isEmpty():
-            return closure if closure is not None else frontier
-        if (own := frontier.where("node = ancestor").select("node").first()) is not None:
+    links = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth"))
+    newest, closure, reach = cut_lineage(links), None, 1
+    while not newest.isEmpty():
+        if (own := newest.where("node = ancestor").select("node").first()) is not None:
             raise ValueError(f"the hierarchy has a cycle through {own['node']!r}")
-        closure = frontier if closure is None else closure.unionByName(frontier)
-        depth += 1
-        frontier = frontier.join(up, F.col("ancestor") == F.col("__c")).select(
-            "node", F.col("__p").alias("ancestor"), F.lit(depth).alias("depth")
-        )
+        closure = newest if closure is None else closure.unionByName(newest)
+        far = newest.where(F.col("depth") == reach).select("node", F.col("ancestor").alias("__via"))
+        onward = closure.select(F.col("node").alias("__at"), "ancestor", (F.col("depth") + reach).alias("depth"))
+        newest = cut_lineage(far.join(onward, F.col("__via") == F.col("__at")).select("node", "ancestor", "depth"))
+        reach *= 2
+    return newest if closure is None else closure
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
