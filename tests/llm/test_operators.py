@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,6 +263,26 @@ def test_bpe(spark, edge, docs):
     assert bpe.encode(edge.limit(0), raw, bpe.compile_lexicon(edge.limit(0), raw)).count() == 0
 
 
+def test_bpe_words_and_merges():
+    """Words cut by chunks, and merged together, against the library on texts of awkward characters."""
+    from tokenizers import Tokenizer
+
+    with open(bpe.vocabulary_path(), "rb") as f:
+        vocabulary = bpe.Vocabulary(f.read())
+    library, deal = Tokenizer.from_file(bpe.vocabulary_path()), random.Random(1)
+    library.no_truncation()
+    library.no_padding()
+    parts = ["a", "B", "'s", " ", "  ", "\n", "\t", "\x1c", "\x85", "\x00", "1", "!", "é", "<|endoftext|>", "'", "ll", "\u3000", "漢", "\u0301", "ab" * 40]
+    for _ in range(3000):
+        text, got = "".join(deal.choices(parts, k=deal.randint(0, 14))), []
+        for p in vocabulary.cut(text):
+            words = [] if p in vocabulary.added else [w.encode() for c in vocabulary.chunks(p) for w in vocabulary.words(c)]
+            merged = vocabulary.merge_many(words)
+            assert [np.frombuffer(m, "<i4").tolist() for m in merged] == [vocabulary.merge(w) for w in words]
+            got += [vocabulary.added[p]] if p in vocabulary.added else np.frombuffer(b"".join(merged), "<i4").tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids
+
+
 def test_lm(spark, edge, docs):
     start = lm.Pieces({"▁": -1.0, "▁a": -2.0, "a": -1.5, "b": -2.5, "ab": -1.7}, -6.0, -2.0)
     ways = [-2.0 - 2.5, -1.0 - 1.5 - 2.5, -1.0 - 1.7]
