@@ -137,6 +137,47 @@ def test_timestamp_snapshot_ignores_older_rows(spark):
     assert [(r["v"], r["valid_from"].day) for r in newer.orderBy("valid_from").collect()] == [("x", 5), ("y", 7)]
 
 
+def test_history_table_leaves_closed_files_alone(spark):
+    def source(*rows):
+        return spark.createDataFrame(rows, "k int, v string")
+
+    table = H.HistoryTable(spark, scratch_dir(spark, "history"), source((1, "a")).schema, ["k"], check=["v"])
+    assert table.rows().collect() == [] and table.files("closed") == set()
+    states = [[(1, "a"), (2, "b")], [(1, "a"), (2, "b")], [(1, None)], [(1, None), (2, "b")], [(1, "c"), (2, "b")]]
+    whole, closed = None, set()
+    for day, state in enumerate(states, 1):
+        whole = H.initial_snapshot(source(*state), ["k"], ts(day)) if whole is None else H.snapshot_by_columns(whole, source(*state), ["k"], ["v"], ts(day))
+        assert table.run(source(*state), ts(day)) == day
+        # What was closed stays in the same files; a run only adds some.
+        assert closed <= table.files("closed")
+        closed = table.files("closed")
+        got, want = table.rows(), whole
+        assert sorted(map(repr, got.select(*sorted(got.columns)).collect())) == sorted(map(repr, want.select(*sorted(want.columns)).collect()))
+    assert H.as_of(table.rows(), ts(3)).collect() == [(1, None)]
+    # The next run's plan opens open versions only.
+    assert all("state=open" in name and "run=5" in name for name in table.open_rows().inputFiles())
+    # Only the open parts of the last two runs are left.
+    assert [n for n in range(1, 6) if table._part(n, "open").inputFiles()] == [4, 5]
+
+
+def test_history_table_does_not_publish_a_failed_run(spark):
+    def source(*rows):
+        return spark.createDataFrame(rows, "k int, v string")
+
+    table = H.HistoryTable(spark, scratch_dir(spark, "history"), source((1, "a")).schema, ["k"], check=["v"])
+    table.run(source((1, "a"), (2, "b")), ts(1))
+    before = versions(table.rows())
+    with pytest.raises(Exception, match="source key repeats"):
+        table.run(source((1, "x"), (1, "y")), ts(2))
+    assert table.runs() == [1] and versions(table.rows()) == before
+    assert table.run(source((1, "x")), ts(3)) == 2
+    assert sorted(map(repr, versions(table.rows()))) == sorted(map(repr, [(1, "a", 1, 3), (1, "x", 3, None), (2, "b", 1, 3)]))
+    table.run(source((1, "x")).limit(0), ts(4))
+    assert table.open_rows().count() == 0 and table.closed_rows().count() == 3
+    with pytest.raises(ValueError):
+        H.HistoryTable(spark, "x", source((1, "a")).schema, ["k"])
+
+
 def test_duplicate_snapshot_keys_are_reported(spark):
     assert H.duplicate_keys(spark.createDataFrame([(1,), (1,), (2,)], "k int"), ["k"]).count() == 1
 

@@ -145,19 +145,40 @@ def timestamp_history(t):
     return H.snapshot_by_timestamp(start, second_version(t), ["id"], "changed_on", ts("2024-03-01"))
 
 
-def check_history(t):
-    start = H.initial_snapshot(first_version(t).drop("changed_on"), ["id"], ts("2024-01-01"))
-    return H.snapshot_by_columns(start, second_version(t).drop("changed_on"), ["id"], ["name", "segment"], ts("2024-03-01"))
+def stored_history(t, label, states, **by):
+    """A history on disk after one run for each (state of the source, time of the run)."""
+    table = H.HistoryTable(t.spark, scratch_dir(t.spark, label), states[0][0].schema, ["id"], **by)
+    for state, at in states:
+        table.run(state, ts(at))
+    return table.rows().select("id", "name", "segment", "valid_from", "valid_to", "scd_id")
 
 
 @query("m07_snapshot_timestamp", SNAPSHOT_SQL.replace("{n}", "2"))
 def _(t):
-    return timestamp_history(t).select("id", "name", "segment", "valid_from", "valid_to", "scd_id")
+    return stored_history(t, "m07", [(first_version(t), "2024-01-01"), (second_version(t), "2024-03-01")], at="changed_on")
+
+
+# The third version is the first again: suppliers go, dropped customers return, moved ones move back.
+def third_version(t):
+    again = (F.col("c_acctbal") < 0) | (F.col("c_acctbal") > 8000)
+    return t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
+                             F.when(again, ts("2024-04-01")).otherwise(ts("2024-01-01")).alias("changed_on"))
+
+
+@query("m07_snapshot_three_runs", f"""WITH {V2_SQL}, h AS (
+    SELECT id, name, segment, '2024-01-01 00:00:00' AS valid_from, CASE WHEN bal < 0 THEN '2024-03-01 00:00:00' WHEN bal > 8000 THEN '2024-02-01 00:00:00' END AS valid_to FROM v1
+    UNION ALL SELECT id, name, segment, '2024-02-01 00:00:00', CASE segment WHEN 'PREMIUM' THEN '2024-04-01 00:00:00' ELSE '2024-05-01 00:00:00' END FROM v2 WHERE segment IN ('PREMIUM', 'SUPPLIER')
+    UNION ALL SELECT id, name, segment, '2024-04-01 00:00:00', NULL FROM v1 WHERE bal < 0 OR bal > 8000)
+    SELECT id, name, segment, valid_from, valid_to, md5(concat(CAST(id AS VARCHAR), '|', valid_from)) AS scd_id FROM h""")
+def _(t):
+    states = [(first_version(t), "2024-01-01"), (second_version(t), "2024-03-01"), (third_version(t), "2024-05-01")]
+    return stored_history(t, "m07-three", states, at="changed_on")
 
 
 @query("m08_snapshot_check", SNAPSHOT_SQL.replace("{n}", "3"))
 def _(t):
-    return check_history(t).select("id", "name", "segment", "valid_from", "valid_to", "scd_id")
+    states = [(first_version(t).drop("changed_on"), "2024-01-01"), (second_version(t).drop("changed_on"), "2024-03-01")]
+    return stored_history(t, "m08", states, check=["name", "segment"])
 
 
 @query("m09_load_log_purge", """
