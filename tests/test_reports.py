@@ -289,12 +289,47 @@ def test_batch_top_k_against_brute_force(spark, monkeypatch):
     queries = [(i, rng.normal(size=5).round(3).tolist()) for i in range(7)]
     df = spark.createDataFrame(corpus, "id bigint, v array<double>").repartition(3)
     asked = spark.createDataFrame(queries, "q bigint, v array<double>")
-    for limit in (4_000_000, 10):  # one block of queries, or blocks of two
-        monkeypatch.setattr(V, "MAX_QUERY_VALUES", limit)
+    for limit in (131_072, 10):  # one block a task, or blocks of two rows
+        monkeypatch.setattr(V, "BLOCK_VALUES", limit)
         got = sorted((r["query_id"], r["id"]) for r in V.batch_top_k(df, "id", "v", asked, "q", "v", 4).collect())
         assert got == brute_top(corpus, queries, 4)
 
 
+def test_batch_top_k_ties_gaps_and_empty_sides(spark):
+    ddl = "id bigint, v array<double>, q string"
+    df = spark.createDataFrame(
+        [(5, [1.0, 0.0], "x"), (3, [2.0, 0.0], "x"), (3, [2.0, 0.0], "x"), (9, [0.0, 1.0], None), (7, [None, 1.0], "x"),
+         (8, [float("nan"), 1.0], "x"), (None, [1.0, 0.0], "x"), (1, None, "x"), (2, [], "x")], ddl)
+    asked = spark.createDataFrame([(1, [3.0, 0.0]), (2, None), (3, [0.0, 0.0])], "id bigint, v array<double>")
+    got = [tuple(r) for r in V.batch_top_k(df, "id", "v", asked, "id", "v", 3).orderBy("rank").collect()]
+    assert got == [(1, 3, 1.0, 1), (1, 3, 1.0, 2), (1, 5, 1.0, 3)]
+    assert V.batch_top_k(df, "id", "v", asked.limit(0), "id", "v", 3).collect() == []
+    assert V.batch_top_k(df.limit(0), "id", "v", asked, "id", "v", 3).collect() == []
+    with pytest.raises(ValueError, match="different length"):
+        V.batch_top_k(df, "id", "v", spark.createDataFrame([(1, [1.0])], "id bigint, v array<double>"), "id", "v", 3)
+
+
+def test_batch_top_k_many_queries(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK_VALUES", 512)
+    rng = np.random.default_rng(2)
+    corpus = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 8)))]
+    df = spark.createDataFrame(corpus, "id bigint, v array<double>").repartition(5)
+    got = V.batch_top_k(df, "id", "v", df.withColumnRenamed("id", "q"), "q", "v", 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "SortMergeJoin" in plan
+    unit = np.array([v for _, v in corpus])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = {(q, int(i)) for q, row in enumerate(unit @ unit.T) for i in np.argsort(-row)[:3]}
+    assert {(r["query_id"], r["id"]) for r in got.collect()} == want
+
+
+def test_lanes_send_few_copies():
+    assert V._lanes(200, 100_000, 1) == (200, 1)
+    assert V._lanes(200, 1, 100_000) == (1, 200)
+    assert V._lanes(100, 50_000, 50_000) == (10, 10)
+    assert V._lanes(8, 3, 2) == (3, 2)
+
+
 def test_cosine_of_missing_vectors_is_null(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [-2.0, 0.0])], "id int, v array<double>")
     got = {r["id"]: r["s"] for r in df.select("id", V.cosine_to("v", [3.0, 0.0]).alias("s")).collect()}
