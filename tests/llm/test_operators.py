@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, jaccard, language, lines, links, lm, quality, rules, secrets
+from tidemark.llm import bpe, chat, common, decontaminate, jaccard, language, lines, links, lm, quality, rules, secrets
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, id string, key string, ids string"
@@ -51,6 +51,38 @@ def test_language(spark, edge, docs):
     assert sum(r.lang == r.lang_pred for r in seen) >= 0.95 * len(seen)
 
 
+def test_sample_of_keys(spark, edge):
+    rows = [("hot", i) for i in range(30_000)] + [("hot", 7)] * 5_000 + [("one", 7)] * 3_000 + [("few", i) for i in range(40)] + [(None, 1), ("one", None)]
+    df = spark.createDataFrame(rows, "g string, k bigint").repartition(5)
+    got = common.sample_keys(df, "g", "k", 100)
+    hashes = df.where("g IS NOT NULL AND k IS NOT NULL").select("g", F.xxhash64("k").alias("h"), "k").distinct().collect()
+    want = []
+    for g in ("few", "hot", "one"):
+        want += sorted(tuple(r) for r in hashes if r.g == g)[:100]
+    assert got == want and len(got) == 100 + 40 + 1
+    assert common.sample_keys(df.limit(0), "g", "k", 100) == []
+
+
+def test_dictionaries_come_from_whole_texts(spark):
+    assert language.spread_over(b"abc", 5) == b"abc"
+    raw = bytes(range(200)) * 10
+    got = language.spread_over(raw, 400)
+    assert len(got) <= 400 and got.startswith(raw[:96]) and raw[-96:] in got
+    assert language.spread_over(raw, 100) == raw[950:1050]
+    text = "aaa " * 50_000 + "the end zebra " * 20  # what counts stands at the end only
+    model = language.fit_languages(spark.createDataFrame([(1, text, "x"), (1, None, "x"), (2, None, "y")], "doc_id int, text string, lang string"))
+    assert list(model.dictionaries) == ["x"] and b"zebra" in model.dictionaries["x"]
+
+
+def test_rules_are_timed_on_whole_texts(spark):
+    # Only the tail of these texts breaks a rule, far behind any prefix.
+    tail = "word " * 30_000 + "# " * 200_000
+    df = spark.createDataFrame([(i, tail) for i in range(3)] + [(None, tail)], "doc_id int, text string")
+    symbols = next(r for r in rules.RULES if r.name == "symbols")
+    never = rules.Rule("never", lambda m: False, "false")
+    assert [r.name for r in rules.order_rules(df, [never, symbols])] == ["symbols", "never"]
+
+
 def test_rules(edge):
     got = rules.apply_rules(edge, rules.order_rules(edge), figures=rules.FIGURES).collect()
     assert len(got) == len(ROWS)

@@ -58,6 +58,29 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def sample_keys(df: DataFrame, group: str, key: str, rows: int) -> list[tuple]:
+    """(group, hash, key) of the ``rows`` distinct keys with the smallest hashes in each group, in this order.
+
+    One scan estimates the distinct keys of each group, a second takes those below a bound of the hash that leaves room for
+    chance and the estimate's error. So no group is one task's work, repeated keys merge before they move, and about ``rows`` +
+    8 sqrt(``rows``) keys a group reach the driver. Rows without group or key are left out; an empty table gives nothing.
+    """
+    known = df.select(F.col(group).alias("g"), F.col(key).alias("k")).where(F.col("g").isNotNull() & F.col("k").isNotNull())
+    sizes = known.groupBy("g").agg(F.approx_count_distinct("k", 0.02).alias("n")).collect()
+    if not sizes:
+        return []
+    room = 1.1 * (rows + 8 * rows ** 0.5 + 20)
+    bounds = []
+    for r in sizes:
+        reach = min(1.0, room / max(1, r["n"])) if r["n"] > 2 * room else 1.0
+        bounds += [F.lit(r["g"]), F.lit(min(2 ** 63 - 1, -(2 ** 63) + int(reach * 2 ** 64)))]
+    near = known.withColumn("h", F.xxhash64("k")).where(F.col("h") <= F.create_map(*bounds)[F.col("g")]).distinct()
+    found: dict = {}
+    for r in sorted(near.collect(), key=lambda r: (r["g"], r["h"], r["k"])):
+        found.setdefault(r["g"], []).append((r["g"], r["h"], r["k"]))
+    return [entry for entries in found.values() for entry in entries[:rows]]
+
+
 def append_columns(
     df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[[], Callable[..., list[list]]], rows: int = 256,
     arrow: bool = False,

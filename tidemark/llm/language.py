@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidemark.llm.common import append_columns, fresh, remainder, table
+from tidemark.llm.common import append_columns, fresh, remainder, sample_keys, table
 
 UNDETERMINED = "und"
 
@@ -56,41 +53,57 @@ class Languages:
         return predict
 
 
+def spread_over(raw: bytes, size: int, width: int = 96) -> bytes:
+    """At most ``size`` bytes of ``raw`` in pieces of ``width``, evenly spread from its first to its last byte."""
+    if len(raw) <= size:
+        return raw
+    count = (size + 1) // (width + 1)  # a blank between two pieces
+    if count < 2:
+        at = (len(raw) - size) // 2
+        return raw[at : at + size]
+    starts = [i * (len(raw) - width) // (count - 1) for i in range(count)]
+    return b" ".join(raw[at : at + width] for at in starts)[:size]
+
+
 def fit_languages(
     labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
     rows_per_language: int = 400, dictionary_bytes: int = 112 * 1024, **options,
 ) -> Languages:
-    """Dictionaries from a bounded sample: the ``rows_per_language`` rows of each language with the smallest hash of the key.
+    """Dictionaries from a bounded sample: the ``rows_per_language`` keys of each language with the smallest hash.
 
-    Each row gives an equal share of the ``dictionary_bytes``. Rows without language or text teach
-    nothing. Choosing reads only key and language, limited per task before the shuffle; so a language
-    that holds most rows costs no more than another.
+    Each gives an equal share of the ``dictionary_bytes``, in pieces spread over its whole text; of several texts under a key
+    the smallest counts. Rows without language or key teach nothing, null and empty texts neither.
     """
     import re
 
-    order = Window.partitionBy("lang").orderBy("rank", "key")
-    known = labelled.where(F.col(lang).isNotNull() & F.col(key).isNotNull())
-    ids = (
-        known.select(F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("rank"), F.col(key).alias("key"))
-        .withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language).select("key", "rank")
-    )
-    wanted = [r["key"] for r in ids.select("key").distinct().collect()]
-    share = max(64, 4 * dictionary_bytes // rows_per_language)
+    chosen = sample_keys(labelled, lang, key, rows_per_language)
+    if not chosen:
+        return Languages({}, **options)
+    members: dict[str, int] = {}
+    for name, _, _ in chosen:
+        members[name] = members.get(name, 0) + 1
+    shares = {name: max(64, dictionary_bytes // n - 1) for name, n in members.items()}
+
+    def make():
+        other = re.compile(r"[\W\d_]+")
+
+        def batch(names, texts):
+            return [[spread_over(other.sub(" ", t.lower()).encode("utf-8", "replace"), shares[n]) for n, t in zip(names, texts)]]
+
+        return batch
+
+    taken = {(name, k) for name, _, k in chosen}
     rows = (
-        known.where(F.col(key).isin(wanted) & F.col(text).isNotNull())
-        .select(F.col(lang).alias("lang"), F.substring(F.col(text), 1, share).alias("text"), F.xxhash64(F.col(key)).alias("rank"))
-        .distinct().collect()
-        if wanted else []
+        labelled.where(F.col(key).isin(sorted({k for _, k in taken})) & F.col(lang).isin(sorted(members)) & F.col(text).isNotNull())
+        .groupBy(F.col(lang).alias("lang"), F.col(key).alias("key")).agg(F.min(text).alias("text"))
     )
-    grouped: dict[str, list] = {}
-    for r in rows:
-        grouped.setdefault(r["lang"], []).append((r["rank"], r["text"]))
-    dictionaries = {}
-    for name, found in grouped.items():
-        parts = [re.sub(r"[\W\d_]+", " ", t.lower()).encode("utf-8", "replace") for _, t in sorted(found)]
-        each = max(64, math.ceil(dictionary_bytes / len(parts)))
-        dictionaries[name] = b" ".join(p[:each] for p in parts)[:dictionary_bytes]
-    return Languages(dictionaries, **options)
+    pieces = append_columns(rows, ["lang", "text"], "piece binary", make).drop("text").collect()
+    found = {(r["lang"], r["key"]): bytes(r["piece"]) for r in pieces}
+    dictionaries: dict[str, bytes] = {}
+    for name, _, k in chosen:
+        if found.get((name, k)):
+            dictionaries[name] = (dictionaries[name] + b" " if name in dictionaries else b"") + found[(name, k)]
+    return Languages({name: raw[:dictionary_bytes] for name, raw in dictionaries.items()}, **options)
 
 
 def identify_language(docs: DataFrame, languages: Languages, text: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import append_columns, remainder, table
+from tidemark.llm.common import append_columns, remainder, sample_keys, table
 
 #: Hashed words, and before them the features of their forms.
 WORDS, FORMS = 4096, 4096
@@ -92,21 +92,18 @@ class Neighbours:
 
 def fit_neighbours(
     labelled: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id",
-    rows: int = 3000, chars: int = 50_000, rank: int = 64, k: int = 15, sharp: float = 8.0,
+    rows: int = 3000, rank: int = 64, k: int = 15, sharp: float = 8.0,
 ) -> Neighbours:
-    """Latent vectors of a bounded sample: of each label the ``rows`` / 2 rows with the smallest hash of the key.
+    """Latent vectors of a bounded sample: of each label the ``rows`` / 2 keys with the smallest hash.
 
-    At most ``chars`` characters of a labelled text are learnt from. Features are weighted by
+    Their whole texts are learnt from; of several texts under a key the smallest counts. Features are weighted by
     inverse document frequency (words and the shapes of words alike), then reduced to ``rank`` axes by a randomised SVD of the sample.
     Rows without label or key teach nothing.
     """
-    from pyspark.sql.window import Window
-
     known = labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(
-        F.col(label).cast("int").alias("y"), F.xxhash64(F.col(key)).alias("h"), F.col(key).alias("k"), F.substring(F.col(text), 1, chars).alias("t"))
-    order = Window.partitionBy("y").orderBy("h", "k")
-    ids = known.select("y", "h", "k").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows // 2).select("k", "y")
-    wanted = [r["k"] for r in ids.select("k").distinct().collect()]
+        F.col(label).cast("int").alias("y"), F.col(key).alias("k"), F.col(text).alias("t"))
+    wanted = sorted({key for _, _, key in sample_keys(known, "y", "k", rows // 2)})
+
     def make():
         def batch(texts):
             return [[np.flatnonzero(s).astype("<f4").tobytes() + s[s != 0].astype("<f4").tobytes() for s in map(Shapes(), texts)]]
@@ -114,7 +111,7 @@ def fit_neighbours(
 
     if not wanted:
         return Neighbours(np.ones(WIDTH), np.zeros((WIDTH, 1)), np.zeros((0, 1)), np.zeros(0), k, sharp)
-    chosen = append_columns(known.where(F.col("k").isin(wanted)).select("k", "y", "t"), ["t"], "features binary", make, rows=128).drop("t")
+    chosen = append_columns(known.where(F.col("k").isin(wanted)).groupBy("k", "y").agg(F.min("t").alias("t")), ["t"], "features binary", make, rows=128).drop("t")
     sample = sorted(((r["k"], r["y"], bytes(r["features"])) for r in chosen.collect()))
     features = np.zeros((len(sample), WIDTH), np.float32)
     for row, (_, _, f) in zip(features, sample):

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import append_columns, table
+from tidemark.llm.common import append_columns, sample_keys, table
 
 SYMBOLS = "#*$%&|<>"
 _CUT = str.maketrans("\t\n\x0b\x0c\r", "     ")
@@ -91,22 +91,35 @@ RULES = (
 
 
 def order_rules(
-    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", key: str = "doc_id", rows: int = 200, chars: int = 20_000,
+    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", key: str = "doc_id", rows: int = 200,
 ) -> list[Rule]:
-    """Rules by falling rejections per second on the ``rows`` rows with the smallest hash of the key.
+    """Rules by falling rejections per second on the ``rows`` keys with the smallest hash.
 
-    At most ``chars`` characters of each are timed. Only the order, hence the time, depends on this
-    sample, never a verdict. An empty table leaves the order as given.
+    Their whole texts (the smallest of a key) are timed where they lie; two figures a rule and text reach the driver. Only the order,
+    hence the time, depends on this sample, never a verdict. A table without keys leaves the order as given.
     """
-    picked = docs.select(F.substring(F.col(text), 1, chars).alias("t"), F.xxhash64(F.col(key)).alias("h"), F.col(key).alias("k"))
-    texts = [r["t"] for r in picked.orderBy("h", "k").limit(rows).collect()]
+    wanted = [k for _, _, k in sample_keys(docs.select(F.lit(0).alias("one"), F.col(key).alias("of")), "one", "of", rows)]
+    if not wanted:
+        return list(rules)
 
-    def worth(rule: Rule) -> float:
-        began = time.perf_counter()
-        rejected = sum(rule.rejects(Measures(t)) for t in texts)
-        return -rejected / (time.perf_counter() - began + 1e-9)
+    def make():
+        def batch(texts):
+            out = []
+            for t in texts:
+                figures = []
+                for rule in rules:
+                    began = time.perf_counter()
+                    rejected = rule.rejects(Measures(t))
+                    figures += [float(rejected), time.perf_counter() - began]
+                out.append(figures)
+            return [out]
+
+        return batch
 
-    return sorted(rules, key=worth)
+    picked = docs.where(F.col(key).isin(wanted)).groupBy(F.col(key).alias("k")).agg(F.min(text).alias("t"))
+    figures = [r["figures"] for r in append_columns(picked, ["t"], "figures array<double>", make).select("figures").collect()]
+    worth = [-sum(f[2 * i] for f in figures) / (sum(f[2 * i + 1] for f in figures) + 1e-9) for i in range(len(rules))]
+    return [rules[i] for i in sorted(range(len(rules)), key=worth.__getitem__)]
 
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
