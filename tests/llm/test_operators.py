@@ -237,6 +237,51 @@ def test_decontaminate_item_lengths(spark):
     assert all((r.cosine, r.common) == (1.0, 1.0) for r in got if r.doc_id % 2 == 0)
 
 
+def test_decontaminate_axes(spark):
+    draw = np.random.default_rng(3)
+    bags = [(i, draw.integers(40 * (i % 9), 40 * (i % 9) + 60, 48).tolist()) for i in range(90)]
+    weights = draw.uniform(0.5, 2, decontaminate.WIDTH).astype(np.float32)
+    place, axes = decontaminate.latent_axes(spark.createDataFrame(bags, "row bigint, features array<int>"), weights, rank=12)
+    dense = np.zeros((90, 400))
+    for i, bag in bags:
+        np.add.at(dense[i], bag, weights[bag])
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    used = dense.any(axis=0)
+    plain = axes[place[:400]][used] / weights[:400][used, None]
+    sizes = np.linalg.norm(plain, axis=0)
+    plain /= sizes
+    values = np.linalg.svd(dense, compute_uv=False)
+    # Fewer axes than rows: orthogonal, scaled by the root of the singular values, and as near to the rows as any.
+    assert axes.shape[1] == 12 and np.abs(plain.T @ plain - np.eye(12)).max() < 1e-4
+    assert np.abs(sizes * np.sqrt(values[:12]) - 1).max() < 0.02
+    assert np.square(dense[:, used] @ plain).sum() >= 0.99 * np.square(values[:12]).sum()
+
+
+def test_decontaminate_latent_recall(spark):
+    items = [(i, " ".join(made_words(20 + i % 40, i))) for i in range(600)]
+    rows, wanted = [], set()
+    for d in range(120):
+        words = items[5 * d][1].split()
+        if d % 3 == 1:  # every eighth word reworded
+            words = [f"other{d}" if j % 8 == 4 else w for j, w in enumerate(words)]
+        elif d % 3 == 2:  # every sixth word behind the next
+            for j in range(0, len(words) - 1, 6):
+                words[j : j + 2] = words[j + 1], words[j]
+        rows.append((d, " ".join(made_words(130 + d, 10**6 + d) + words + made_words(150, 2 * 10**6 + d))))
+        wanted.add((d, 5 * d))
+    given = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(*given, rank=64, lookup=False).collect()}
+    assert got <= wanted and len(got) >= 0.97 * len(wanted)
+
+
+def test_decontaminate_words(spark):
+    texts = [None, "", "İstanbul ΟΔΟΣ, naïve_3 ½ x²—don't\ud800 \U0001f600 日本語 हिन्दी", " . ", "a b  a"]
+    hashes, ends = decontaminate.hashed_words(texts)
+    words = [w for t in texts for w in decontaminate.words_of(t)]
+    assert np.diff(ends, prepend=0).tolist() == [len(decontaminate.words_of(t)) for t in texts]
+    assert len({*zip(words, hashes.tolist())}) == len(set(words)) == len(set(hashes.tolist()))
+
+
 def test_quality(spark, edge, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = quality.fit_neighbours(docs.select("doc_id", "text").join(labels, "doc_id"))
