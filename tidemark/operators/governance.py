@@ -107,16 +107,16 @@ def file_ranges(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def range_overlap(ranges: DataFrame, file: str = "file", low: str = "low", high: str = "high") -> DataFrame:
+def range_overlap(ranges: DataFrame, bucket: Column | None = None, low: str = "low", high: str = "high") -> DataFrame:
     """Per file: ``overlaps`` (other files its range meets), ``depth`` (files covering its start), ``is_constant``.
 
     A sweep over range ends, never pairs: files starting at or before my end, less those ending
     before my start. The ranges, one row per file, are kept in a checkpoint: the table behind
-    them is read once.
+    them is read once. ``bucket``, a monotone expression over ``at``, is taken from callers that still give one; the sweep
+    samples its own ranges.
     """
     ranges = cut_lineage(ranges)
     ends = ranges.select(
-        file,
         F.explode(
             F.array(
                 F.struct(F.col(low).alias("at"), F.lit(1).alias("start"), F.lit(0).alias("stop")),
