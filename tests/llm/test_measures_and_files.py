@@ -63,6 +63,13 @@ def test_divergence_edge_rows(spark):
     assert divergence.source_divergence(documents(spark, EDGE).limit(0)).count() == 0
 
 
+def test_divergence_chunks_of_like_terms(spark):
+    rows = spark.createDataFrame([("en", "s", "The the, THE\u00c9 the! x-y X_Y\tx\x1cy"), ("en", "s", "the. ??? ...")], "lang string, source string, text string")
+    got = {(r.chunk, r.docs, r.n) for r in divergence.count_chunks(rows).collect()}
+    # Case, kinds of signs and a sign before a blank make no chunk of its own.
+    assert {("the", 2, 4), ("the\u00c9", 1, 1), ("x.y", 1, 3)} <= got and all(not c.strip(".") for c, _, _ in got - {("the", 2, 4), ("the\u00c9", 1, 1), ("x.y", 1, 3)})
+
+
 def test_divergence_doubtful_terms(spark):
     """Terms whose chunks are each below the minimum, with documents that hold several of them."""
     forms = ["{}", "{},", "({})", "{}!", "{}-{}"]

@@ -1,72 +1,100 @@
 """How the sources of a language differ in their words: shared vocabulary, pairwise distance, leading terms.
 
-White-space chunks are counted per document; each distinct chunk of the whole corpus is cut into terms
+White-space chunks are counted per document, without regard to case and signs; each distinct chunk of the whole corpus is cut into terms
 once, and its terms are joined back to the counts.
 """
 
 from __future__ import annotations
 
-import gc
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, stored_by, table
+from tidemark.llm.common import slices, stored, stored_by, table
 from tidemark.operators.skew import split_join
 
 #: A term: letters A-Z and everything beyond ASCII, taken from UTF-8 bytes; ASCII lower-casing leaves other bytes alone.
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
+#: Letters A-Z lower-cased and all signs as one, so that chunks of the same terms are one chunk; white space parts them as before.
+_SAME = bytes(b if b in b" \t\n\r\x0b\x0c" or TERM.match(bytes([b])) else ord(".") for b in range(256)).lower()
+
 _PARTS = 1_000_000_000
 _BITS = 24  # the filter of the second pass: 2 MB whatever the corpus
 _TILE_TERMS, _TILE_SOURCES = 2048, 256  # a tile of shares takes 8 MB
 
 
-def count_chunks(docs: DataFrame, held: int = 1_500_000) -> DataFrame:
+def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Text and number of each chunk of all texts, and the distinct chunks by number.
+
+    A sign before a blank is left out: no term begins, ends or changes by this.
+    """
+    plain = pa.array([t.encode("utf-8", "replace").translate(_SAME).replace(b". ", b" ") for t in texts], pa.string())
+    cut = pc.ascii_split_whitespace(plain)
+    coded = cut.flatten().dictionary_encode()
+    code, text = coded.indices.to_numpy(), np.repeat(np.arange(len(texts)), pc.list_value_length(cut).to_numpy())
+    # Blanks at the ends of a text leave empty strings.
+    empty = pc.index(coded.dictionary, "").as_py()
+    used = code != empty
+    return text[used], code[used].astype(np.int64), coded.dictionary
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order and how often each occurs."""
+    values = np.sort(values)
+    at = np.flatnonzero(np.diff(values, prepend=-1))
+    return values[at], np.diff(at, append=len(values))
+
+
+def count_chunks(docs: DataFrame, held: int = 1 << 24) -> DataFrame:
     """``lang``, ``source``, ``chunk``, ``docs`` (rows that have it) and ``n`` (occurrences), summed over all rows.
 
-    ``docs`` has lang, source and text without nulls. A task holds at most about ``held`` chunks and those of
-    one more document, then hands its sums on; Spark adds them up, dealt by chunk as all later steps want them. A chunk
-    has one row per task and group at most, so a frequent one is no burden.
+    ``docs`` has lang, source and text without nulls. Chunks that differ in case A-Z, in which signs they have or in a sign
+    before a blank only are one. A task counts about ``held`` characters and those of one more document at a time, then hands
+    its sums on; Spark adds them up, dealt by chunk as all later steps want them. A chunk
+    has one row per task, group and so many characters at most, so a frequent one is no burden.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uses: dict = defaultdict(Counter)
-        rows: dict = defaultdict(Counter)
-        size = 0
+        texts: list[str] = []
+        numbers: dict = {}
+        of: list[int] = []
 
         def out():
-            for (lang, source), counts in uses.items():
-                chunks, own = list(counts), rows[lang, source]
+            text, code, chunks = _coded(texts)
+            # One row, then one group and chunk, as one number each.
+            group, size = np.array(of, np.int64), max(1, len(chunks))
+            cells, n = _counted(group[text] * size + code)
+            mine = _counted(text * size + code)[0]
+            _, rows = _counted(group[mine // size] * size + mine % size)
+            langs, sources = (pa.array([g[i] for g in numbers], pa.string()) for i in (0, 1))
+            for a in range(0, len(cells), 1 << 16):
+                at, some = cells[a : a + (1 << 16)] // size, cells[a : a + (1 << 16)] % size
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(lang, len(chunks)), pa.repeat(source, len(chunks)), pa.array(chunks, pa.string()),
-                     pa.array([own[c] for c in chunks], pa.int64()), pa.array(counts.values(), pa.int64())],
+                    [langs.take(pa.array(at)), sources.take(pa.array(at)), chunks.take(pa.array(some)),
+                     pa.array(rows[a : a + (1 << 16)]), pa.array(n[a : a + (1 << 16)])],
                     names=["lang", "source", "chunk", "docs", "n"])
-            uses.clear()
-            rows.clear()
+            texts.clear()
+            of.clear()
+            numbers.clear()
 
-        for batch in batches:
-            # Lists of words have no cycles; walking them again and again would only cost time.
-            gc.disable()
-            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-                words = text.encode("utf-8", "replace").split()
-                if words:
-                    mine = uses[lang, source]
-                    size -= len(mine)
-                    mine.update(words)
-                    size += len(mine)
-                    rows[lang, source].update(set(words))
-                    if size > held:
-                        yield from out()
-                        size = 0
-            gc.enable()
-        yield from out()
+        size = 0
+        for batch, some in slices(batches, held):
+            of += [numbers.setdefault(g, len(numbers)) for g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            texts += some
+            size += sum(map(len, some))
+            if size > held:
+                yield from out()
+                size = 0
+        if texts:
+            yield from out()
 
     made = docs.select("lang", "source", "text").mapInArrow(work, "lang string, source string, chunk string, docs bigint, n bigint")
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -111,19 +139,16 @@ def _exact_counts(docs: DataFrame, doubtful: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        seen = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").tobytes()
-        crc, mask, number = zlib.crc32, 2**_BITS - 1, TaskContext.get().partitionId() << 40
-        for batch in batches:
-            ids, langs, chunks = [], [], []
-            gc.disable()
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                number += 1
-                found = [c for c in set(text.encode("utf-8", "replace").split()) if seen[crc(c) & mask]]
-                chunks += found
-                langs += [lang] * len(found)
-                ids += [number] * len(found)
-            gc.enable()
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(chunks, pa.string())], names=["doc", "lang", "chunk"])
+        seen = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little")
+        number = TaskContext.get().partitionId() << 40
+        for batch, texts in slices(batches):
+            text, code, chunks = _coded(texts)
+            hit = seen[np.array([zlib.crc32(c.encode()) & (2**_BITS - 1) for c in chunks.to_pylist()], np.int64)] > 0
+            held, size = hit[code] if len(code) else np.zeros(0, bool), max(1, len(chunks))
+            found = _counted(text[held] * size + code[held])[0]
+            at = pa.array(found // size)
+            yield pa.RecordBatch.from_arrays([pa.array(number + found // size), batch.column(0).take(at), chunks.take(pa.array(found % size))], names=["doc", "lang", "chunk"])
+            number += len(texts)
 
     # A row is numbered within its own task, so a task that runs again gives it the same number.
     hits = docs.select("lang", "text").mapInArrow(work, "doc bigint, lang string, chunk string")
