@@ -398,3 +398,35 @@ def test_pipeline(spark):
 
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and out.columns[:2] == ["doc_id", "text"] and out.columns[-1] == "ids"
+
+
+def test_buckets_computed_once(spark):
+    """Members come from one pass, and strangers in a bucket of many are told apart without a pair being made."""
+    made, seen = spark.sparkContext.accumulator(0), []
+
+    def work(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = [(7, i, True, True) for i in range(200)] + [(100 + i, i, True, True) for i in range(200)]
+    members = common.stored(spark.createDataFrame(rows, "key bigint, id bigint, home boolean, full boolean"), "members")
+    traits = spark.range(200).select("id", (F.col("id") % 100 * 10).alias("trait"))
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.select("a", "b")
+
+    got = links.linked_groups(members.mapInArrow(work, members.schema), verify, traits, lambda x, y: x == y).collect()
+    assert made.value == 400 and sum(seen) == 100
+    assert {(r.id, r.comp) for r in got} == {(i, i % 100) for i in range(200)}
+
+
+def test_jaccard_parities():
+    cut = jaccard.Shingler(1)
+    draw = random.Random(4)
+    sets = [set(draw.sample(range(900), draw.choice([0, 1, 40, 300]))) for _ in range(40)]
+    odd = jaccard.parities(*cut.many([" ".join(map(str, sorted(x))) for x in sets]))
+    for a, x in zip(odd, sets):
+        for b, y in zip(odd, sets):
+            assert sum(int(v).bit_count() for v in (a ^ b).view(np.uint64)) <= len(x ^ y)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, stored, table
+from tidemark.llm.common import fresh, slices, stored, table
 from tidemark.llm.links import linked_groups
 from tidemark.operators.skew import split_join
 
+#: 64-bit words of a set's parities.
+_PARITY = 4
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
@@ -27,32 +30,50 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Words(dict):
+    """64-bit hashes of words, made when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        made = self[word] = xxhash.xxh3_64_intdigest(word)
+        return made
+
+
 class Shingler:
-    """64-bit hashes of the distinct word n-grams of a text, sorted; keeps at most ``cached`` word hashes."""
+    """64-bit hashes of the distinct word n-grams of texts, sorted; keeps about ``cached`` word hashes."""
 
     def __init__(self, n: int, cached: int = 300_000):
-        self.n, self.cached, self.known = n, cached, {}
+        self.n, self.cached, self.known = n, cached, _Words()
+
+    def many(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The sets of all texts, one behind the other, and the bounds between them."""
+        if len(self.known) > self.cached:
+            self.known.clear()
+        words = [words_of(t) for t in texts]
+        sizes = np.array([len(w) for w in words], np.int64)
+        total = int(sizes.sum())
+        hashes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.uint64, total)
+        # Texts of fewer words are one gram of all their words.
+        widths = np.minimum(sizes, self.n)
+        grams = np.where(sizes > 0, sizes - widths + 1, 0)
+        owner = np.repeat(np.arange(len(texts)), grams)
+        first = (np.cumsum(sizes) - sizes)[owner] + np.arange(len(owner)) - (np.cumsum(grams) - grams)[owner]
+        width = widths[owner]
+        mixed = width.astype(np.uint64)
+        for i in range(self.n):
+            at = first if i == 0 else first[width > i]
+            held = slice(None) if len(at) == len(first) else width > i
+            mixed[held] = _mix(mixed[held] * np.uint64(_ODD[0]) + hashes[at + i] * np.uint64(_ODD[1]) + np.uint64(_ODD[2]))
+        ends = np.cumsum(grams)
+        for low, high in zip((ends - grams).tolist(), ends.tolist()):
+            mixed[low:high].sort()
+        new = np.ones(len(mixed), bool)
+        new[1:] = (mixed[1:] != mixed[:-1]) | (owner[1:] != owner[:-1])
+        return mixed[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(texts)))]).astype(np.int64)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        import xxhash
-
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, np.uint64)
-        known, digest = self.known, xxhash.xxh3_64_intdigest
-        if len(known) > self.cached:
-            known.clear()
-        hashes = np.empty(len(words), np.uint64)
-        for i, w in enumerate(words):
-            h = known.get(w)
-            if h is None:
-                h = known[w] = digest(w)
-            hashes[i] = h
-        n = min(self.n, len(words))
-        mixed = np.full(len(words) - n + 1, n, np.uint64)
-        for i in range(n):
-            mixed = _mix(mixed * np.uint64(_ODD[0]) + hashes[i : len(words) - n + 1 + i] * np.uint64(_ODD[1]) + np.uint64(_ODD[2]))
-        return np.unique(mixed)
+        return self.many([text])[0]
 
 
 class Bands:
@@ -99,23 +120,47 @@ class Bands:
         return self.plans[band]
 
 
-def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index keys of one set with their roles: home band or the one below, full segment or one-deletion."""
-    own, keys, home, full = bands.of(len(hashes)), [], [], []
-    for band in (own, own - 1) if own else (own,):
-        m, d = bands.plan(band)
-        segment = (_mix(hashes ^ np.uint64(_ODD[2])) % np.uint64(m)).astype(np.int64)
-        element = _mix(hashes + np.uint64(_ODD[1]))
-        sums = np.zeros(m, np.uint64)
-        np.add.at(sums, segment, element)
-        salt = _mix(np.arange(m, dtype=np.uint64) + np.uint64((band + 1) * _ODD[0] % 2**64))
-        shorter = segment < d  # segments are cut by hash, so any d of them are alike
-        made = [_mix(sums ^ salt), _mix((sums[segment] - element)[shorter] ^ salt[segment[shorter]])]
-        for keys_, is_full in zip(made, (True, False)):
+def signatures(hashes: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Index keys of sets that lie one behind the other, the set of each, and its roles: home band or the one below, full segment or one-deletion."""
+    size = np.diff(bounds)
+    known = {n: bands.of(n) for n in np.unique(size[size > 0]).tolist()}
+    own = np.array([known.get(n, -1) for n in size.tolist()], np.int64)
+    place, element = _mix(hashes ^ np.uint64(_ODD[2])), _mix(hashes + np.uint64(_ODD[1]))
+    owner = np.repeat(np.arange(len(size)), size)
+    keys, sets, home, full = [], [], [], []
+    for below in (0, 1):
+        band = own - below
+        plans = {b: bands.plan(b) for b in np.unique(band[band >= 0]).tolist()}
+        m, d = np.array([plans.get(b, (0, 0)) for b in band.tolist()], np.int64).reshape(-1, 2).T
+        held = slice(None) if (m > 0).all() else (m > 0)[owner]
+        mine, parts = owner[held], element[held]
+        segment = place[held] % m[mine].astype(np.uint64)
+        at = (np.cumsum(m) - m)[mine] + segment.astype(np.int64)
+        sums = np.zeros(int(m.sum()), np.uint64)
+        np.add.at(sums, at, parts)
+        whose = np.repeat(np.arange(len(size)), m)
+        number = (np.arange(len(sums)) - (np.cumsum(m) - m)[whose]).astype(np.uint64)
+        salt = _mix(number + (band[whose] + 1).astype(np.uint64) * np.uint64(_ODD[0]))
+        shorter = segment < d[mine].astype(np.uint64)  # segments are cut by hash, so any d of them are alike
+        less = at[shorter]
+        for keys_, sets_, is_full in ((_mix(sums ^ salt), whose, True), (_mix((sums[less] - parts[shorter]) ^ salt[less]), mine[shorter], False)):
             keys.append(keys_)
-            home.append(np.full(len(keys_), band == own))
+            sets.append(sets_)
+            home.append(np.full(len(keys_), below == 0))
             full.append(np.full(len(keys_), is_full))
-    return np.concatenate(keys).view(np.int64), np.concatenate(home), np.concatenate(full)
+    return np.concatenate(keys).view(np.int64), np.concatenate(sets), np.concatenate(home), np.concatenate(full)
+
+
+def parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each of some sets that lie one behind the other, which of 64 * ``_PARITY`` bins hold an odd number of its elements.
+
+    Two sets' parities differ in no more bins than there are elements in just one of the sets.
+    """
+    size = np.diff(bounds)
+    bins = _mix(hashes + np.uint64(_ODD[2])) % np.uint64(64 * _PARITY)
+    out = np.zeros((len(size), _PARITY), np.uint64)
+    np.bitwise_xor.at(out, (np.repeat(np.arange(len(size)), size), (bins >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bins & np.uint64(63)))
+    return out.view(np.int64)
 
 
 def chance_agreement(texts: DataFrame, number: int, elements, sample: int) -> float:
@@ -145,40 +190,45 @@ def jaccard_groups(
     """
     import hashlib
 
+    odd = [f"odd{i}" for i in range(_PARITY)]
+
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingler(n)
-        for batch in batches:
-            sizes, prints = [], []
-            for t in batch.column(1).to_pylist():
-                hashes = cut(t)
-                sizes.append(len(hashes))
-                prints.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
-            yield pa.RecordBatch.from_pydict({"id": batch.column(0), "n": pa.array(sizes, pa.int64()), "print": pa.array(prints, pa.binary()), "hash": batch.column(2)})
+        for part, texts_ in slices(batches, 1 << 19):
+            hashes, bounds = cut.many(texts_)
+            raw, ends = memoryview(hashes.tobytes()), (8 * bounds).tolist()
+            prints = [hashlib.blake2b(raw[a:b], digest_size=16).digest() if b > a else None for a, b in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_pydict({"id": part.column(0), "n": pa.array(np.diff(bounds)), "print": pa.array(prints, pa.binary()), "hash": part.column(1), **dict(zip(odd, map(pa.array, parities(hashes, bounds).T)))})
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingler(n)
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(cut(t).view(np.int64))], names=["element"])
+        for _, texts_ in slices(batches, 1 << 19):
+            yield pa.RecordBatch.from_arrays([pa.array(cut.many(texts_)[0].view(np.int64))], names=["element"])
 
     source = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("hash", F.xxhash64("text"))
-    sets = stored(source.mapInArrow(shingle, "id bigint, n bigint, print binary, hash bigint"), "sets")
+    sets = stored(source.select("id", "hash", "text").mapInArrow(shingle, "id bigint, n bigint, print binary, hash bigint, " + ", ".join(f"{c} bigint" for c in odd)), "sets")
     # A class is known by 64 bits of its digest; it keeps the smallest key and one text of that key, whatever else the key has.
-    classes = sets.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep"), F.min_by("hash", "id").alias("hash"))
+    classes = sets.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep"), F.min_by("hash", "id").alias("hash"), *[F.min(c).alias(c) for c in ("n", *odd)])
     classes = stored(classes.withColumn("class", F.xxhash64("print")), "classes")
-    picked = split_join(source, classes.select(F.col("rep").alias("id"), "hash", "class"), ["id", "hash"])
-    texts = stored(picked.groupBy("class").agg(F.min("text").alias("text")).withColumnRenamed("class", "id"), "texts")
+    # Repeated rows of a class meet where it was joined, so each text is shuffled once.
+    named = classes.select(F.col("rep").alias("id"), "hash", "class")
+    picked = source.repartition("id", "hash").join(named.repartition("id", "hash"), ["id", "hash"])
+    texts = picked.groupBy("id", "hash", "class").agg(F.min("text").alias("text"))
+    texts = stored(texts.select(F.col("class").alias("id"), "text"), "texts")
     number = classes.count()
     bands = Bands(percent, number, chance_agreement(texts, number, elements, sample))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingler(n)
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                hashes = cut(t)
-                if len(hashes):
-                    keys, home, full = signatures(hashes, bands)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), i)), pa.array(home), pa.array(full)], names=["key", "id", "home", "full"])
+        for part, texts_ in slices(batches, 1 << 19):
+            keys, owner, home, full = signatures(*cut.many(texts_), bands)
+            if len(keys):
+                yield pa.RecordBatch.from_arrays([pa.array(keys), part.column(0).take(pa.array(owner)), pa.array(home), pa.array(full)], names=["key", "id", "home", "full"])
+
+    def near(x: Column, y: Column) -> Column:
+        unlike = sum((F.bit_count(x[c].bitwiseXOR(y[c])) for c in odd[1:]), F.bit_count(x[odd[0]].bitwiseXOR(y[odd[0]])))
+        # Sets that link differ in at most this share of their elements; their sizes and parities differ in no more.
+        return F.greatest(unlike, F.abs(x["n"] - y["n"])) * (100 + percent) <= (x["n"] + y["n"]) * (100 - percent)
 
     def verify(pairs: DataFrame) -> DataFrame:
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,10 +251,11 @@ def jaccard_groups(
 
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint")
+        # Written first, so that Spark knows how few they are and need not shuffle texts to meet them.
+        return stored(pairs, "pairs").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint")
 
-    members = stored(texts.mapInArrow(index, "key bigint, id bigint, home boolean, full boolean"), "members")
-    groups = linked_groups(members, verify).withColumnsRenamed({"id": "class", "comp": "root"})
+    members = texts.mapInArrow(index, "key bigint, id bigint, home boolean, full boolean")
+    groups = linked_groups(members, verify, classes.select(F.col("class").alias("id"), F.struct("n", *odd).alias("trait")), near).withColumnsRenamed({"id": "class", "comp": "root"})
     rooted = classes.join(groups, "class", "left").select("print", "rep", F.coalesce("root", "class").alias("root"))
     # Representatives are the smallest keys of their classes, so the smallest representative is the group's.
     named = split_join(rooted, rooted.groupBy("root").agg(F.min("rep").alias("least")), ["root"]).select("print", "least")
