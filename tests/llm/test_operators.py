@@ -430,3 +430,22 @@ def test_jaccard_parities():
     for a, x in zip(odd, sets):
         for b, y in zip(odd, sets):
             assert sum(int(v).bit_count() for v in (a ^ b).view(np.uint64)) <= len(x ^ y)
+
+
+def test_lm_many_words_together():
+    """Lattices of many words at once against those of single words: all lengths, scripts, bytes and the longest words."""
+    pieces, draw = lm.read_pieces(lm.vocabulary_path()), random.Random(6)
+    lattices = lm.Lattices(pieces)
+    letters = ["the", "e", "ing", "é", "ß", "ation", "漢", "\U0001f600", "́", "1", "$", "q", "\x00", "▁", "?"]
+    words = ["".join(draw.choices(letters, k=draw.randint(1, 9))) for _ in range(600)] + ["漢" * 39, "\x01" * 38, "x" * 300, "a", "é"]
+    assert np.allclose(lattices.score_many(words), [pieces.score(w) for w in words], rtol=1e-9)
+    weights = np.array([draw.randint(1, 50) for _ in words])
+    sums, got, want = np.zeros(len(lattices.names)), Counter(), Counter()
+    lattices.expected_many(words, weights, sums, got)
+    for i in np.flatnonzero(sums).tolist():
+        got[lattices.names[i]] += sums[i]
+    for w, n in zip(words, weights.tolist()):
+        pieces.expected(w, n, want)
+    for p in got.keys() | want.keys():
+        assert math.isclose(got[p], want[p], rel_tol=1e-6, abs_tol=1e-9), p
+    assert len(lattices.score_many([])) == 0

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import remainder, stored, table
+from tidemark.llm.common import remainder, slices, stored, table
 
 MARK = "▁"
 _FLOOR = 1e-12
@@ -67,6 +67,134 @@ class Pieces:
                 beta[start] = through if beta[start] == -math.inf else float(np.logaddexp(beta[start], through))
 
 
+class Lattices:
+    """The word lattice of ``Pieces`` over many words at once; words of one length share their steps.
+
+    Sums run over probabilities, not their logarithms; the few words that would leave the range of a double, or
+    are longer than ``LONG`` characters, go through ``Pieces`` one by one.
+    """
+
+    LONG, BLOCK, LEAST = 40, 2048, 1e-200
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.names = pieces, list(pieces.scores)
+        keys = np.array([self._hash(np.array([[ord(c) for c in p]], np.uint64))[0] for p in self.names], np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.number = keys[order], order
+        if len(np.unique(keys)) < len(keys):
+            raise ValueError("two pieces of the vocabulary have one hash")
+        self.chance = np.exp(np.array([pieces.scores[p] for p in self.names], np.float64))
+        # A table of bits passes few substrings but pieces on to the search.
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        self.byte = math.exp(pieces.byte_score)
+
+    @staticmethod
+    def _step(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+        h = (h ^ c) * np.uint64(0x9E3779B97F4A7C15)
+        return h ^ (h >> np.uint64(29))
+
+    @classmethod
+    def _hash(cls, codes: np.ndarray) -> np.ndarray:
+        h = np.full(len(codes), codes.shape[1], np.uint64)
+        for i in range(codes.shape[1]):
+            h = cls._step(h, codes[:, i])
+        return cls._end(h)
+
+    @staticmethod
+    def _end(h: np.ndarray) -> np.ndarray:
+        return h * np.uint64(0xC2B2AE3D27D4EB4F)
+
+    def _edges(self, codes: np.ndarray) -> list[list[tuple[int, np.ndarray | None, np.ndarray | None, np.ndarray]]]:
+        """For each end: (start, rows, numbers, chances) of its pieces; (end - 1, None, None, chances) where bytes spell a character."""
+        n, out = codes.shape[1], [[] for _ in range(codes.shape[1] + 1)]
+        for size in range(1, min(n, self.pieces.longest) + 1):
+            h = np.full((len(codes), n - size + 1), size, np.uint64)
+            for i in range(size):
+                h = self._step(h, codes[:, i : n - size + 1 + i])
+            h = self._end(h)
+            row, start = np.nonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
+            found = h[row, start]
+            at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+            held = self.keys[at] == found
+            row, start, number = row[held], start[held], self.number[at[held]]
+            order = np.argsort(start, kind="stable")
+            cuts = np.searchsorted(start[order], np.arange(n - size + 2))
+            for s in range(n - size + 1):
+                some = order[cuts[s] : cuts[s + 1]]
+                if len(some):
+                    out[s + size].append((s, row[some], number[some], self.chance[number[some]]))
+            if size == 1:
+                spelled = np.ones(codes.shape, bool)
+                spelled[row, start] = False
+                width = 1 + (codes > 0x7F).astype(int) + (codes > 0x7FF) + (codes > 0xFFFF)
+                # A lone surrogate is written as a question mark.
+                width[(codes >= 0xD800) & (codes <= 0xDFFF)] = 1
+                for s in np.flatnonzero(spelled.any(axis=0)).tolist():
+                    out[s + 1].append((s, None, None, np.where(spelled[:, s], self.byte ** width[:, s].astype(float), 0.0)))
+        return out
+
+    def _blocks(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Places of words of one length with their characters; None for those that ``Pieces`` takes."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        for size in np.unique(sizes).tolist():
+            places = np.flatnonzero(sizes == size)
+            for i in range(0, len(places), self.BLOCK):
+                some = places[i : i + self.BLOCK]
+                if size >= self.LONG:
+                    yield some, None
+                else:
+                    raw = "".join([MARK + words[j] for j in some.tolist()]).encode("utf-32-le", "surrogatepass")
+                    yield some, np.frombuffer(raw, "<u4").reshape(len(some), size + 1).astype(np.uint64)
+
+    @staticmethod
+    def _forward(edges, rows: int) -> np.ndarray:
+        alpha = np.zeros((len(edges), rows))
+        alpha[0] = 1.0
+        for end in range(1, len(edges)):
+            for start, row, _, chance in edges[end]:
+                if row is None:
+                    alpha[end] += alpha[start] * chance
+                else:
+                    alpha[end, row] += alpha[start, row] * chance
+        return alpha
+
+    def score_many(self, words: list[str]) -> np.ndarray:
+        """``Pieces.score`` of each word."""
+        out = np.zeros(len(words))
+        for places, codes in self._blocks(words):
+            total = np.zeros(len(places)) if codes is None else self._forward(self._edges(codes), len(places))[-1]
+            good = total > self.LEAST
+            out[places[good]] = np.log(total[good])
+            for j in places[~good].tolist():
+                out[j] = self.pieces.score(words[j])
+        return out
+
+    def expected_many(self, words: list[str], weights: np.ndarray, sums: np.ndarray, others: Counter) -> None:
+        """Adds what ``Pieces.expected`` adds for each word: to ``sums`` by the piece's place, else to ``others``."""
+        for places, codes in self._blocks(words):
+            if codes is None:
+                good = np.zeros(len(places), bool)
+            else:
+                edges = self._edges(codes)
+                alpha = self._forward(edges, len(places))
+                good = alpha[-1] > self.LEAST
+                beta = np.zeros_like(alpha)
+                beta[-1] = np.where(good, np.asarray(weights, float)[places] / np.where(good, alpha[-1], 1.0), 0.0)
+                for end in range(len(edges) - 1, 0, -1):
+                    for start, row, number, chance in edges[end]:
+                        if row is None:
+                            through = beta[end] * chance
+                            others[""] += float((alpha[start] * through).sum())
+                            beta[start] += through
+                        else:
+                            through = beta[end, row] * chance
+                            np.add.at(sums, number, alpha[start, row] * through)
+                            beta[start, row] += through
+            for j in places[~good].tolist():
+                self.pieces.expected(words[j], float(weights[j]), others)
+
+
 def read_pieces(path: str) -> Pieces:
     """Pieces of a vocabulary file; its scores order them, and the start weights fall with that order."""
     import sentencepiece
@@ -117,11 +245,14 @@ def fit_pieces(counts: DataFrame, ends: int, start: Pieces, rounds: int = 2, smo
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             into: Counter = Counter()
+            lattices = Lattices(shared.value)
+            sums = np.zeros(len(lattices.names))
             for batch in batches:
-                for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    shared.value.expected(w, c, into)
+                lattices.expected_many(batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False), sums, into)
+            for i in np.flatnonzero(sums).tolist():
+                into[lattices.names[i]] += sums[i]
             if into:
-                yield pa.RecordBatch.from_pydict({"piece": list(into), "n": pa.array(list(into.values()), pa.float64())})
+                yield pa.RecordBatch.from_pydict({"piece": list(into), "n": pa.array([float(x) for x in into.values()], pa.float64())})
 
         sums = {r["piece"]: r["n"] for r in counts.mapInArrow(work, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
         bytes_ = sums.pop("", 0.0) + smooth
@@ -154,45 +285,55 @@ def score_documents(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, common = model.value
+        lattices = Lattices(lattice)
         known: dict[bytes, float] = {}
         base_of = {w: math.log10((c + 0.1) / below) for w, c in common.items()}
         end = math.log10((ends + 0.1) / below)
         ten = math.log(10)
-        for batch in batches:
-            for row, k, learnt, t in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                bag = Counter((t or "").encode("utf-8", "replace").lower().split())
-                if len(known) > cached:
-                    known.clear()
-                base, score, hits, rare = end, lattice.end_score, int(ends > 0), []
-                for w, times in bag.items():
-                    p = known.get(w)
-                    if p is None:
-                        p = known[w] = lattice.score(w.decode())
-                    score += times * p
+        for part, texts in slices(batches, 1 << 20):
+            if len(known) > cached:
+                known.clear()
+            bags = [Counter((t or "").encode("utf-8", "replace").lower().split()) for t in texts]
+            new = list(set().union(*bags).difference(known))
+            known.update(zip(new, lattices.score_many([w.decode() for w in new]).tolist()))
+            tokens, bases, scores, hits, sizes, rare, times = [], [], [], [], [], [], []
+            for row, bag in zip(part.column(0).to_pylist(), bags):
+                base, score, hit, before = end, lattice.end_score, int(ends > 0), len(rare)
+                # A row's own figures travel under a word that no text can hold, as it has a blank.
+                rare.append(b" %d" % row)
+                times.append(0)
+                for w, n_ in bag.items():
+                    score += n_ * known[w]
                     b = base_of.get(w)
                     if b is None:
-                        rare.append((w, times))
+                        rare.append(w)
+                        times.append(n_)
                     else:
-                        base += times * b
-                        hits += times
-                m = len(rare) + 1
-                # A row's own figures travel under a word that no text can hold, as it has a blank.
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([row] * m, pa.int64()), pa.array([f" {row}", *(w.decode() for w, _ in rare)], pa.string()),
-                    pa.array([0, *(x for _, x in rare)], pa.int64()), pa.array([k] + [None] * (m - 1), pa.int64()),
-                    pa.array([learnt] + [None] * (m - 1), pa.bool_()), pa.array([sum(bag.values()) + 1] + [None] * (m - 1), pa.int64()),
-                    pa.array([hits] + [None] * (m - 1), pa.int64()), pa.array([base] + [None] * (m - 1), pa.float64()),
-                    pa.array([score / ten] + [None] * (m - 1), pa.float64()),
-                ], names=["row", "word", "times", "k", "learn", "n_tokens", "hits", "base", "score"])
+                        base += n_ * b
+                        hit += n_
+                tokens.append(bag.total() + 1)
+                bases.append(base)
+                scores.append(score / ten)
+                hits.append(hit)
+                sizes.append(len(rare) - before)
+            owner = np.repeat(np.arange(len(bags)), sizes)
+            first = np.ones(len(owner), bool)
+            first[1:] = owner[1:] != owner[:-1]
+            own = pa.array(np.where(first, owner, 0), pa.int64(), mask=~first)
+            # One struct, so that all other rows are narrow in the shuffle.
+            figures = pa.StructArray.from_arrays([part.column(1), part.column(2), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64()), pa.array(bases, pa.float64()), pa.array(scores, pa.float64())], names=["k", "learn", "n_tokens", "hits", "base", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(owner)), pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int64()), figures.take(own)],
+                names=["row", "word", "times", "own"])
 
     numbered = source.select(F.monotonically_increasing_id().alias("row"), F.col("k").cast("bigint").alias("k"), "learn", "t")
-    bags = numbered.mapInArrow(work, "row bigint, word string, times bigint, k bigint, learn boolean, n_tokens bigint, hits bigint, base double, score double")
+    bags = numbered.mapInArrow(work, "row bigint, word string, times bigint, own struct<k:bigint,learn:boolean,n_tokens:bigint,hits:bigint,base:double,score:double>")
     met = bags.join(counts, "word", "left")
     rare_score = F.sum(F.when(F.col("times") > 0, F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(below))).otherwise(0.0))
     one = met.groupBy("row").agg(
-        F.max("k").alias(key), F.max("learn").alias("learn"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("hits") + F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0))).alias("n_known"),
-        (F.max("base") + rare_score).alias("base_score"), F.max("score").alias("score"),
+        F.max("own.k").alias(key), F.max("own.learn").alias("learn"), F.max("own.n_tokens").alias("n_tokens"),
+        (F.max("own.hits") + F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0))).alias("n_known"),
+        (F.max("own.base") + rare_score).alias("base_score"), F.max("own.score").alias("score"),
     )
     return one.select(key, "learn", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
