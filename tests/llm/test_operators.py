@@ -449,3 +449,15 @@ def test_lm_many_words_together():
     for p in got.keys() | want.keys():
         assert math.isclose(got[p], want[p], rel_tol=1e-6, abs_tol=1e-9), p
     assert len(lattices.score_many([])) == 0
+
+
+def test_lm_pieces_hashed_together(monkeypatch):
+    """A lattice hashes the pieces of one length at once, and a word's substrings one character on: few calls, whatever the vocabulary."""
+    calls, step = [], lm.Lattices._step
+    monkeypatch.setattr(lm.Lattices, "_step", staticmethod(lambda h, c: calls.append(1) or step(h, c)))
+    pieces = lm.Pieces({f"{i:04}"[: 1 + i % 4] + "abcd"[: i % 3]: -5.0 for i in range(2000)}, -6.0, -2.0)
+    lattices = lm.Lattices(pieces)
+    assert len(calls) <= sum(range(1, pieces.longest + 1))
+    calls.clear()
+    assert np.allclose(lattices.score_many(["0001ab", "12"]), [pieces.score("0001ab"), pieces.score("12")])
+    assert len(calls) <= 2 * pieces.longest

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,15 +79,20 @@ class Lattices:
 
     def __init__(self, pieces: Pieces):
         self.pieces, self.names = pieces, list(pieces.scores)
-        keys = np.array([self._hash(np.array([[ord(c) for c in p]], np.uint64))[0] for p in self.names], np.uint64)
+        keys, sizes = np.zeros(len(self.names), np.uint64), np.array([len(p) for p in self.names], np.int64)
+        for size in np.unique(sizes).tolist():
+            alike = np.flatnonzero(sizes == size)
+            keys[alike] = self._hash(self._codes([self.names[i] for i in alike.tolist()], size))
         order = np.argsort(keys)
         self.keys, self.number = keys[order], order
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two pieces of the vocabulary have one hash")
         self.chance = np.exp(np.array([pieces.scores[p] for p in self.names], np.float64))
-        # A table of bits passes few substrings but pieces on to the search.
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        # By a hash's first bits, the place of the first piece with these, or -1; pieces of like bits lie one behind the other.
+        bits = (self.keys >> np.uint64(44)).astype(np.int64)
+        self.places = np.full(1 << 20, -1, np.int32)
+        self.places[bits[::-1]] = np.arange(len(bits), dtype=np.int32)[::-1]
+        self.alike = int(np.bincount(bits).max(initial=0))
         self.byte = math.exp(pieces.byte_score)
 
     @staticmethod
@@ -96,26 +102,33 @@ class Lattices:
 
     @classmethod
     def _hash(cls, codes: np.ndarray) -> np.ndarray:
-        h = np.full(len(codes), codes.shape[1], np.uint64)
+        h = np.zeros(len(codes), np.uint64)
         for i in range(codes.shape[1]):
             h = cls._step(h, codes[:, i])
-        return cls._end(h)
+        return cls._end(h, codes.shape[1])
+
+    @staticmethod
+    def _end(h: np.ndarray, size: int) -> np.ndarray:
+        return (h ^ np.uint64(size << 40)) * np.uint64(0xC2B2AE3D27D4EB4F)
 
     @staticmethod
-    def _end(h: np.ndarray) -> np.ndarray:
-        return h * np.uint64(0xC2B2AE3D27D4EB4F)
+    def _codes(words: list[str], size: int) -> np.ndarray:
+        raw = "".join(words).encode("utf-32-le", "surrogatepass")
+        return np.frombuffer(raw, "<u4").reshape(len(words), size).astype(np.uint64)
 
     def _edges(self, codes: np.ndarray) -> list[list[tuple[int, np.ndarray | None, np.ndarray | None, np.ndarray]]]:
         """For each end: (start, rows, numbers, chances) of its pieces; (end - 1, None, None, chances) where bytes spell a character."""
         n, out = codes.shape[1], [[] for _ in range(codes.shape[1] + 1)]
+        grown = np.zeros(codes.shape, np.uint64)
         for size in range(1, min(n, self.pieces.longest) + 1):
-            h = np.full((len(codes), n - size + 1), size, np.uint64)
-            for i in range(size):
-                h = self._step(h, codes[:, i : n - size + 1 + i])
-            h = self._end(h)
-            row, start = np.nonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
-            found = h[row, start]
-            at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+            # Each substring's hash is its beginning's, one character on.
+            grown = self._step(grown[:, : n - size + 1], codes[:, size - 1 :])
+            h = self._end(grown, size)
+            place = self.places[(h >> np.uint64(44)).astype(np.int64)]
+            row, start = np.nonzero(place >= 0)
+            found, at = h[row, start], place[row, start]
+            for _ in range(1, self.alike):
+                at = np.minimum(at + (self.keys[at] < found), len(self.keys) - 1)
             held = self.keys[at] == found
             row, start, number = row[held], start[held], self.number[at[held]]
             order = np.argsort(start, kind="stable")
@@ -144,8 +157,7 @@ class Lattices:
                 if size >= self.LONG:
                     yield some, None
                 else:
-                    raw = "".join([MARK + words[j] for j in some.tolist()]).encode("utf-32-le", "surrogatepass")
-                    yield some, np.frombuffer(raw, "<u4").reshape(len(some), size + 1).astype(np.uint64)
+                    yield some, self._codes([MARK + words[j] for j in some.tolist()], size + 1)
 
     @staticmethod
     def _forward(edges, rows: int) -> np.ndarray:
@@ -290,45 +302,51 @@ def score_documents(
         base_of = {w: math.log10((c + 0.1) / below) for w, c in common.items()}
         end = math.log10((ends + 0.1) / below)
         ten = math.log(10)
-        for part, texts in slices(batches, 1 << 20):
+        for part, texts in slices(batches, 1 << 23):
             if len(known) > cached:
                 known.clear()
             bags = [Counter((t or "").encode("utf-8", "replace").lower().split()) for t in texts]
-            new = list(set().union(*bags).difference(known))
+            names = list(set().union(*bags))
+            new = [w for w in names if w not in known]
             known.update(zip(new, lattices.score_many([w.decode() for w in new]).tolist()))
-            tokens, bases, scores, hits, sizes, rare, times = [], [], [], [], [], [], []
-            for row, bag in zip(part.column(0).to_pylist(), bags):
-                base, score, hit, before = end, lattice.end_score, int(ends > 0), len(rare)
-                # A row's own figures travel under a word that no text can hold, as it has a blank.
-                rare.append(b" %d" % row)
-                times.append(0)
-                for w, n_ in bag.items():
-                    score += n_ * known[w]
-                    b = base_of.get(w)
-                    if b is None:
-                        rare.append(w)
-                        times.append(n_)
-                    else:
-                        base += n_ * b
-                        hit += n_
-                tokens.append(bag.total() + 1)
-                bases.append(base)
-                scores.append(score / ten)
-                hits.append(hit)
-                sizes.append(len(rare) - before)
-            owner = np.repeat(np.arange(len(bags)), sizes)
-            first = np.ones(len(owner), bool)
-            first[1:] = owner[1:] != owner[:-1]
-            own = pa.array(np.where(first, owner, 0), pa.int64(), mask=~first)
-            # One struct, so that all other rows are narrow in the shuffle.
-            figures = pa.StructArray.from_arrays([part.column(1), part.column(2), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64()), pa.array(bases, pa.float64()), pa.array(scores, pa.float64())], names=["k", "learn", "n_tokens", "hits", "base", "score"])
+            sizes = np.array([len(bag) for bag in bags], np.int64)
+            owner, total = np.repeat(np.arange(len(bags)), sizes), int(sizes.sum())
+            place = dict(zip(names, range(len(names))))
+            word = np.fromiter(map(place.__getitem__, chain.from_iterable(bags)), np.int64, total)
+            times = np.fromiter(chain.from_iterable(bag.values() for bag in bags), np.int64, total)
+            chance = np.fromiter(map(known.__getitem__, names), np.float64, len(names))
+            often_base = np.array([base_of.get(w, math.nan) for w in names], np.float64)
+            here = ~np.isnan(often_base)[word]
+
+            def summed(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+                return np.bincount(of, values, len(bags))
+
+            rows = part.column(0).to_numpy(zero_copy_only=False)
+            figures = pa.StructArray.from_arrays([
+                part.column(1), part.column(2), pa.array((summed(times, owner) + 1).astype(np.int64)),
+                pa.array((summed(times[here], owner[here]) + int(ends > 0)).astype(np.int64)),
+                pa.array(summed(times[here] * often_base[word[here]], owner[here]) + end),
+                pa.array((summed(times * chance[word], owner) + lattice.end_score) / ten),
+            ], names=["k", "learn", "n_tokens", "hits", "base", "score"])
+            # One row for each rare word of the slice and each number of times, with the texts that hold it so often.
+            rare = np.flatnonzero(~here)
+            group = word[rare] * (times.max(initial=0) + 1) + times[rare]
+            order = np.argsort(group, kind="stable")
+            rare, starts = rare[order], np.flatnonzero(np.diff(group[order], prepend=-1))
+            # A row's own figures travel under a word that no text can hold, as it has a blank.
+            spelled = [names[i] for i in word[rare[starts]].tolist()] + [b" %d" % r for r in rows.tolist()]
+            often_there = np.concatenate([times[rare[starts]], np.zeros(len(bags), np.int64)])
+            offsets = np.concatenate([starts, len(rare) + np.arange(len(bags) + 1)])
+            holders = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([rows[owner[rare]], rows])))
+            at = np.arange(len(spelled)) - len(starts)
+            own = pa.array(np.maximum(at, 0), pa.int64(), mask=at < 0)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(owner)), pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int64()), figures.take(own)],
-                names=["row", "word", "times", "own"])
+                [pa.array(spelled, pa.binary()).cast(pa.string()), pa.array(often_there), holders, figures.take(own)],
+                names=["word", "times", "rows", "own"])
 
     numbered = source.select(F.monotonically_increasing_id().alias("row"), F.col("k").cast("bigint").alias("k"), "learn", "t")
-    bags = numbered.mapInArrow(work, "row bigint, word string, times bigint, own struct<k:bigint,learn:boolean,n_tokens:bigint,hits:bigint,base:double,score:double>")
-    met = bags.join(counts, "word", "left")
+    bags = numbered.mapInArrow(work, "word string, times bigint, rows array<bigint>, own struct<k:bigint,learn:boolean,n_tokens:bigint,hits:bigint,base:double,score:double>")
+    met = bags.join(counts, "word", "left").select("c", "times", "own", F.explode("rows").alias("row"))
     rare_score = F.sum(F.when(F.col("times") > 0, F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(below))).otherwise(0.0))
     one = met.groupBy("row").agg(
         F.max("own.k").alias(key), F.max("own.learn").alias("learn"), F.max("own.n_tokens").alias("n_tokens"),
