@@ -461,3 +461,16 @@ def test_lm_pieces_hashed_together(monkeypatch):
     calls.clear()
     assert np.allclose(lattices.score_many(["0001ab", "12"]), [pieces.score("0001ab"), pieces.score("12")])
     assert len(calls) <= 2 * pieces.longest
+
+
+def test_bpe_plain_words_need_no_pattern():
+    """The vocabulary is read once per process, and chunks of letters only are words without a search."""
+    with open(bpe.vocabulary_path(), "rb") as f:
+        raw = f.read()
+    vocabulary = bpe.read_vocabulary(raw)
+    assert bpe.read_vocabulary(bytes(bytearray(raw))) is vocabulary
+    found, plain = [], bpe.Vocabulary(raw)
+    plain._ascii = plain._words = lambda chunk: found.append(chunk) or vocabulary.words(chunk)
+    for chunk in ("a", " Word", "word", " it's", "\nword", " 1a", " ", "", "  a", " \u00e9t\u00e9"):
+        assert plain.words(chunk) == (vocabulary._ascii if chunk.isascii() else vocabulary._words)(chunk)
+    assert found == [" it's", "\nword", " 1a", " ", "", "  a", " \u00e9t\u00e9"]

@@ -7,6 +7,7 @@ import json
 import re
 from collections import ChainMap, Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +66,9 @@ class Vocabulary:
 
     def words(self, chunk: str) -> list[str]:
         """The words of a text, as the vocabulary splits it."""
+        # Letters only, with or without a blank before them: one word.
+        if chunk.isascii() and (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
+            return [chunk]
         return self._ascii(chunk) if chunk.isascii() else self._words(chunk)
 
     def merge_many(self, words: list[bytes]) -> list[bytes]:
@@ -153,6 +157,12 @@ class Vocabulary:
         return [x for x, dead in zip(ids, gone) if not dead]
 
 
+@lru_cache(2)
+def read_vocabulary(raw: bytes) -> Vocabulary:
+    """``Vocabulary`` of a file, read once per process."""
+    return Vocabulary(raw)
+
+
 def build_transducer(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
     """Minimal acyclic automaton over sorted distinct words, with their ids as output.
 
@@ -220,7 +230,9 @@ class Transducer:
         for n in lengths:
             parts.append(whole[at : at + n])
             at += n
-        self.keys, self.targets, self.skips, self.final, self.offsets, self.ids = parts
+        # Plain views of the mapped file: slices of them cost less.
+        self.keys, self.targets, self.skips, self.final, self.offsets, ids = map(np.asarray, parts)
+        self.ids = ids.astype("<i4").tobytes()
         self.root = len(self.final) - 1
 
     def find(self, words: list[bytes]) -> list[bytes | None]:
@@ -244,8 +256,12 @@ class Transducer:
             number[at] += self.skips[edge]
             state[at] = self.targets[edge]
         alive &= self.final[state] == 1
-        return [self.ids[self.offsets[n] : self.offsets[n + 1]].astype("<i4").tobytes() if ok else None
-                for n, ok in zip(number.tolist(), alive.tolist())]
+        out: list[bytes | None] = [None] * len(words)
+        found = np.flatnonzero(alive)
+        ids, number = self.ids, number[found]
+        for i, a, b in zip(found.tolist(), (4 * self.offsets[number]).tolist(), (4 * self.offsets[number + 1]).tolist()):
+            out[i] = ids[a:b]
+        return out
 
 
 def count_words(docs: DataFrame, vocabulary_file: bytes, text: str = "text", flush: int = 200_000) -> DataFrame:
@@ -253,12 +269,14 @@ def count_words(docs: DataFrame, vocabulary_file: bytes, text: str = "text", flu
     raw = docs.sparkSession.sparkContext.broadcast(vocabulary_file)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, counts = Vocabulary(raw.value), Counter()
+        vocabulary, counts = read_vocabulary(raw.value), Counter()
 
         def out():
-            words: Counter = Counter()
-            for chunk, n in counts.items():
-                for w in vocabulary.words(chunk):
+            several = {c: words for c in counts if (words := vocabulary.words(c)) != [c]}
+            uses = [(words, counts.pop(c)) for c, words in several.items()]
+            words: Counter = Counter(counts)
+            for parts, n in uses:
+                for w in parts:
                     words[w] += n
             counts.clear()
             kept = {w: n for w, n in words.items() if len(w) <= LONGEST and len(w.encode()) <= LONGEST}
@@ -308,42 +326,46 @@ def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str =
     raw, built = spark.sparkContext.broadcast(vocabulary_file), spark.sparkContext.broadcast(lexicon)
 
     def make():
-        vocabulary, transducer = Vocabulary(raw.value), Transducer(built.value)
+        vocabulary, transducer = read_vocabulary(raw.value), Transducer(built.value)
         cache: dict[str, bytes] = {}
         older: dict[str, bytes] = {}
 
-        def resolve(chunks) -> Iterator[tuple[str, bytes]]:
-            """Each chunk with its ids: words of the lexicon by one walk for all, the others merged."""
-            cut = [(c, vocabulary.words(c)) for c in chunks]
+        def resolve(chunks) -> dict[str, bytes]:
+            """Ids of each chunk: words of the lexicon by one walk for all, the others merged."""
+            several = {c: words for c in chunks if (words := vocabulary.words(c)) != [c]}
             # In order, so that the walks of neighbours share their steps.
-            names = sorted({w for _, words in cut for w in words})
+            names = sorted((chunks - several.keys()).union(*several.values()))
             coded = [w.encode() for w in names]
-            short = [i for i, c in enumerate(coded) if len(c) <= LONGEST]
-            packed = {names[i]: ids for i, ids in zip(short, transducer.find([coded[i] for i in short])) if ids}
-            rest = [(w, c) for w, c in zip(names, coded) if w not in packed]
-            packed.update(zip([w for w, _ in rest], vocabulary.merge_many([c for _, c in rest])))
-            for c, words in cut:
-                yield c, b"".join([packed[w] for w in words])
+            short = [c if len(c) <= LONGEST else b"" for c in coded]
+            found = transducer.find(short)
+            rest = [i for i, ids in enumerate(found) if ids is None]
+            for i, ids in zip(rest, vocabulary.merge_many([coded[i] for i in rest])):
+                found[i] = ids
+            packed = dict(zip(names, found))
+            made = {c: b"".join([packed[w] for w in words]) for c, words in several.items()}
+            made.update((c, packed[c]) for c in chunks - several.keys())
+            return made
 
         def batch(texts):
             nonlocal cache, older
             if len(cache) > cached:
                 older, cache = cache, {}
             split = [[p if p in vocabulary.added else vocabulary.chunks(p) for p in vocabulary.cut(t or "")] for t in texts]
-            new = {c for parts in split for p in parts if not isinstance(p, str) for c in p if c not in cache}
-            again = {c: ids for c in new if (ids := older.get(c)) is not None}
+            new = set().union(*(p for parts in split for p in parts if not isinstance(p, str))).difference(cache)
+            again = {c: older[c] for c in new if c in older}
             cache.update(again)
-            fresh = dict(resolve(new - again.keys()))
+            fresh = resolve(new.difference(again))
             # Chunks without end serve this batch only.
-            cache.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST)
-            known = ChainMap(fresh, cache) if any(len(c) > LONGEST for c in new) else cache
+            endless = [c for c in fresh if len(c) > LONGEST]
+            known = ChainMap({c: fresh.pop(c) for c in endless}, cache) if endless else cache
+            cache.update(fresh)
             out = [b"".join([np.int32(vocabulary.added[p]).tobytes() if isinstance(p, str) else b"".join(map(known.__getitem__, p)) for p in parts]) for parts in split]
             offsets = np.cumsum([0, *(len(x) // 4 for x in out)])
             return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(out), "<i4"), pa.int32()))]
 
         return batch
 
-    return append_columns(docs, [text], "ids array<int>", make, rows=64)
+    return append_columns(docs, [text], "ids array<int>", make, rows=256)
 
 
 def decode(docs: DataFrame, vocabulary_file: bytes, ids: str = "ids") -> DataFrame:
@@ -351,7 +373,7 @@ def decode(docs: DataFrame, vocabulary_file: bytes, ids: str = "ids") -> DataFra
     raw = docs.sparkSession.sparkContext.broadcast(vocabulary_file)
 
     def make():
-        spell = Vocabulary(raw.value).table.__getitem__
+        spell = read_vocabulary(raw.value).table.__getitem__
 
         def batch(rows):
             return [[b"".join(map(spell, r.values.to_numpy(zero_copy_only=False).tolist())).decode("utf-8", "replace") if r.is_valid else "" for r in rows]]
