@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -474,3 +475,27 @@ def test_bpe_plain_words_need_no_pattern():
     for chunk in ("a", " Word", "word", " it's", "\nword", " 1a", " ", "", "  a", " \u00e9t\u00e9"):
         assert plain.words(chunk) == (vocabulary._ascii if chunk.isascii() else vocabulary._words)(chunk)
     assert found == [" it's", "\nword", " 1a", " ", "", "  a", " \u00e9t\u00e9"]
+
+
+def test_bpe_keys_of_plain_texts(monkeypatch):
+    """Texts whose blanks and line ends stand alone are cut all at once, others by the pattern; the words are the same."""
+    with open(bpe.vocabulary_path(), "rb") as f:
+        vocabulary = bpe.Vocabulary(f.read())
+    deal, parts = random.Random(2), ["a", "B", "'s", " ", "\n", "1", "!", "é", "\x00", "\t", "　", "<|endoftext|>", "ab" * 40]
+    texts = ["".join(deal.choices(parts[: 8 if i % 2 else None], k=deal.randint(0, 9))) for i in range(4000)] + [None, ""]
+    flat, sizes, order = vocabulary.keys(pa.array(texts))
+    assert sorted(order.tolist()) == list(range(len(texts))) and len(flat) == sizes.sum()
+    ends = np.cumsum(sizes)
+    for i, keys in zip(order.tolist(), (flat[a:b].to_pylist() for a, b in zip((ends - sizes).tolist(), ends.tolist()))):
+        chunks = [vocabulary.chunk(k) for k in keys]
+        got = [w for c in chunks for w in ([c] if isinstance(c, int) else vocabulary.words(c))]
+        cut = vocabulary.cut(texts[i] or "")
+        assert got == [w for p in cut for w in ([vocabulary.added[p]] if p in vocabulary.added else [w for c in vocabulary.chunks(p) for w in vocabulary.words(c)])]
+        names = [[" " + k] if one else None for one, k in zip(vocabulary.key_words(pa.array(keys, pa.string()))[0].to_pylist(), keys)]
+        assert all(n is None or n == vocabulary.words(c) for n, c in zip(names, chunks))
+    latin = "".join(map(chr, range(0xC0, 0x250))).replace("\u00d7", "").replace("\u00f7", "")
+    assert vocabulary.words(" " + latin) == [" " + latin] and vocabulary.key_words(pa.array([latin, "\u00d7"]))[0].to_pylist() == [True, False]
+    for chunk in (" it's.", "it'", "a.b", " a'.", "'s", "'s.", "a\u00e9.", "..", " .", "a-", "1-"):
+        assert vocabulary.words(chunk) == vocabulary._words(chunk)
+    monkeypatch.setattr(vocabulary, "cut", None)
+    assert vocabulary.keys(pa.array(["two words\nand it's more ", " a"]))[0].to_pylist() == ["\x00two", "words", "\nand", "it's", "more", "", "\x00", "a"]

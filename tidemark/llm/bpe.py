@@ -5,12 +5,13 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections import ChainMap, Counter
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,9 @@ ASCII = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+"
     r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 )
+#: White space that a cut at blanks and line ends does not serve, and the mark of a chunk that is written out whole.
+UNEVEN, WHOLE = "  |\n\n| \n|\n |\x00|[" + SPACE.replace(" ", "").replace("\t-\r", "\t\x0b-\r") + "]", "\x00"
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words above this length in bytes are merged each time: neither lexicon nor cache keeps them.
 LONGEST = 64
 _NONE = 1 << 62
@@ -69,31 +73,76 @@ class Vocabulary:
         # Letters only, with or without a blank before them: one word.
         if chunk.isascii() and (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
             return [chunk]
+        # The same with signs behind: two words.
+        stem = chunk.rstrip(SIGNS)
+        if len(stem) < len(chunk) and stem.isascii() and (stem[1:] if stem[:1] == " " else stem).isalpha():
+            return [stem, chunk[len(stem) :]]
         return self._ascii(chunk) if chunk.isascii() else self._words(chunk)
 
+    def keys(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Keys of the chunks of all texts, the number of keys of each text, and the order in which the texts come.
+
+        ``chunk`` reads a key. Where blanks and line ends stand alone the texts are cut at them, all at once and without a search:
+        no match of ``PATTERN`` crosses the start of white space. Other texts come last, cut as ``CHUNK`` says; a null text has no key.
+        """
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, UNEVEN)
+        for content in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, content))
+        cut = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise(WHOLE, texts.filter(pc.invert(odd)), ""), "\n", " \n"), " ")
+        others = [
+            [WHOLE + c for p in self.cut(t) for c in ([WHOLE + p] if p in self.added else self.chunks(p))] for t in texts.filter(odd).to_pylist()]
+        flat = pa.concat_arrays([cut.flatten(), pa.array([k for keys in others for k in keys], texts.type)])
+        sizes = np.concatenate([pc.list_value_length(cut).to_numpy(), [len(keys) for keys in others]]).astype(np.int64)
+        return flat, sizes, np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable")
+
+    def chunk(self, key: str) -> str | int:
+        """The chunk that a key stands for, or the id of an added token."""
+        if key[:1] == WHOLE:
+            return self.added[key[2:]] if key[1:2] == WHOLE and key[2:] in self.added else key[1:]
+        return key if key[:1] == "\n" else " " + key
+
+    def key_words(self, keys: pa.Array) -> tuple[pa.Array, pa.Array, list[list[str | int]]]:
+        """Whether a key stands for a blank with letters behind it, those words, and the words or added token of each other key."""
+        plain = pc.match_substring_regex(keys, "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*$")
+        chunks = [self.chunk(k) for k in keys.filter(pc.invert(plain)).to_numpy(zero_copy_only=False).tolist()]
+        return plain, pc.binary_join_element_wise(" ", keys.filter(plain), ""), [[c] if isinstance(c, int) else self.words(c) for c in chunks]
+
     def merge_many(self, words: list[bytes]) -> list[bytes]:
-        """Little-endian 4-byte ids of each word, as ``merge`` gives them; words of like length step together."""
-        out: list[bytes] = [b""] * len(words)
+        """Little-endian 4-byte ids of each word, as ``merge`` gives them."""
         sizes = np.array([len(w) for w in words], np.int64)
+        starts, counts, ids = self.merge_all(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes, sizes)
+        raw = ids.astype("<i4").tobytes()
+        return [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * (starts + counts)).tolist())]
+
+    def merge_all(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For words among the bytes ``flat``: start and number of the ids of each, and all ids; words of like length step together."""
+        made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         width = 1
         while width < LONGEST:
             low, width = width if width > 1 else 0, width * 2
             if len(rows := np.flatnonzero((sizes > low) & (sizes <= width))):
-                self._merge_block(words, rows, width, out)
+                self._merge_block(flat, starts, sizes, rows, width, made)
         for i in np.flatnonzero(sizes > LONGEST).tolist():
-            out[i] = np.array(self.merge(words[i]), "<i4").tobytes()
-        return out
+            ids = self.merge(flat[starts[i] : starts[i] + sizes[i]].tobytes())
+            made.append((np.array([i]), np.array([len(ids)]), np.array(ids, np.int64)))
+        counts, at = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        if not made:
+            return at, counts, np.zeros(0, np.int64)
+        rows, lengths, ids = (np.concatenate(parts) for parts in zip(*made))
+        counts[rows], at[rows] = lengths, np.cumsum(lengths) - lengths
+        return at, counts, ids
 
     def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * len(self.table) + right
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where((right >= 0) & (self.pairs[at] == key), self.values[at], _NONE)
 
-    def _merge_block(self, words: list[bytes], rows: np.ndarray, width: int, out: list[bytes]) -> None:
+    def _merge_block(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray, width: int, made: list) -> None:
         """Each round merges one pair of every word that still has one, so all rows of the matrix shrink by one."""
-        flat = np.frombuffer(b"".join([words[i].ljust(width, b"\0") for i in rows.tolist()]), np.uint8).reshape(-1, width)
-        used = np.arange(width) < np.array([len(words[i]) for i in rows.tolist()])[:, None]
-        ids = np.where(used, np.array(self.first, np.int64)[flat], -1)
+        used = np.arange(width) < sizes[rows][:, None]
+        letters = flat[np.minimum(starts[rows][:, None] + np.arange(width), len(flat) - 1)]
+        ids = np.where(used, np.array(self.first, np.int64)[letters], -1)
         found = self._rank_of(ids[:, :-1], ids[:, 1:]) if len(self.pairs) else np.full((len(ids), width - 1), _NONE)
         while True:
             i = found.argmin(axis=1) if found.shape[1] else np.zeros(len(ids), np.int64)
@@ -102,9 +151,7 @@ class Vocabulary:
             if done.any():
                 ended = ids[done]
                 held = ended >= 0
-                raw, ends = ended[held].astype("<i4").tobytes(), (4 * held.sum(axis=1).cumsum()).tolist()
-                for row, a, b in zip(rows[done].tolist(), [0, *ends], ends):
-                    out[row] = raw[a:b]
+                made.append((rows[done], held.sum(axis=1), ended[held]))
                 rows, ids, found, i, best = (x[~done] for x in (rows, ids, found, i, best))
             if not len(rows):
                 return
@@ -232,65 +279,81 @@ class Transducer:
             at += n
         # Plain views of the mapped file: slices of them cost less.
         self.keys, self.targets, self.skips, self.final, self.offsets, ids = map(np.asarray, parts)
-        self.ids = ids.astype("<i4").tobytes()
+        self.ids = ids
         self.root = len(self.final) - 1
 
-    def find(self, words: list[bytes]) -> list[bytes | None]:
-        """Little-endian 4-byte ids of each word, None for a word that is not in the lexicon; all words step together."""
-        if not words or not len(self.keys):
-            return [None] * len(words)
-        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-        sizes = np.array([len(w) for w in words])
-        starts = np.cumsum(sizes) - sizes
-        state, number = np.full(len(words), self.root), np.zeros(len(words), np.int64)
-        alive = sizes > 0
-        for step in range(int(sizes.max(initial=0))):
-            at = np.flatnonzero(alive & (sizes > step))
-            if not len(at):
-                break
+    def find(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each word among the bytes ``flat``, -1 for a word that is not in the lexicon; all words step together."""
+        state, number = np.full(len(sizes), self.root), np.zeros(len(sizes), np.int64)
+        at = np.flatnonzero((sizes > 0) & (sizes <= LONGEST)) if len(self.keys) else np.zeros(0, np.int64)
+        held, step = [], 0
+        while len(at):
             key = state[at] * 256 + flat[starts[at] + step]
             edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             hit = self.keys[edge] == key
-            alive[at[~hit]] = False
-            at, edge = at[hit], edge[hit]
+            at, edge, step = at[hit], edge[hit], step + 1
             number[at] += self.skips[edge]
             state[at] = self.targets[edge]
-        alive &= self.final[state] == 1
-        out: list[bytes | None] = [None] * len(words)
-        found = np.flatnonzero(alive)
-        ids, number = self.ids, number[found]
-        for i, a, b in zip(found.tolist(), (4 * self.offsets[number]).tolist(), (4 * self.offsets[number + 1]).tolist()):
-            out[i] = ids[a:b]
+            ended = sizes[at] == step
+            held.append(at[ended])
+            at = at[~ended]
+        out, held = np.full(len(sizes), -1), np.concatenate([*held, np.zeros(0, np.int64)])
+        held = held[self.final[state[held]] == 1]
+        out[held] = number[held]
         return out
 
 
-def count_words(docs: DataFrame, vocabulary_file: bytes, text: str = "text", flush: int = 200_000) -> DataFrame:
-    """``word`` and its ``n`` over all texts, for words of at most ``LONGEST`` bytes; counted per task before the shuffle."""
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all words, and start and size of each."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = words.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), ends[:-1], np.diff(ends)
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Stretches of ``values``, one behind the other."""
+    return values[np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())]
+
+
+def byte_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """``texts`` in parts of about ``size`` bytes; a text stays whole."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield texts.slice(at, upto - at)
+        at = upto
+
+
+def count_words(docs: DataFrame, vocabulary_file: bytes, text: str = "text", flush: int = 1 << 23) -> DataFrame:
+    """``word`` and its ``n`` over all texts, for words of at most ``LONGEST`` bytes; ``flush`` bytes at a time are counted before the shuffle."""
     raw = docs.sparkSession.sparkContext.broadcast(vocabulary_file)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, counts = read_vocabulary(raw.value), Counter()
+        vocabulary = read_vocabulary(raw.value)
 
-        def out():
-            several = {c: words for c in counts if (words := vocabulary.words(c)) != [c]}
-            uses = [(words, counts.pop(c)) for c, words in several.items()]
-            words: Counter = Counter(counts)
-            for parts, n in uses:
+        def out(keys: list[pa.Array]) -> pa.RecordBatch:
+            met = pc.value_counts(pa.chunked_array(keys))
+            plain, words, others = vocabulary.key_words(met.field(0))
+            rest: Counter = Counter()
+            for parts, n in zip(others, met.field(1).filter(pc.invert(plain)).to_pylist()):
                 for w in parts:
-                    words[w] += n
-            counts.clear()
-            kept = {w: n for w, n in words.items() if len(w) <= LONGEST and len(w.encode()) <= LONGEST}
-            return pa.RecordBatch.from_pydict({"word": list(kept), "n": pa.array(list(kept.values()), pa.int64())}) if kept else None
+                    if isinstance(w, str):
+                        rest[w] += n
+            words = pa.concat_arrays([words, pa.array(list(rest), words.type)])
+            made = pa.RecordBatch.from_arrays([words, pa.concat_arrays([met.field(1).filter(plain), pa.array(list(rest.values()), pa.int64())])], names=["word", "n"])
+            return made.filter(pc.less_equal(pc.binary_length(words), LONGEST))
 
+        held, size = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for piece in vocabulary.cut(text or ""):
-                    if piece not in vocabulary.added:
-                        counts.update(vocabulary.chunks(piece))
-                if len(counts) > flush and (made := out()):
-                    yield made
-        if made := out():
-            yield made
+            for part in byte_slices(batch.column(0), 1 << 21):
+                held.append(vocabulary.keys(part)[0])
+                size += held[-1].nbytes
+                if size > flush:
+                    yield out(held)
+                    held, size = [], 0
+        if held:
+            yield out(held)
 
     return docs.select(text).mapInArrow(work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -315,72 +378,89 @@ def compile_lexicon(docs: DataFrame, vocabulary_file: bytes, text: str = "text",
     return build_transducer((w, vocabulary.merge(w)) for w in sorted(r["word"].encode() for r in top))
 
 
-def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str = "text", cached: int = 100_000) -> DataFrame:
+def encode(docs: DataFrame, vocabulary_file: bytes, lexicon: bytes, text: str = "text", size: int = 1 << 21) -> DataFrame:
     """``docs`` with ``ids`` (array of int), the tokens of the whole text; null and empty texts give an empty array.
 
     The lexicon only saves work: a word that it lacks is merged exactly. Added tokens in a text are
-    one id, as the library reads them. A task remembers about ``cached`` chunks and as many that it met
-    before those. Repeated rows get equal ids; a column ``ids`` of ``docs`` is replaced.
+    one id, as the library reads them. A task reads about ``size`` bytes at a time and finds the ids of each distinct chunk among
+    them once. Repeated rows get equal ids; a column ``ids`` of ``docs`` is replaced.
     """
     spark = docs.sparkSession
     raw, built = spark.sparkContext.broadcast(vocabulary_file), spark.sparkContext.broadcast(lexicon)
 
     def make():
         vocabulary, transducer = read_vocabulary(raw.value), Transducer(built.value)
-        cache: dict[str, bytes] = {}
-        older: dict[str, bytes] = {}
-
-        def resolve(chunks) -> dict[str, bytes]:
-            """Ids of each chunk: words of the lexicon by one walk for all, the others merged."""
-            several = {c: words for c in chunks if (words := vocabulary.words(c)) != [c]}
-            # In order, so that the walks of neighbours share their steps.
-            names = sorted((chunks - several.keys()).union(*several.values()))
-            coded = [w.encode() for w in names]
-            short = [c if len(c) <= LONGEST else b"" for c in coded]
-            found = transducer.find(short)
-            rest = [i for i, ids in enumerate(found) if ids is None]
-            for i, ids in zip(rest, vocabulary.merge_many([coded[i] for i in rest])):
-                found[i] = ids
-            packed = dict(zip(names, found))
-            made = {c: b"".join([packed[w] for w in words]) for c, words in several.items()}
-            made.update((c, packed[c]) for c in chunks - several.keys())
-            return made
+
+        def ids_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Start and number of the ids of each word, and the ids: words of the lexicon by one walk for all, the others merged."""
+            flat, starts, sizes = _bytes_of(words)
+            number = transducer.find(flat, starts, sizes)
+            rest = np.flatnonzero(number < 0)
+            at, counts = transducer.offsets[number], transducer.offsets[np.minimum(number + 1, len(transducer.offsets) - 1)] - transducer.offsets[number]
+            merged, n, ids = vocabulary.merge_all(flat, starts[rest], sizes[rest])
+            at[rest], counts[rest] = len(transducer.ids) + merged, n
+            return at, counts, np.concatenate([transducer.ids, ids])
+
+        def part(texts: pa.Array) -> pa.Array:
+            flat, sizes, order = vocabulary.keys(texts)
+            keys = flat.dictionary_encode()
+            plain, single, others = vocabulary.key_words(keys.dictionary)
+            several = [w for words in others for w in words]
+            names = pa.concat_arrays([single, pa.array(["" if isinstance(w, int) else w for w in several], single.type)]).dictionary_encode()
+            start, count, ids = ids_of(names.dictionary)
+            # Added tokens are numbered behind the words.
+            word, added = names.indices.to_numpy().astype(np.int64), [(i, w) for i, w in enumerate(several, len(single)) if isinstance(w, int)]
+            word[[i for i, _ in added]] = len(start) + np.arange(len(added))
+            start, count = np.concatenate([start, len(ids) + np.arange(len(added))]), np.concatenate([count, np.ones(len(added), np.int64)])
+            ids = np.concatenate([ids, np.array([w for _, w in added], np.int64)])
+            # Words of each key, the plain keys first, then of each key as it occurs, then the ids of those.
+            words = np.concatenate([np.ones(len(single), np.int64), np.array([len(w) for w in others], np.int64)])
+            place = np.empty(len(words), np.int64)
+            place[np.argsort(pc.invert(plain).to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(words))
+            met = place[keys.indices.to_numpy()]
+            use = _gather(word, (np.cumsum(words) - words)[met], words[met])
+            made = pa.array(_gather(ids.astype(np.int32), start[use], count[use]))
+            ends = np.concatenate([[0], np.cumsum(count[use])])[np.concatenate([[0], np.cumsum(words[met])])[np.concatenate([[0], np.cumsum(sizes)])]]
+            made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)
+            # Texts that were cut by the pattern stand last.
+            return made if (order[1:] > order[:-1]).all() else made.take(pa.array(np.argsort(order)))
 
         def batch(texts):
-            nonlocal cache, older
-            if len(cache) > cached:
-                older, cache = cache, {}
-            split = [[p if p in vocabulary.added else vocabulary.chunks(p) for p in vocabulary.cut(t or "")] for t in texts]
-            new = set().union(*(p for parts in split for p in parts if not isinstance(p, str))).difference(cache)
-            again = {c: older[c] for c in new if c in older}
-            cache.update(again)
-            fresh = resolve(new.difference(again))
-            # Chunks without end serve this batch only.
-            endless = [c for c in fresh if len(c) > LONGEST]
-            known = ChainMap({c: fresh.pop(c) for c in endless}, cache) if endless else cache
-            cache.update(fresh)
-            out = [b"".join([np.int32(vocabulary.added[p]).tobytes() if isinstance(p, str) else b"".join(map(known.__getitem__, p)) for p in parts]) for parts in split]
-            offsets = np.cumsum([0, *(len(x) // 4 for x in out)])
-            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(out), "<i4"), pa.int32()))]
+            return [pa.concat_arrays([part(some) for some in byte_slices(texts, size)])]
 
         return batch
 
-    return append_columns(docs, [text], "ids array<int>", make, rows=256)
+    return append_columns(docs, [text], "ids array<int>", make, rows=512, arrow=True)
 
 
 def decode(docs: DataFrame, vocabulary_file: bytes, ids: str = "ids") -> DataFrame:
     """``docs`` with ``decoded``, the text of the ids; null and empty arrays give an empty text, broken UTF-8 the replacement character."""
-    raw = docs.sparkSession.sparkContext.broadcast(vocabulary_file)
+    spelled = read_vocabulary(vocabulary_file).table
+    # Ids without a token are null and refused below; tasks need nothing else of the vocabulary.
+    tokens = docs.sparkSession.sparkContext.broadcast([spelled.get(i) for i in range(max(spelled) + 1)])
 
     def make():
-        spell = read_vocabulary(raw.value).table.__getitem__
+        table_ = pa.array(tokens.value, pa.binary())
 
         def batch(rows):
-            return [[b"".join(map(spell, r.values.to_numpy(zero_copy_only=False).tolist())).decode("utf-8", "replace") if r.is_valid else "" for r in rows]]
+            parts = table_.take(rows.flatten())
+            if parts.null_count:
+                raise KeyError("an id that the vocabulary does not have")
+            bytes_ = np.concatenate([[0], np.cumsum(pc.binary_length(parts).to_numpy())])
+            ends = bytes_[np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy())])]
+            # The tokens of a row lie one behind the other, so its text is a stretch of their bytes.
+            flat = pa.py_buffer(b"".join(parts.to_pylist())) if parts.offset else parts.buffers()[2] or pa.py_buffer(b"")
+            made = pa.StringArray.from_buffers(len(rows), pa.py_buffer(ends.astype(np.int32).tobytes()), flat)
+            try:
+                made.validate(full=True)
+            except pa.ArrowInvalid:
+                raw_ = flat.to_pybytes()
+                return [[raw_[a:b].decode("utf-8", "replace") for a, b in zip(ends.tolist(), ends[1:].tolist())]]
+            return [made]
 
         return batch
 
-    return append_columns(docs, [ids], "decoded string", make, rows=64, arrow=True)
+    return append_columns(docs, [ids], "decoded string", make, rows=256, arrow=True)
 
 
 def vocabulary_path() -> str:
