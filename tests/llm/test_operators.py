@@ -499,3 +499,20 @@ def test_bpe_keys_of_plain_texts(monkeypatch):
         assert vocabulary.words(chunk) == vocabulary._words(chunk)
     monkeypatch.setattr(vocabulary, "cut", None)
     assert vocabulary.keys(pa.array(["two words\nand it's more ", " a"]))[0].to_pylist() == ["\x00two", "words", "\nand", "it's", "more", "", "\x00", "a"]
+
+
+def test_jaccard_wide_parities():
+    """No more bins differ than elements do, whatever the sizes; large sets that cannot link are told apart without their texts."""
+    deal = random.Random(4)
+    sets = [np.array(deal.sample(range(1, 1 << 62), k), np.uint64) for k in (0, 1, 63, 64, 65, 200, 700, 3000)]
+    sets += [np.concatenate([x[: len(x) * 9 // 10], y[:9]]) for x, y in zip(sets, sets[::-1])]
+    wide = jaccard.wide_parities(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    for x, a in zip(sets, wide):
+        for y, b in zip(sets, wide):
+            assert jaccard.differing(a, b) == jaccard.differing(b, a) <= len(set(x.tolist()) ^ set(y.tolist()))
+    # Half of 1,200 elements shared, 80 percent asked for: the narrow parities cannot tell, the wide ones can.
+    x = deal.sample(range(1, 1 << 62), 1800)
+    x, y = (np.array(part, np.uint64) for part in (x[:1200], x[600:]))
+    bounds = np.array([0, 1200, 2400])
+    narrow = jaccard.parities(np.concatenate([x, y]), bounds).view(np.uint64)
+    assert np.bitwise_count(narrow[0] ^ narrow[1]).sum() * 180 <= 2400 * 20 < jaccard.differing(*jaccard.wide_parities(np.concatenate([x, y]), bounds)) * 180

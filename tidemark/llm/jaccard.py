@@ -163,6 +163,25 @@ def parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def wide_parities(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """The same for each set in as many bins as it has elements or up to twice as many, a power of two from 64 on."""
+    size = np.diff(bounds)
+    bins = 1 << np.ceil(np.log2(np.maximum(size, 64))).astype(np.int64)
+    ends = np.cumsum(bins)
+    at = _mix(hashes + np.uint64(_ODD[0])).view(np.int64) & np.repeat(bins - 1, size)
+    odd = np.packbits(np.bincount(at + np.repeat(ends - bins, size), minlength=int(bins.sum())).astype(np.uint8) & 1, bitorder="little").tobytes()
+    return [odd[a:b] for a, b in zip(((ends - bins) // 8).tolist(), (ends // 8).tolist())]
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bins in which two sets' ``wide_parities`` differ, the larger folded to the size of the smaller: no more than elements in just one of them."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def chance_agreement(texts: DataFrame, number: int, elements, sample: int) -> float:
     """The chance that an element of one set is in another, over about ``sample`` of ``number`` sets spread by their hash."""
     share = max(1, -(-1_000_000 * sample // max(1, number)))
@@ -198,7 +217,7 @@ def jaccard_groups(
             hashes, bounds = cut.many(texts_)
             raw, ends = memoryview(hashes.tobytes()), (8 * bounds).tolist()
             prints = [hashlib.blake2b(raw[a:b], digest_size=16).digest() if b > a else None for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_pydict({"id": part.column(0), "n": pa.array(np.diff(bounds)), "print": pa.array(prints, pa.binary()), "hash": part.column(1), **dict(zip(odd, map(pa.array, parities(hashes, bounds).T)))})
+            yield pa.RecordBatch.from_pydict({"id": part.column(0), "n": pa.array(np.diff(bounds)), "print": pa.array(prints, pa.binary()), "hash": part.column(1), "wide": pa.array(wide_parities(hashes, bounds), pa.binary()), **dict(zip(odd, map(pa.array, parities(hashes, bounds).T)))})
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingler(n)
@@ -206,9 +225,9 @@ def jaccard_groups(
             yield pa.RecordBatch.from_arrays([pa.array(cut.many(texts_)[0].view(np.int64))], names=["element"])
 
     source = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("hash", F.xxhash64("text"))
-    sets = stored(source.select("id", "hash", "text").mapInArrow(shingle, "id bigint, n bigint, print binary, hash bigint, " + ", ".join(f"{c} bigint" for c in odd)), "sets")
+    sets = stored(source.select("id", "hash", "text").mapInArrow(shingle, "id bigint, n bigint, print binary, hash bigint, wide binary, " + ", ".join(f"{c} bigint" for c in odd)), "sets")
     # A class is known by 64 bits of its digest; it keeps the smallest key and one text of that key, whatever else the key has.
-    classes = sets.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep"), F.min_by("hash", "id").alias("hash"), *[F.min(c).alias(c) for c in ("n", *odd)])
+    classes = sets.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("rep"), F.min_by("hash", "id").alias("hash"), *[F.min(c).alias(c) for c in ("n", "wide", *odd)])
     classes = stored(classes.withColumn("class", F.xxhash64("print")), "classes")
     # Repeated rows of a class meet where it was joined, so each text is shuffled once.
     named = classes.select(F.col("rep").alias("id"), "hash", "class")
@@ -231,6 +250,12 @@ def jaccard_groups(
         return F.greatest(unlike, F.abs(x["n"] - y["n"])) * (100 + percent) <= (x["n"] + y["n"]) * (100 - percent)
 
     def verify(pairs: DataFrame) -> DataFrame:
+        def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes, *wide = (c.to_pylist() for c in batch.columns[2:])
+                hits = [differing(x, y) * (100 + percent) <= size * (100 - percent) for size, x, y in zip(sizes, *wide)]
+                yield batch.select(["a", "b"]).filter(pa.array(hits, pa.bool_()))
+
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last: tuple = (None, None)
 
@@ -249,6 +274,10 @@ def jaccard_groups(
                     hits.append(bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared))
                 yield batch.select(["a", "b"]).filter(pa.array(hits, pa.bool_()))
 
+        # Texts are fetched only for pairs whose wide parities, far smaller than the texts, leave a link possible.
+        for s in "ab":
+            pairs = pairs.join(classes.select(F.col("class").alias(s), F.col("n").alias(f"n_{s}"), F.col("wide").alias(f"wide_{s}")), s)
+        pairs = pairs.select("a", "b", F.expr("n_a + n_b"), "wide_a", "wide_b").mapInArrow(likely, "a bigint, b bigint")
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
         # Written first, so that Spark knows how few they are and need not shuffle texts to meet them.
