@@ -275,6 +275,35 @@ def test_decontaminate_latent_recall(spark):
     assert got <= wanted and len(got) >= 0.97 * len(wanted)
 
 
+def test_decontaminate_axes_of_all_rows(spark):
+    """Four rows in five have words that the rows at the start do not have: their axes are those of a dense SVD all the same."""
+    draw = np.random.default_rng(5)
+    bags = [(i, [0, 1, *(40 * (i % 10) + 40 * draw.random(46) ** 2 + 2).astype(int).tolist()]) for i in range(400)]
+    rows = spark.createDataFrame(bags, "row bigint, features array<int>").repartition(7)
+    weights = np.full(decontaminate.WIDTH, 1.0, np.float32)
+    place, axes = decontaminate.latent_axes(rows, weights, rank=20, extra=20, start=rows.where("row % 10 < 2 and row < 50"))
+    dense = np.zeros((400, 402))
+    for i, bag in bags:
+        np.add.at(dense[i], bag, 1)
+    used = dense.any(axis=0)
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    assert (place[:402] > 0).tolist() == used.tolist()
+    plain = axes[place[:402]]
+    plain /= np.linalg.norm(plain, axis=0)
+    best = np.linalg.svd(dense, compute_uv=False)[:20]
+    assert np.square(dense @ plain).sum() >= 0.97 * np.square(best).sum()
+
+
+def test_decontaminate_small_start(spark):
+    """The fit takes all passages: hardly any of the texts' words lie in the few that start it, and all copies are found."""
+    items = [(i, " ".join(f"{w}x{i % 40}" if j % 2 else w for j, w in enumerate(made_words(30, i)))) for i in range(80)]
+    rows = [(d, " ".join(["new" if j % 8 == 4 else w for j, w in enumerate(items[d][1].split())] + made_words(20, 10**6 + d))) for d in range(80)]
+    rows += [(1000 + d, " ".join(made_words(300, 3 * 10**6 + d))) for d in range(40)]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(*given, lookup=False, sample=4).collect()}
+    assert {(d, d) for d in range(80)} <= got
+
+
 def test_decontaminate_words(spark):
     texts = [None, "", "İstanbul ΟΔΟΣ, naïve_3 ½ x²—don't\ud800 \U0001f600 日本語 हिन्दी", " . ", "a b  a"]
     hashes, ends = decontaminate.hashed_words(texts)
